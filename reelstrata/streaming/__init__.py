@@ -1,0 +1 @@
+"""Empty on purpose: the source is a replaced full snapshot, so every job here is a batch job."""
