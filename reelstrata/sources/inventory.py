@@ -64,26 +64,31 @@ def file_digests(
     return small.unionByName(large)
 
 
-def line_counts(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def line_counts(
+    spark: SparkSession, path: str, pattern: str | None = None, header: str | None = None
+) -> DataFrame:
     """`file_name, row_count, header_ok`: lines after the header, also without a last newline.
 
+    Each file is held to its registered header, or all of them to `header` if that is given.
     One pass and a count per file. The first line of a file is the one with the smallest row id
     in the block that starts at byte 0, so the header test needs no sort.
     """
     reader = spark.read
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    wanted = F.create_map(
-        *[F.lit(text) for s in SOURCES.values() for text in (s.file_name, s.header_line)]
-    )
+    if header is None:
+        headers = F.create_map(
+            *[F.lit(text) for s in SOURCES.values() for text in (s.file_name, s.header_line)]
+        )
+        wanted = headers[F.col("_metadata.file_name")]
+    else:
+        wanted = F.lit(header)
     lines = reader.text(path, lineSep="\n").select(
         F.col("_metadata.file_name").alias("file_name"),
         F.when(
             F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()
         ).alias("id"),
-        (F.regexp_replace("value", "\r+$", "") == wanted[F.col("_metadata.file_name")]).alias(
-            "is_header"
-        ),
+        (F.regexp_replace("value", "\r+$", "") == wanted).alias("is_header"),
     )
     counted = lines.groupBy("file_name").agg(
         (F.count("*") - 1).alias("row_count"),
