@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -104,22 +104,31 @@ def title_principal_cast_lists(credits: DataFrame, people: DataFrame) -> DataFra
     return distinct_list(shown, "tconst", "shown_name", "principal_cast")
 
 
+# Each model with the staging tables or models it reads.
+MODELS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "dim_titles": (dim_titles, ("title_basics",)),
+    "dim_people": (dim_people, ("name_basics",)),
+    "fct_title_ratings": (fct_title_ratings, ("title_ratings",)),
+    "fct_episodes": (fct_episodes, ("title_episode",)),
+    "bridge_title_genres": (bridge_title_genres, ("title_basics",)),
+    "bridge_title_credits": (bridge_title_credits, ("title_principals",)),
+    "bridge_title_crew": (bridge_title_crew, ("title_crew",)),
+    "bridge_title_akas": (bridge_title_akas, ("title_akas",)),
+    "int_title_genre_lists": (title_genre_lists, ("bridge_title_genres",)),
+    "int_title_director_lists": (title_director_lists, ("bridge_title_crew", "dim_people")),
+    "int_title_principal_cast_lists": (
+        title_principal_cast_lists,
+        ("bridge_title_credits", "dim_people"),
+    ),
+}
+
+
+def intermediate(name: str, staged: Mapping[str, DataFrame]) -> DataFrame:
+    """One intermediate model over the staging tables it needs."""
+    build, inputs = MODELS[name]
+    return build(*[intermediate(i, staged) if i in MODELS else staged[i] for i in inputs])
+
+
 def intermediate_all(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All eleven intermediate models over the staging models."""
-    people = dim_people(staged["name_basics"])
-    genres = bridge_title_genres(staged["title_basics"])
-    credits = bridge_title_credits(staged["title_principals"])
-    crew = bridge_title_crew(staged["title_crew"])
-    return {
-        "dim_titles": dim_titles(staged["title_basics"]),
-        "dim_people": people,
-        "fct_title_ratings": fct_title_ratings(staged["title_ratings"]),
-        "fct_episodes": fct_episodes(staged["title_episode"]),
-        "bridge_title_genres": genres,
-        "bridge_title_credits": credits,
-        "bridge_title_crew": crew,
-        "bridge_title_akas": bridge_title_akas(staged["title_akas"]),
-        "int_title_genre_lists": title_genre_lists(genres),
-        "int_title_director_lists": title_director_lists(crew, people),
-        "int_title_principal_cast_lists": title_principal_cast_lists(credits, people),
-    }
+    return {name: intermediate(name, staged) for name in MODELS}

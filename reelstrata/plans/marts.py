@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,18 +42,18 @@ class ContractError(ValueError):
     """A mart's columns differ from its contract in name, order or type."""
 
 
-def contract(mart: str) -> T.StructType:
-    return T.StructType.fromDDL(CONTRACTS[mart])
+def contract(name: str) -> T.StructType:
+    return T.StructType.fromDDL(CONTRACTS[name])
 
 
 def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(field.name, field.dataType.simpleString()) for field in schema]
 
 
-def enforced(mart: str, rows: DataFrame) -> DataFrame:
+def enforced(name: str, rows: DataFrame) -> DataFrame:
     """`rows` itself if it matches the contract exactly; nothing is cast, added or dropped."""
-    if _shape(rows.schema) != _shape(contract(mart)):
-        raise ContractError(f"{mart}: {rows.schema.simpleString()} breaks {CONTRACTS[mart]}")
+    if _shape(rows.schema) != _shape(contract(name)):
+        raise ContractError(f"{name}: {rows.schema.simpleString()} breaks {CONTRACTS[name]}")
     return rows
 
 
@@ -98,8 +98,8 @@ def person_filmography(
     named = credits.join(people.select("nconst", "primary_name"), "nconst")
     described = titles.select("tconst", "primary_title", "title_type", "start_year")
     films = named.join(described, "tconst").join(_measures(ratings), "tconst", "left")
-    mart = "mart_person_filmography"
-    return enforced(mart, films.select(*contract(mart).names))
+    name = "mart_person_filmography"
+    return enforced(name, films.select(*contract(name).names))
 
 
 def series_episodes(episodes: DataFrame, titles: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -119,26 +119,43 @@ def series_episodes(episodes: DataFrame, titles: DataFrame, ratings: DataFrame)
         .join(episode, "episode_tconst")
         .join(rated, "episode_tconst", "left")
     )
-    mart = "mart_series_episodes"
-    return enforced(mart, listed.select(*contract(mart).names))
+    name = "mart_series_episodes"
+    return enforced(name, listed.select(*contract(name).names))
+
+
+# Each mart with the intermediate models it reads.
+MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "mart_title_search": (
+        title_search,
+        (
+            "dim_titles",
+            "fct_title_ratings",
+            "int_title_genre_lists",
+            "int_title_director_lists",
+            "int_title_principal_cast_lists",
+        ),
+    ),
+    "mart_genre_year_summary": (
+        genre_year_summary,
+        ("bridge_title_genres", "dim_titles", "fct_title_ratings"),
+    ),
+    "mart_person_filmography": (
+        person_filmography,
+        ("bridge_title_credits", "dim_people", "dim_titles", "fct_title_ratings"),
+    ),
+    "mart_series_episodes": (
+        series_episodes,
+        ("fct_episodes", "dim_titles", "fct_title_ratings"),
+    ),
+}
+
+
+def mart(name: str, models: Mapping[str, DataFrame]) -> DataFrame:
+    """One mart over the intermediate models it needs."""
+    build, inputs = MARTS[name]
+    return build(*[models[i] for i in inputs])
 
 
 def marts_all(models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All four marts over the intermediate models."""
-    titles, ratings = models["dim_titles"], models["fct_title_ratings"]
-    return {
-        "mart_title_search": title_search(
-            titles,
-            ratings,
-            models["int_title_genre_lists"],
-            models["int_title_director_lists"],
-            models["int_title_principal_cast_lists"],
-        ),
-        "mart_genre_year_summary": genre_year_summary(
-            models["bridge_title_genres"], titles, ratings
-        ),
-        "mart_person_filmography": person_filmography(
-            models["bridge_title_credits"], models["dim_people"], titles, ratings
-        ),
-        "mart_series_episodes": series_episodes(models["fct_episodes"], titles, ratings),
-    }
+    return {name: mart(name, models) for name in MARTS}

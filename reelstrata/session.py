@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,8 @@ SETTINGS = {
 }
 
 INPUT_BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
+SCAN_BYTES = 128 * 1024**2
+MAX_SCAN_TASKS = 200_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -30,10 +33,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles with enough partitions for this much input; AQE merges the small ones."""
+    """Size scan and shuffle tasks for this much input; AQE merges shuffle partitions left small.
+
+    Both sizes only ever grow from what the session asks for.
+    """
     wanted = math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_PARTITION)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    split = math.ceil(input_bytes / MAX_SCAN_TASKS)
+    if split > SCAN_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return partitions
 
 
@@ -43,6 +52,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_scratch()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="run-")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,22 @@ from pyspark.sql import types as T
 
 from reelstrata.functions import values
 from reelstrata.operators import bridges, checks, lists
-from reelstrata.plans import audit, intermediate, marts, queries, staging
-from reelstrata.session import configure, scratch_path
+from reelstrata.plans import audit, marts, queries
+from reelstrata.session import configure, scratch_path, size_shuffles
 from reelstrata.sources import inventory, manifest, tables, tsv
 from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES
-from workload.shape import BASE_URL, LOAD, entries, raw_tables, table, text_table, write_text
+from workload.shape import (
+    BASE_URL,
+    LOAD,
+    entries,
+    mart_tables,
+    models,
+    raw_tables,
+    staged_tables,
+    table,
+    text_table,
+    write_text,
+)
 from workload.sqltext import FILES, RAW_NAMES, entries_sql, query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +48,16 @@ def flat(rows: DataFrame) -> DataFrame:
     return rows.select(*columns)
 
 
+@cache
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    return tables.stored_bytes(spark, folder)
+
+
 def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return flat(function(configure(spark), folder))
+            size_shuffles(configure(spark), folder_bytes(spark, folder))
+            return flat(function(spark, folder))
 
         QUERIES[name] = run
         if sql is not None:
@@ -111,7 +129,7 @@ _STAGED_SQL = {
 
 def _staged(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return staging.stage(name, raw_tables(spark, folder, name)[name])
+        return staged_tables(spark, folder)[name]
 
     return run
 
@@ -132,11 +150,6 @@ case(
 # --- Intermediate ------------------------------------------------------------------------------
 
 
-def models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    raw = raw_tables(spark, folder, *SOURCES)
-    return intermediate.intermediate_all(staging.stage_all(raw))
-
-
 _MODEL_SQL = {
     "dim_titles": _STAGED_SQL["title_basics"],
     "dim_people": _STAGED_SQL["name_basics"],
@@ -182,12 +195,8 @@ def rounded(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def all_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return marts.marts_all(models(spark, folder))
-
-
 def _mart(name: str) -> Query:
-    return lambda spark, folder: all_marts(spark, folder)[name]
+    return lambda spark, folder: mart_tables(spark, folder)[name]
 
 
 case(
@@ -227,7 +236,7 @@ case(
     ),
 )
 def mart_genre_year_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(all_marts(spark, folder)["mart_genre_year_summary"], SUMMARY)
+    return rounded(mart_tables(spark, folder)["mart_genre_year_summary"], SUMMARY)
 
 
 @case(
@@ -241,7 +250,7 @@ ORDER BY num_votes DESC NULLS LAST, tconst LIMIT 25""",
     ),
 )
 def title_search_top25(spark: SparkSession, folder: str) -> DataFrame:
-    return queries.search_titles(all_marts(spark, folder)["mart_title_search"], "%urgent%")
+    return queries.search_titles(mart_tables(spark, folder)["mart_title_search"], "%urgent%")
 
 
 @case(
@@ -254,7 +263,7 @@ FROM summary WHERE genre = 'large' AND start_year BETWEEN 1996 AND 2000""",
     ),
 )
 def genre_over_time(spark: SparkSession, folder: str) -> DataFrame:
-    summary = all_marts(spark, folder)["mart_genre_year_summary"]
+    summary = mart_tables(spark, folder)["mart_genre_year_summary"]
     return rounded(queries.genre_over_time(summary, "large", 1996, 2000), SUMMARY)
 
 
@@ -267,7 +276,7 @@ FROM filmography WHERE nconst = 'nmp17'""",
     ),
 )
 def filmography_of_person(spark: SparkSession, folder: str) -> DataFrame:
-    return queries.filmography_of(all_marts(spark, folder)["mart_person_filmography"], "nmp17")
+    return queries.filmography_of(mart_tables(spark, folder)["mart_person_filmography"], "nmp17")
 
 
 @case(
@@ -279,7 +288,7 @@ FROM series WHERE series_tconst = 'ttc7'""",
     ),
 )
 def episodes_of_series(spark: SparkSession, folder: str) -> DataFrame:
-    return queries.episodes_of(all_marts(spark, folder)["mart_series_episodes"], "ttc7")
+    return queries.episodes_of(mart_tables(spark, folder)["mart_series_episodes"], "ttc7")
 
 
 @case(
@@ -292,7 +301,7 @@ ORDER BY num_votes DESC NULLS LAST, tconst LIMIT 10""",
     ),
 )
 def top_titles(spark: SparkSession, folder: str) -> DataFrame:
-    return queries.top_titles(all_marts(spark, folder)["mart_title_search"])
+    return queries.top_titles(mart_tables(spark, folder)["mart_title_search"])
 
 
 @case(
@@ -306,7 +315,7 @@ LIMIT 10""",
     ),
 )
 def top_genre_cells(spark: SparkSession, folder: str) -> DataFrame:
-    summary = all_marts(spark, folder)["mart_genre_year_summary"]
+    summary = mart_tables(spark, folder)["mart_genre_year_summary"]
     return rounded(queries.top_genre_cells(summary), SUMMARY)
 
 
@@ -320,7 +329,7 @@ FROM (SELECT * FROM filmography WHERE primary_name IS NOT NULL
     ),
 )
 def top_credits(spark: SparkSession, folder: str) -> DataFrame:
-    return queries.top_credits(all_marts(spark, folder)["mart_person_filmography"])
+    return queries.top_credits(mart_tables(spark, folder)["mart_person_filmography"])
 
 
 @case(
@@ -332,7 +341,7 @@ FROM series ORDER BY num_votes DESC NULLS LAST, episode_tconst LIMIT 10""",
     ),
 )
 def top_episodes(spark: SparkSession, folder: str) -> DataFrame:
-    return queries.top_episodes(all_marts(spark, folder)["mart_series_episodes"])
+    return queries.top_episodes(mart_tables(spark, folder)["mart_series_episodes"])
 
 
 _MART_COUNTS = query(
@@ -346,18 +355,20 @@ UNION ALL SELECT 'mart_series_episodes', count(*) FROM series""",
 
 @case("mart_row_counts", _MART_COUNTS)
 def mart_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.row_counts(all_marts(spark, folder))
+    built = mart_tables(spark, folder)
+    return checks.row_counts({name: built[name] for name in marts.MARTS})
 
 
 @case("published_mart_counts", _MART_COUNTS)
 def published_mart_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Marts written under a new build, published, and counted through the current build."""
     build = tables.Build(scratch_path(spark, "lake"), tables.new_build_id())
-    for name, rows in all_marts(spark, folder).items():
-        tables.write_table(rows, build.location("marts", name))
+    built = mart_tables(spark, folder)
+    for name in marts.MARTS:
+        tables.write_table(built[name], build.location("marts", name))
     tables.publish(spark, build)
     current = tables.current_build(spark, build.root)
-    stored = {name: current.scan(spark, "marts", name) for name in marts.CONTRACTS}
+    stored = {name: current.scan(spark, "marts", name) for name in marts.MARTS}
     return checks.row_counts(stored)
 
 
@@ -526,17 +537,14 @@ _NULLS_SQL = "\nUNION ALL\n".join(
 )
 
 
-def staged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return staging.stage_all(raw_tables(spark, folder, *SOURCES))
-
-
 @case("not_null_counts", query("akas titles crew episodes credits ratings people", _NULLS_SQL))
 def not_null_counts(spark: SparkSession, folder: str) -> DataFrame:
     """NULLs per column of each staged table, one pass per table."""
+    tables_ = staged_tables(spark, folder)
     return checks.union_all(
         [
             checks.null_counts(rows, name, [c for c in rows.columns if c != LOAD_ID])
-            for name, rows in staged(spark, folder).items()
+            for name, rows in ((name, tables_[name]) for name in SOURCES)
         ]
     )
 
@@ -592,7 +600,7 @@ _STAGED_KEYS = {
     ),
 )
 def unique_findings(spark: SparkSession, folder: str) -> DataFrame:
-    tables_ = staged(spark, folder)
+    tables_ = staged_tables(spark, folder)
     return checks.union_all(
         [checks.unique(tables_[name], name, key) for name, (_, key) in _STAGED_KEYS.items()]
     )
@@ -670,7 +678,7 @@ def bridge_findings(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def grain_findings(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.grain_findings(all_marts(spark, folder))
+    return audit.grain_findings(mart_tables(spark, folder))
 
 
 _LINKS = (
@@ -760,8 +768,7 @@ _PAIRS = {
     ),
 )
 def row_count_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    raw = raw_tables(spark, folder, *SOURCES)
-    typed = staging.stage_all(raw)
+    raw, typed = raw_tables(spark, folder), staged_tables(spark, folder)
     return checks.paired_counts({n: (raw[n], typed[n]) for n in SOURCES}, "raw", "staging")
 
 
@@ -792,7 +799,7 @@ WHERE birth_year NOT BETWEEN 1 AND 2200 OR death_year NOT BETWEEN 1 AND 2200""",
     ),
 )
 def range_findings(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.range_findings(staged(spark, folder))
+    return audit.range_findings(staged_tables(spark, folder))
 
 
 @case(
@@ -852,9 +859,9 @@ def lineage_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 )
 def raw_lineage(spark: SparkSession, folder: str) -> DataFrame:
     """Raw rows against file rows of a later load: every table has lost its lineage."""
-    raw = raw_tables(spark, folder, *SOURCES)
-    later = manifest.file_lineage(entries(spark, folder), "load-2")
-    return audit.lineage_findings({**raw, "ingestion_files": later})
+    raw = raw_tables(spark, folder)
+    raw["ingestion_files"] = manifest.file_lineage(entries(spark, folder), "load-2")
+    return audit.lineage_findings(raw)
 
 
 _BUSY = "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000"

@@ -7,17 +7,24 @@ is text and carries the null marker where a snapshot would.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstrata.functions.values import NULL_TEXT
-from reelstrata.sources.registry import LOAD_ID, SOURCES
+from reelstrata.plans.intermediate import intermediate
+from reelstrata.plans.marts import mart
+from reelstrata.plans.staging import stage
+from reelstrata.sources.registry import SOURCES
 from reelstrata.sources.tsv import with_load_id
 
 LOAD = "load-1"
 BASE_URL = "https://files.example.org"
 
 
+@cache
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -172,9 +179,35 @@ def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return with_load_id(text_table(spark, folder, name), LOAD)
 
 
-def raw_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
-    wanted = names or (*SOURCES, "ingestion_files")
-    return {name: raw_table(spark, folder, name) for name in wanted}
+class OnDemand(dict):
+    """Tables by name, each derived when first asked for."""
+
+    def __init__(self, derive: Callable[[str], DataFrame]):
+        super().__init__()
+        self._derive = derive
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._derive(name)
+        return self[name]
+
+
+def raw_tables(spark: SparkSession, folder: str) -> OnDemand:
+    return OnDemand(lambda name: raw_table(spark, folder, name))
+
+
+def staged_tables(spark: SparkSession, folder: str) -> OnDemand:
+    raw = raw_tables(spark, folder)
+    return OnDemand(lambda name: stage(name, raw[name]))
+
+
+def models(spark: SparkSession, folder: str) -> OnDemand:
+    staged = staged_tables(spark, folder)
+    return OnDemand(lambda name: intermediate(name, staged))
+
+
+def mart_tables(spark: SparkSession, folder: str) -> OnDemand:
+    tables = models(spark, folder)
+    return OnDemand(lambda name: mart(name, tables))
 
 
 def entries(spark: SparkSession, folder: str) -> DataFrame:
