@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstrata.operators.checks import duplicate_keys, violation
-from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID
+from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES
 
 # Fixed value: the manifest layout these functions understand.
 MANIFEST_VERSION = 1
@@ -59,7 +59,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(entries: DataFrame, path: str) -> None:
-    """One versioned document. Entries are unique per registered source, so they are few."""
+    """One versioned document of the registered sources' entries, at most one each."""
+    if entries.count() > len(SOURCES):
+        raise ValueError(f"a manifest holds at most {len(SOURCES)} entries")
     rows = F.array_sort(F.collect_list(F.struct("table_name", F.struct(*FILE_COLUMNS))))
     document = entries.agg(F.transform(rows, lambda row: row["col2"]).alias("entries")).select(
         F.lit(MANIFEST_VERSION).alias("version"), "entries"
@@ -79,7 +81,7 @@ def document_violations(documents: DataFrame) -> DataFrame:
     )
     whole = documents.select(
         violation("manifest_document", F.lit("manifest"), F.lit("document"), problem)
-    ).where("detail is not null")
+    ).where("violation.detail is not null")
     mistyped = [
         F.when(
             _field_kind(name).isNotNull() & ~_field_kind(name).isin(_variant_kind(name), "VOID"),
@@ -126,13 +128,15 @@ def entry_violations(entries: DataFrame) -> DataFrame:
 
 def duplicate_entries(entries: DataFrame) -> DataFrame:
     """Tables with more than one entry."""
-    return duplicate_keys(entries, "manifest", ["table_name"], check="manifest_duplicate")
+    named = entries.where(F.col("table_name").isNotNull())
+    return duplicate_keys(named, "manifest", ["table_name"], check="manifest_duplicate")
 
 
 def upsert(entries: DataFrame, replacements: DataFrame) -> DataFrame:
     """Replace or add entries by table name; the result is ordered by table name."""
     kept = entries.join(replacements.select("table_name"), "table_name", "left_anti")
-    return kept.unionByName(replacements).orderBy("table_name")
+    merged = kept.unionByName(replacements).select(*entries.columns)
+    return merged.orderBy("table_name")
 
 
 def backfill_row_counts(entries: DataFrame, counts: DataFrame) -> DataFrame:
