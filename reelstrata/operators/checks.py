@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +19,22 @@ MAX_ORPHAN_RATIO = Decimal("0.0001")
 FINDING = "check string, relation string, key string, detail string"
 
 
-def violation(check: str, relation: Column, key: Column, detail: Column) -> Column:
-    return F.struct(
+def violation(check: str, relation: Column, key: Column, detail: Column) -> list[Column]:
+    """The four columns of a finding."""
+    return [
         F.lit(check).alias("check"),
         relation.cast("string").alias("relation"),
         key.cast("string").alias("key"),
         detail.cast("string").alias("detail"),
-    ).alias("violation")
+    ]
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Stack frames pair by pair, so that long lists do not re-analyse one growing plan."""
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return frames[0]
 
 
 def _as_text(columns: Sequence[str]) -> Column:
@@ -49,8 +53,8 @@ def not_null(rows: DataFrame, relation: str, columns: Sequence[str]) -> DataFram
     found = null_counts(rows, relation, columns).where("null_rows > 0")
     detail = F.concat(F.col("null_rows").cast("string"), F.lit(" null rows"))
     return found.select(
-        violation("not_null", F.col("relation"), F.col("column_name"), detail)
-    ).select("violation.*")
+        *violation("not_null", F.col("relation"), F.col("column_name"), detail)
+    )
 
 
 def repeated(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,14 +72,14 @@ def duplicate_keys(
 ) -> DataFrame:
     """Repeated composite keys, NULL keys included."""
     found = repeated(rows, keys).select(
-        violation(
+        *violation(
             check,
             F.lit(relation),
             _as_text(keys) if label is None else label,
             F.concat(F.col("copies").cast("string"), F.lit(" rows")),
         )
     )
-    return found.select("violation.*")
+    return found
 
 
 def unique(rows: DataFrame, relation: str, column: str) -> DataFrame:
@@ -153,8 +157,8 @@ def orphan_ratio(
     found = too_many_orphans(orphan_metrics(children, parent, field, max_ratio), max_ratio)
     detail = F.concat_ws(" of ", F.col("orphan_rows"), F.col("child_rows"))
     return found.select(
-        violation("orphan_ratio", F.col("link"), F.lit(field), detail)
-    ).select("violation.*")
+        *violation("orphan_ratio", F.col("link"), F.lit(field), detail)
+    )
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -192,8 +196,8 @@ def count_mismatch(
     detail = F.concat_ws(" != ", f"{left}_count", f"{right}_count")
     check = f"rows_{left}_{right}"
     return found.select(
-        violation(check, F.col("relation_name"), F.lit("row_count"), detail)
-    ).select("violation.*")
+        *violation(check, F.col("relation_name"), F.lit("row_count"), detail)
+    )
 
 
 def out_of_range(
@@ -201,9 +205,9 @@ def out_of_range(
 ) -> DataFrame:
     """Rows for which `outside` holds; a NULL value is never outside."""
     found = rows.where(outside).select(
-        violation("value_range", F.lit(relation), F.col(key), F.lit(label))
+        *violation("value_range", F.lit(relation), F.col(key), F.lit(label))
     )
-    return found.select("violation.*")
+    return found
 
 
 def outside(column: str, low: float, high: float) -> Column:
@@ -215,9 +219,9 @@ def not_accepted(
 ) -> DataFrame:
     """Rows whose value is none of the accepted ones; NULL is never selected."""
     found = rows.where(~F.col(column).isin(*accepted)).select(
-        violation("accepted_values", F.lit(relation), F.col(key), F.col(column))
+        *violation("accepted_values", F.lit(relation), F.col(key), F.col(column))
     )
-    return found.select("violation.*")
+    return found
 
 
 def schema_violations(
@@ -251,13 +255,13 @@ def without_lineage(
     )
     lost = loads.join(files.select(load_id, "table_name"), [load_id, "table_name"], "left_anti")
     return lost.select(
-        violation(
+        *violation(
             "lineage",
             F.lit(relation),
             F.coalesce(load_id, F.lit("no load id")),
             F.concat(F.col("n").cast("string"), F.lit(" rows")),
         )
-    ).select("violation.*")
+    )
 
 
 def missing_relations(required: DataFrame, found: DataFrame, on: Sequence[str]) -> DataFrame:

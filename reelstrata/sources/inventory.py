@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable, Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstrata.sources.registry import SOURCES
@@ -23,24 +19,32 @@ def _files(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
     return reader.load(path)
 
 
-def _name(path_column: str) -> F.Column:
+def _name(path_column: str) -> Column:
     return F.element_at(F.split(path_column, "/"), -1).alias("file_name")
 
 
-def _streamed_sha256(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _sha256_of_path():
+    """The task function that hashes files chunk by chunk, shipped to workers by value."""
+    chunk_bytes = CHUNK_BYTES
+
+    def hashed(batches):
+        import hashlib
+
+        from pyarrow import fs
 
-    for files in batches:
-        digests = []
-        for path in files["path"]:
-            uri = path if "://" in path or not path.startswith("file:") else f"file://{path[5:]}"
-            system, location = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(location, compression=None) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield files.assign(sha256=digests)
+        for files in batches:
+            digests = []
+            for path in files["path"]:
+                local = path.startswith("file:") and "://" not in path
+                system, name = fs.FileSystem.from_uri(f"file://{path[5:]}" if local else path)
+                digest = hashlib.sha256()
+                with system.open_input_stream(name, compression=None) as stream:
+                    while chunk := stream.read(chunk_bytes):
+                        digest.update(chunk)
+                digests.append(digest.hexdigest())
+            yield files.assign(sha256=digests)
+
+    return hashed
 
 
 def file_digests(
@@ -54,14 +58,15 @@ def file_digests(
     small = files.where(F.col("length") <= inline_bytes).select(
         _name("path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
     )
-    large = (
-        files.where(F.col("length") > inline_bytes)
-        .select("path", F.col("length").alias("size_bytes"))
-        .repartition(spark.sparkContext.defaultParallelism, "path")
-        .mapInPandas(_streamed_sha256, "path string, size_bytes long, sha256 string")
-        .select(_name("path"), "size_bytes", "sha256")
+    large = files.where(F.col("length") > inline_bytes).select(
+        "path", F.col("length").alias("size_bytes")
+    )
+    if large.isEmpty():
+        return small
+    streamed = large.repartition(spark.sparkContext.defaultParallelism, "path").mapInPandas(
+        _sha256_of_path(), "path string, size_bytes long, sha256 string"
     )
-    return small.unionByName(large)
+    return small.unionByName(streamed.select(_name("path"), "size_bytes", "sha256"))
 
 
 def line_counts(

@@ -80,8 +80,8 @@ def document_violations(documents: DataFrame) -> DataFrame:
         .when(entries.isNull(), "no entries array")
     )
     whole = documents.select(
-        violation("manifest_document", F.lit("manifest"), F.lit("document"), problem)
-    ).where("violation.detail is not null")
+        *violation("manifest_document", F.lit("manifest"), F.lit("document"), problem)
+    ).where("detail is not null")
     mistyped = [
         F.when(
             _field_kind(name).isNotNull() & ~_field_kind(name).isin(_variant_kind(name), "VOID"),
@@ -93,9 +93,9 @@ def document_violations(documents: DataFrame) -> DataFrame:
     typed = (
         _raw_entries(documents)
         .select(table.alias("t"), F.explode(F.array_compact(F.array(*mistyped))).alias("f"))
-        .select(violation("manifest_type", F.col("t"), F.col("f"), F.lit("wrong JSON type")))
+        .select(*violation("manifest_type", F.col("t"), F.col("f"), F.lit("wrong JSON type")))
     )
-    return whole.select("violation.*").unionByName(typed.select("violation.*"))
+    return whole.unionByName(typed)
 
 
 def entry_violations(entries: DataFrame) -> DataFrame:
@@ -122,8 +122,8 @@ def entry_violations(entries: DataFrame) -> DataFrame:
         F.explode(F.array_compact(F.array(*problems))).alias("p"),
     )
     return found.select(
-        violation("manifest_field", F.col("t"), F.col("p.f"), F.col("p.d"))
-    ).select("violation.*")
+        *violation("manifest_field", F.col("t"), F.col("p.f"), F.col("p.d"))
+    )
 
 
 def duplicate_entries(entries: DataFrame) -> DataFrame:
@@ -154,9 +154,9 @@ def completeness_violations(entries: DataFrame, registry: DataFrame) -> DataFram
     want = registry.select("table_name").withColumn("want", F.lit(True))
     state = F.when(F.col("have").isNull(), "missing").when(F.col("want").isNull(), "unexpected")
     found = want.join(have, "table_name", "full").select(
-        violation("snapshot_complete", F.col("table_name"), F.lit("table_name"), state)
+        *violation("snapshot_complete", F.col("table_name"), F.lit("table_name"), state)
     )
-    return found.select("violation.*").where("detail is not null")
+    return found.where("detail is not null")
 
 
 def metadata_violations(entries: DataFrame, registry: DataFrame) -> DataFrame:
@@ -167,8 +167,8 @@ def metadata_violations(entries: DataFrame, registry: DataFrame) -> DataFrame:
         F.col("table_name"), F.explode(F.array_compact(F.array(*differs))).alias("f")
     )
     return found.select(
-        violation("manifest_metadata", F.col("table_name"), F.col("f"), F.lit("differs"))
-    ).select("violation.*")
+        *violation("manifest_metadata", F.col("table_name"), F.col("f"), F.lit("differs"))
+    )
 
 
 def snapshot_violations(entries: DataFrame, registry: DataFrame) -> DataFrame:

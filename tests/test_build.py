@@ -3,7 +3,7 @@ import pytest
 from conftest import BASE_URL, SECOND_TITLES, manifest_frame, rows_of, write_snapshot
 from reelstrata.plans import build as builds
 from reelstrata.plans.audit import AuditError
-from reelstrata.sources.tables import Build, current_build, published_builds
+from reelstrata.sources.tables import Build, current_build, publish, published_builds
 
 
 def run(spark, tmp_path, name, entries, **options):
@@ -18,9 +18,15 @@ def run(spark, tmp_path, name, entries, **options):
     )
 
 
-def test_golden_snapshot(spark, tmp_path):
-    entries = write_snapshot(tmp_path / "raw", title_basics=SECOND_TITLES)
-    result = run(spark, tmp_path, "b1", entries)
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("lake")
+    entries = write_snapshot(folder / "raw", title_basics=SECOND_TITLES)
+    return folder, entries, run(spark, folder, "b1", entries)
+
+
+def test_golden_snapshot(spark, lake):
+    folder, _, result = lake
     assert result.relation_count == 31
     assert result.mart_row_counts == {
         "mart_title_search": 3,
@@ -28,7 +34,7 @@ def test_golden_snapshot(spark, tmp_path):
         "mart_person_filmography": 1,
         "mart_series_episodes": 1,
     }
-    build = current_build(spark, str(tmp_path / "lake"))
+    build = current_build(spark, str(folder / "lake"))
     relations = builds.open_build(spark, build)
     marts = relations["marts"]
     assert rows_of(
@@ -60,22 +66,33 @@ def test_golden_snapshot(spark, tmp_path):
     assert len(found) == 4
 
 
-def test_failure_at_any_stage_keeps_the_published_build(spark, tmp_path):
-    entries = write_snapshot(tmp_path / "raw", title_basics=SECOND_TITLES)
-    run(spark, tmp_path, "good", entries)
-    lake = str(tmp_path / "lake")
-    stages = ("verify", "ingest", "staging", "intermediate", "marts", "validate", "publish")
-    for stage in stages:
+def test_failure_keeps_the_published_build(spark, lake):
+    folder, entries, _ = lake
+    root = str(folder / "lake")
+    reached = []
+
+    def fail_last(stage):
+        reached.append(stage)
+        if stage == "publish":
+            raise RuntimeError(stage)
+
+    with pytest.raises(RuntimeError, match="publish"):
+        run(spark, folder, "bad", entries, on_stage=fail_last)
+    assert reached == [
+        "verify", "ingest", "staging", "intermediate", "marts", "validate", "publish"
+    ]
+    assert current_build(spark, root).build_id == "b1"
+    for stage in reached[:3]:
 
         def fail(reached, stage=stage):
             if reached == stage:
                 raise RuntimeError(stage)
 
         with pytest.raises(RuntimeError, match=stage):
-            run(spark, tmp_path, f"bad-{stage}", entries, on_stage=fail)
-        assert current_build(spark, lake).build_id == "good"
-    run(spark, tmp_path, "next", entries)
-    assert [r[0] for r in rows_of(published_builds(spark, lake))] == ["next", "good"]
+            run(spark, folder, f"bad-{stage}", entries, on_stage=fail)
+    assert [r[0] for r in rows_of(published_builds(spark, root))] == ["b1"]
+    publish(spark, Build(root, "bad"))
+    assert [r[0] for r in rows_of(published_builds(spark, root))] == ["bad", "b1"]
 
 
 def test_audit_stops_a_bad_layer(spark, tmp_path):
@@ -118,10 +135,8 @@ def test_second_load_replaces_the_first(spark, tmp_path):
     }
 
 
-def test_compacted_build_keeps_every_table(spark, tmp_path):
-    entries = write_snapshot(tmp_path / "raw", title_basics=SECOND_TITLES)
-    result = run(spark, tmp_path, "wide", entries)
-    lake = result.build.root
-    packed = builds.compact_build(spark, result.build, Build(lake, "packed"))
+def test_compacted_build_keeps_every_table(spark, lake):
+    _, _, result = lake
+    packed = builds.compact_build(spark, result.build, Build(result.build.root, "packed"))
     relations = builds.open_build(spark, packed)
     assert builds.mart_row_counts(relations["marts"]) == result.mart_row_counts

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -911,7 +911,7 @@ FROM customer JOIN (SELECT o_custkey, sum(floor(o_totalprice)::BIGINT)::BIGINT A
                     GROUP BY o_custkey) o ON o.o_custkey = c_custkey"""
 
 
-def _entry(rows: DataFrame, **columns: F.Column) -> DataFrame:
+def _entry(rows: DataFrame, **columns: Column) -> DataFrame:
     kinds = {field.name: field.dataType for field in FILE_SCHEMA}
     given = {
         "file_name": F.col("c_name"),
