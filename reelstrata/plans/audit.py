@@ -205,6 +205,18 @@ def range_findings(staged: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def raw_schema_findings(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Raw tables whose columns are not exactly the registered headers, all text, and the load."""
+    return checks.union_all(
+        [
+            checks.schema_violations(
+                spark, name, raw[name].schema, source.schema.add(LOAD_ID, "string")
+            )
+            for name, source in SOURCES.items()
+        ]
+    )
+
+
 def lineage_findings(raw: Mapping[str, DataFrame]) -> DataFrame:
     return checks.union_all(
         [

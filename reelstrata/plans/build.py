@@ -17,7 +17,7 @@ from reelstrata.session import configure, size_shuffles
 from reelstrata.sources import manifest as manifests
 from reelstrata.sources.inventory import inventory
 from reelstrata.sources.registry import SOURCES, registry_frame
-from reelstrata.sources.tables import Build, compact, publish, write_table
+from reelstrata.sources.tables import Build, compact, current_build, publish, write_table
 from reelstrata.sources.tsv import land
 
 # Text is several times its gzip size once decompressed.
@@ -51,6 +51,15 @@ def _nothing(_: str) -> None:
     return None
 
 
+def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of the manifest at `path`, refused as a whole if the document is unsound."""
+    documents = manifests.read_documents(spark, path)
+    problems = manifests.document_violations(documents).collect()
+    if problems:
+        raise SnapshotError("; ".join(f"{p['key']}: {p['detail']}" for p in problems))
+    return manifests.entries_of(documents)
+
+
 def verify_snapshot(
     spark: SparkSession, entries: DataFrame, raw_dir: str, base_url: str
 ) -> DataFrame:
@@ -190,3 +199,14 @@ def compact_build(spark: SparkSession, source: Build, target: Build) -> Build:
     for schema, name in stored:
         compact(spark, source.location(schema, name), target.location(schema, name))
     return target
+
+
+def checkpoint_current(spark: SparkSession, root: str, build_id: str) -> Build:
+    """Compact the current build into a new one and publish that; readers never see half of it."""
+    current = current_build(spark, root)
+    if current is None:
+        raise SnapshotError(f"nothing is published under {root}")
+    packed = compact_build(spark, current, Build(root, build_id))
+    validate(spark, open_build(spark, packed))
+    publish(spark, packed)
+    return packed

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelstrata.session import SCAN_BYTES
 from reelstrata.sources.registry import LOAD_ID, Source
 
 
@@ -36,6 +37,15 @@ def with_load_id(rows: DataFrame, load_id: str) -> DataFrame:
     return rows.withColumn(LOAD_ID, F.lit(load_id))
 
 
+def scan_tasks(spark: SparkSession, path: str | list[str]) -> int:
+    """How many tasks can read the text at once; only the listing is looked at."""
+    split = F.lit(SCAN_BYTES)
+    tasks = F.when(F.endswith("path", F.lit(".gz")), F.lit(1)).otherwise(
+        F.ceil(F.col("length") / split)
+    )
+    return spark.read.format("binaryFile").load(path).agg(F.sum(tasks)).first()[0] or 0
+
+
 @contextmanager
 def exact_header_case(spark: SparkSession):
     """Make the header comparison of running scans case-sensitive."""
@@ -52,14 +62,14 @@ def land(
 ) -> DataFrame:
     """Replace the raw table at `target` with the whole content of the text at `path`.
 
-    A gzip file is one task however large. With fewer files than cores the rows are spread
+    A gzip file is one task however large. With fewer scan tasks than cores the rows are spread
     before encoding; with many files the scan is parallel already and nothing is shuffled.
     """
     rows = with_load_id(read_tsv(spark, path, source), load_id)
     expected = [*source.headers, LOAD_ID]
     if rows.columns != expected or {kind for _, kind in rows.dtypes} != {"string"}:
         raise ValueError(f"raw.{source.table_name} must hold the string columns {expected}")
-    if len(rows.inputFiles()) < spark.sparkContext.defaultParallelism:
+    if scan_tasks(spark, path) < spark.sparkContext.defaultParallelism:
         rows = rows.hint("rebalance")
     with exact_header_case(spark):
         rows.write.mode("overwrite").parquet(target)

@@ -135,8 +135,22 @@ def test_second_load_replaces_the_first(spark, tmp_path):
     }
 
 
-def test_compacted_build_keeps_every_table(spark, lake):
+def test_checkpoint_publishes_a_compacted_copy(spark, lake):
     _, _, result = lake
-    packed = builds.compact_build(spark, result.build, Build(result.build.root, "packed"))
+    root = result.build.root
+    publish(spark, result.build)
+    packed = builds.checkpoint_current(spark, root, "packed")
+    assert current_build(spark, root) == packed == Build(root, "packed")
     relations = builds.open_build(spark, packed)
     assert builds.mart_row_counts(relations["marts"]) == result.mart_row_counts
+    with pytest.raises(builds.SnapshotError, match="nothing is published"):
+        builds.checkpoint_current(spark, f"{root}/other", "x")
+
+
+def test_unsound_manifest_document_is_refused(spark, tmp_path):
+    path = tmp_path / "manifest.json"
+    path.write_text('{"version": 2, "entries": []}')
+    with pytest.raises(builds.SnapshotError, match="unsupported version"):
+        builds.load_manifest(spark, str(path))
+    path.write_text('{"version": 1, "entries": []}')
+    assert builds.load_manifest(spark, str(path)).isEmpty()

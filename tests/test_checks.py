@@ -174,3 +174,16 @@ def test_missing_relations(spark):
     found = required.where("name <> 'dim_people'")
     lost = checks.missing_relations(required, found, ["schema", "name"])
     assert rows_of(lost) == [("intermediate", "dim_people")]
+
+
+def test_raw_schema(spark):
+    raw = snapshot(spark)["raw"]
+    assert audit.raw_schema_findings(spark, raw).isEmpty()
+    typed = {**raw, "title_ratings": raw["title_ratings"].withColumn("numVotes", F.lit(1))}
+    renamed = {**raw, "title_crew": raw["title_crew"].withColumnRenamed("writers", "Writers")}
+    assert keys_of(audit.raw_schema_findings(spark, typed)) == [
+        ("contract", "title_ratings", "numVotes")
+    ]
+    assert keys_of(audit.raw_schema_findings(spark, renamed)) == [
+        ("contract", "title_crew", "writers")
+    ]
