@@ -93,7 +93,7 @@ def line_counts(
         F.when(
             F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()
         ).alias("id"),
-        (F.regexp_replace("value", "\r+$", "") == wanted).alias("is_header"),
+        (F.rtrim("value", F.lit("\r")) == wanted).alias("is_header"),
     )
     counted = lines.groupBy("file_name").agg(
         (F.count("*") - 1).alias("row_count"),

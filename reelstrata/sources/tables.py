@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+COMPRESSION = "zstd"
+
 _PUBLISHED = "build_id string, published_at string"
 
 
@@ -45,7 +47,7 @@ def write_table(
     writer = rows
     if lookup or sort:
         writer = rows.sortWithinPartitions(*([lookup] if lookup else []), *sort)
-    out = writer.write.mode("overwrite")
+    out = writer.write.mode("overwrite").option("compression", COMPRESSION)
     if lookup:
         out = out.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
     out.parquet(path)
@@ -95,7 +97,7 @@ def compact(
         raise ValueError("compaction must write to a new path")
     rows = spark.read.parquet(source)
     files = max(1, math.ceil(stored_bytes(spark, source) / file_bytes))
-    rows.coalesce(files).write.mode("errorifexists").parquet(target)
+    rows.coalesce(files).write.mode("errorifexists").parquet(target, compression=COMPRESSION)
     packed = spark.read.parquet(target)
     if fingerprint(rows) != fingerprint(packed):
         raise RuntimeError(f"compaction changed the rows of {source}")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reelstrata.session import SCAN_BYTES
 from reelstrata.sources.registry import LOAD_ID, Source
+from reelstrata.sources.tables import COMPRESSION
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], source: Source) -> DataFrame:
@@ -72,5 +73,5 @@ def land(
     if scan_tasks(spark, path) < spark.sparkContext.defaultParallelism:
         rows = rows.hint("rebalance")
     with exact_header_case(spark):
-        rows.write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").parquet(target, compression=COMPRESSION)
     return spark.read.schema(rows.schema).parquet(target)

@@ -860,8 +860,8 @@ def lineage_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 def raw_lineage(spark: SparkSession, folder: str) -> DataFrame:
     """Raw rows against file rows of a later load: every table has lost its lineage."""
     raw = raw_tables(spark, folder)
-    raw["ingestion_files"] = manifest.file_lineage(entries(spark, folder), "load-2")
-    return audit.lineage_findings(raw)
+    later = manifest.file_lineage(entries(spark, folder), "load-2")
+    return audit.lineage_findings({**{name: raw[name] for name in SOURCES}, "ingestion_files": later})
 
 
 _BUSY = "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000"

@@ -180,7 +180,7 @@ def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 class OnDemand(dict):
-    """Tables by name, each derived when first asked for."""
+    """Tables by name, each defined when first asked for; definitions, not rows, are kept."""
 
     def __init__(self, derive: Callable[[str], DataFrame]):
         super().__init__()
@@ -191,20 +191,24 @@ class OnDemand(dict):
         return self[name]
 
 
+@cache
 def raw_tables(spark: SparkSession, folder: str) -> OnDemand:
     return OnDemand(lambda name: raw_table(spark, folder, name))
 
 
+@cache
 def staged_tables(spark: SparkSession, folder: str) -> OnDemand:
     raw = raw_tables(spark, folder)
     return OnDemand(lambda name: stage(name, raw[name]))
 
 
+@cache
 def models(spark: SparkSession, folder: str) -> OnDemand:
     staged = staged_tables(spark, folder)
     return OnDemand(lambda name: intermediate(name, staged))
 
 
+@cache
 def mart_tables(spark: SparkSession, folder: str) -> OnDemand:
     tables = models(spark, folder)
     return OnDemand(lambda name: mart(name, tables))
