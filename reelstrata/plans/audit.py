@@ -282,11 +282,16 @@ FINDINGS = {
 }
 
 
+def totals(findings: DataFrame) -> DataFrame:
+    """`check, relation, findings`: one row per check that fired."""
+    return findings.groupBy("check", "relation").agg(F.count("*").alias("findings"))
+
+
 def gate(layer: str, findings: DataFrame) -> None:
     """Raise if there is any finding, naming checks and counts (one small row per check)."""
-    totals = findings.groupBy("check", "relation").agg(F.count("*").alias("findings")).collect()
-    if totals:
-        found = sorted((r["check"], r["relation"], r["findings"]) for r in totals)
+    fired = totals(findings).collect()
+    if fired:
+        found = sorted((r["check"], r["relation"], r["findings"]) for r in fired)
         listed = "; ".join(f"{check} on {relation}: {n}" for check, relation, n in found)
         raise AuditError(f"{layer}: {listed}")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def search_titles(title_search: DataFrame, pattern: str, limit: int = 25) -> DataFrame:
-    """Most voted titles whose primary title matches an ILIKE pattern such as `%matrix%`."""
+    """Most voted titles whose primary title matches an ILIKE pattern such as `%river%`."""
     return (
         title_search.where(F.col("primary_title").ilike(pattern))
         .orderBy(F.desc_nulls_last("num_votes"), F.asc("tconst"))

@@ -2,7 +2,9 @@ import pytest
 
 from conftest import BASE_URL, SECOND_TITLES, manifest_frame, rows_of, write_snapshot
 from reelstrata.plans import build as builds
+from reelstrata.plans import queries
 from reelstrata.plans.audit import AuditError
+from reelstrata.plans.marts import CONTRACTS
 from reelstrata.sources.tables import Build, current_build, publish, published_builds
 
 
@@ -66,6 +68,27 @@ def test_golden_snapshot(spark, lake):
     assert len(found) == 4
 
 
+def scan_of(rows):
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    return next(line for line in plan.splitlines() if "FileScan" in line)
+
+
+def test_point_queries_reach_the_scan(spark, lake):
+    _, _, result = lake
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    marts = {name: result.build.scan(spark, "marts", name) for name in CONTRACTS}
+    scan = scan_of(queries.filmography_of(marts["mart_person_filmography"], "nm0001"))
+    assert "EqualTo(nconst,nm0001)" in scan
+    assert "characters" not in scan and "num_votes" not in scan
+    scan = scan_of(queries.episodes_of(marts["mart_series_episodes"], "tt0001"))
+    assert "EqualTo(series_tconst,tt0001)" in scan
+    scan = scan_of(queries.genre_over_time(marts["mart_genre_year_summary"], "Drama", 2000, 2020))
+    assert "EqualTo(genre,Drama)" in scan and "GreaterThanOrEqual(start_year,2000)" in scan
+    top = queries.top_titles(marts["mart_title_search"])
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+    assert "directors" not in scan_of(top)
+
+
 def test_failure_keeps_the_published_build(spark, lake):
     folder, entries, _ = lake
     root = str(folder / "lake")

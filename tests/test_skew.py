@@ -81,6 +81,19 @@ def test_hot_person_and_title_are_split_in_every_join(tables):
     assert hot.count() == tables["credits"].where("tconst = 't0' and nconst = 'n0'").count()
 
 
+def test_hot_series_is_split(tables):
+    episodes = tables["credits"].select(
+        "tconst",
+        F.concat(F.lit("t"), F.substring("nconst", 2, 9)).alias("parent_tconst"),
+        F.lit(1).alias("season_number"),
+        F.col("ordering").alias("episode_number"),
+        F.col("job").alias("_load_id"),
+    )
+    listed = marts.series_episodes(episodes, tables["titles"], tables["ratings"])
+    assert "SortMergeJoin(skew=true)" in final_plan(listed)
+    assert listed.count() == ROWS
+
+
 def test_rollups_of_a_hot_title_equal_brute_force(tables):
     got = dict(rows_of(intermediate.title_principal_cast_lists(tables["credits"], tables["people"])))
     names = dict(rows_of(tables["people"].select("nconst", "primary_name")))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -19,6 +21,16 @@ def test_every_character_survives(spark, tmp_path):
     assert scan(spark, tmp_path, text) == [(str(i), v) for i, v in enumerate(fields)]
 
 
+def test_random_text_survives(spark, tmp_path):
+    dice = random.Random(7)
+    letters = [c for c in map(chr, range(1, 0x250)) if c not in "\t\n\r"] + list("東京\U0001f3ac\\\"'")
+    rows = [
+        (str(i), "".join(dice.choices(letters, k=dice.randrange(12)))) for i in range(3000)
+    ]
+    text = "id\tv\n" + "".join(f"{i}\t{v}\n" for i, v in rows)
+    assert scan(spark, tmp_path, text) == rows
+
+
 def test_empty_key_and_missing_last_newline(spark, tmp_path):
     assert scan(spark, tmp_path, "id\tv\n\tx\n2\ty") == [("", "x"), ("2", "y")]
 

@@ -359,6 +359,34 @@ def mart_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return checks.row_counts({name: built[name] for name in marts.MARTS})
 
 
+@case(
+    "mart_probe",
+    query(
+        "search summary filmography series",
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS mart, count(*) AS readable FROM (SELECT * FROM {source} LIMIT 1)"
+            for name, source in (
+                ("mart_title_search", "search"),
+                ("mart_genre_year_summary", "summary"),
+                ("mart_person_filmography", "filmography"),
+                ("mart_series_episodes", "series"),
+            )
+        ),
+    ),
+)
+def mart_probe(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether one row of each mart can be read; which row is open."""
+    built = mart_tables(spark, folder)
+    return checks.union_all(
+        [
+            queries.probe(name, built[name])
+            .agg(F.count("*").alias("readable"))
+            .select(F.lit(name).alias("mart"), "readable")
+            for name in marts.MARTS
+        ]
+    )
+
+
 @case("published_mart_counts", _MART_COUNTS)
 def published_mart_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Marts written under a new build, published, and counted through the current build."""
@@ -864,6 +892,89 @@ def raw_lineage(spark: SparkSession, folder: str) -> DataFrame:
     return audit.lineage_findings({**{name: raw[name] for name in SOURCES}, "ingestion_files": later})
 
 
+def _totals_sql(*parts: tuple[str, str, str]) -> str:
+    """Findings per check and relation from (check, relation, subquery of the violating rows)."""
+    counted = "\nUNION ALL\n".join(
+        f"""SELECT '{check}' AS "check", '{relation}' AS relation, count(*) AS findings
+FROM ({rows}) HAVING count(*) > 0"""
+        for check, relation, rows in parts
+    )
+    return counted
+
+
+def _repeated_sql(source: str, by: str) -> str:
+    return f"SELECT {by} FROM {source} GROUP BY {by} HAVING count(*) > 1"
+
+
+@case(
+    "staging_audit",
+    query(
+        "titles crew episodes ratings people",
+        _totals_sql(
+            *[
+                ("unique", name, _repeated_sql(source, key))
+                for name, (source, key) in _STAGED_KEYS.items()
+            ],
+            (
+                "value_range",
+                "title_ratings",
+                "SELECT * FROM ratings WHERE average_rating NOT BETWEEN 0 AND 10",
+            ),
+            (
+                "value_range",
+                "name_basics",
+                "SELECT * FROM people WHERE birth_year > 2200 OR death_year > 2200",
+            ),
+        ),
+    ),
+)
+def staging_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """All staging checks at once: which of them fired, and how often."""
+    layers = {"raw": raw_tables(spark, folder), "staging": staged_tables(spark, folder)}
+    return audit.totals(audit.staging_findings(layers))
+
+
+@case(
+    "intermediate_audit",
+    query(
+        f"{_LINK_TABLES} akas credits title_genres crew_links",
+        _totals_sql(
+            ("grain", "bridge_title_akas", _repeated_sql("akas", "title_id, ordering")),
+            ("grain", "bridge_title_credits", _repeated_sql("credits", "tconst, ordering")),
+            ("grain", "bridge_title_genres", _repeated_sql("title_genres", "tconst, genre")),
+            (
+                "grain",
+                "bridge_title_crew",
+                _repeated_sql("crew_links", "tconst, crew_role, nconst"),
+            ),
+        )
+        + f"""
+UNION ALL SELECT 'orphan_ratio', link, 1 FROM ({_METRICS_SQL})
+WHERE orphan_rows > child_rows * 0.0001""",
+    ),
+)
+def intermediate_audit(spark: SparkSession, folder: str) -> DataFrame:
+    layers = {"staging": staged_tables(spark, folder), "intermediate": models(spark, folder)}
+    return audit.totals(audit.intermediate_findings(layers))
+
+
+@case(
+    "mart_audit",
+    query(
+        "filmography",
+        _totals_sql(
+            (
+                "grain",
+                "mart_person_filmography",
+                _repeated_sql("filmography", "nconst, tconst, ordering"),
+            ),
+        ),
+    ),
+)
+def mart_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.totals(audit.mart_findings({"marts": mart_tables(spark, folder)}))
+
+
 _BUSY = "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000"
 
 
