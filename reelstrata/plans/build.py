@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from reelstrata.sources import manifest as manifests
 from reelstrata.sources.inventory import inventory
 from reelstrata.sources.registry import SOURCES, registry_frame
 from reelstrata.sources.tables import Build, compact, current_build, publish, write_table
-from reelstrata.sources.tsv import land
+from reelstrata.sources.tsv import exact_header_case, land
 
 # Text is several times its gzip size once decompressed.
 GZIP_EXPANSION = 6
@@ -51,6 +52,14 @@ def _nothing(_: str) -> None:
     return None
 
 
+def _each(names: Iterable[str], job: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    """Run one independent Spark job per name at the same time, so that jobs of a single long task
+    (a gzip file) or with a thin last stage do not leave the cluster idle."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return dict(zip(names, pool.map(job, names), strict=True))
+
+
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Entries of the manifest at `path`, refused as a whole if the document is unsound."""
     documents = manifests.read_documents(spark, path)
@@ -85,16 +94,13 @@ def load_raw(
     spark: SparkSession, entries: DataFrame, raw_dir: str, build: Build, load_id: str
 ) -> dict[str, DataFrame]:
     """Land the seven files and their lineage table, replacing whatever the build held."""
-    raw = {
-        name: land(
-            spark,
-            f"{raw_dir.rstrip('/')}/{source.file_name}",
-            source,
-            load_id,
-            build.location("raw", name),
-        )
-        for name, source in SOURCES.items()
-    }
+
+    def landed(name: str) -> DataFrame:
+        path = f"{raw_dir.rstrip('/')}/{SOURCES[name].file_name}"
+        return land(spark, path, SOURCES[name], load_id, build.location("raw", name))
+
+    with exact_header_case(spark):
+        raw = _each(SOURCES, landed)
     raw["ingestion_files"] = write_table(
         manifests.file_lineage(entries, load_id).coalesce(1),
         build.location("raw", "ingestion_files"),
@@ -166,19 +172,21 @@ def build_snapshot(
 
     on_stage("intermediate")
     models = intermediate_all(relations["staging"])
-    for name in ROLLUPS:
-        models[name] = write_table(models[name], build.location("intermediate", name))
+    models |= _each(
+        ROLLUPS, lambda name: write_table(models[name], build.location("intermediate", name))
+    )
     relations["intermediate"] = models
     audit.audit("intermediate", relations)
 
     on_stage("marts")
-    marts = {}
-    for name, rows in marts_all(models).items():
+    marts = marts_all(models)
+
+    def stored(name: str) -> DataFrame:
         lookup, sort = LOOKUPS[name]
-        marts[name] = write_table(
-            rows, build.location("marts", name), lookup=lookup, sort=sort
-        )
-    relations["marts"] = marts
+        path = build.location("marts", name)
+        return write_table(marts[name], path, lookup=lookup, sort=sort)
+
+    relations["marts"] = _each(marts, stored)
     audit.audit("marts", relations)
 
     on_stage("validate")
@@ -191,13 +199,17 @@ def build_snapshot(
 
 def compact_build(spark: SparkSession, source: Build, target: Build) -> Build:
     """Rewrite every stored table of a build into fewer files under a new build id."""
-    stored = [
-        *[("raw", name) for name in audit.REQUIRED["raw"]],
-        *[("intermediate", name) for name in ROLLUPS],
-        *[("marts", name) for name in CONTRACTS],
-    ]
-    for schema, name in stored:
-        compact(spark, source.location(schema, name), target.location(schema, name))
+    stored = {
+        **{name: "raw" for name in audit.REQUIRED["raw"]},
+        **{name: "intermediate" for name in ROLLUPS},
+        **{name: "marts" for name in CONTRACTS},
+    }
+    _each(
+        stored,
+        lambda name: compact(
+            spark, source.location(stored[name], name), target.location(stored[name], name)
+        ),
+    )
     return target
 
 
