@@ -71,7 +71,7 @@ def duplicate_keys(
     label: Column | None = None,
 ) -> DataFrame:
     """Repeated composite keys, NULL keys included."""
-    found = repeated(rows, keys).select(
+    return repeated(rows, keys).select(
         *violation(
             check,
             F.lit(relation),
@@ -79,7 +79,6 @@ def duplicate_keys(
             F.concat(F.col("copies").cast("string"), F.lit(" rows")),
         )
     )
-    return found
 
 
 def unique(rows: DataFrame, relation: str, column: str) -> DataFrame:
@@ -204,10 +203,9 @@ def out_of_range(
     rows: DataFrame, relation: str, key: str, label: str, outside: Column
 ) -> DataFrame:
     """Rows for which `outside` holds; a NULL value is never outside."""
-    found = rows.where(outside).select(
+    return rows.where(outside).select(
         *violation("value_range", F.lit(relation), F.col(key), F.lit(label))
     )
-    return found
 
 
 def outside(column: str, low: float, high: float) -> Column:
@@ -218,10 +216,9 @@ def not_accepted(
     rows: DataFrame, relation: str, key: str, column: str, accepted: Sequence[str]
 ) -> DataFrame:
     """Rows whose value is none of the accepted ones; NULL is never selected."""
-    found = rows.where(~F.col(column).isin(*accepted)).select(
+    return rows.where(~F.col(column).isin(*accepted)).select(
         *violation("accepted_values", F.lit(relation), F.col(key), F.col(column))
     )
-    return found
 
 
 def schema_violations(
