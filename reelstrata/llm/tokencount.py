@@ -29,6 +29,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SEPARATOR = 0xC480
 #: Bytes of a block; even, so that no identifier is cut.
 BLOCK = 1 << 20
+#: Documents of a token file at most; a file is read as one cell.
+FILE_ROWS = 4_096
 
 
 @cache
@@ -53,18 +55,27 @@ def tokenised(path: str):
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str = VOCABULARY) -> None:
-    """One token file for each partition of `docs`, its documents in the order of the rows."""
+    """Token files of FILE_ROWS documents for each partition of `docs`, in the order of the rows."""
     rows = docs.select(tokenised(path)("text").cast("string").alias("value"))
-    rows.write.option("lineSep", SEPARATOR.to_bytes(2, "big").decode()).text(folder)
+    rows.write.option("lineSep", SEPARATOR.to_bytes(2, "big").decode()).option("maxRecordsPerFile", FILE_ROWS).text(folder)
 
 
-def separators(separator: int):
-    @F.arrow_udf("array<int>")
-    def run(blocks: pa.Array) -> pa.Array:
-        found = [np.flatnonzero(np.frombuffer(b, ">u2") == separator).astype(np.int32) for b in blocks.to_pylist()]
-        offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-        values = np.concatenate(found) if found else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+BLOCKS = "file string, block int, at array<int>"
+
+
+def separators(separator: int, block: int):
+    """The places of the separators in each block of the files that a task has; blocks are views of a file's bytes."""
+
+    def run(batches):
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.frombuffer(content.as_buffer(), ">u2")
+                for k in range(max(1, -(-len(ids) // (block // 2)))):
+                    found = np.flatnonzero(ids[k * (block // 2) : (k + 1) * (block // 2)] == separator).astype(np.int32)
+                    offsets = pa.array([0, len(found)], pa.int32())
+                    at = pa.ListArray.from_arrays(offsets, pa.array(found))
+                    columns = [pa.array([name]), pa.array([k], pa.int32()), at]
+                    yield pa.RecordBatch.from_arrays(columns, ["file", "block", "at"])
 
     return run
 
@@ -72,12 +83,8 @@ def separators(separator: int):
 def count_tokens(spark: SparkSession, folder: str, separator: int = SEPARATOR, block: int = BLOCK) -> DataFrame:
     """file, number of the document in it, position of its first token, number of its tokens."""
     files = spark.read.format("binaryFile").load(folder)
-    blocks = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.col("length") - 1, F.lit(0)) / block).cast("int"))).alias("block"),
-        "content",
-    ).select("file", "block", F.substring(F.col("content"), F.col("block") * block + 1, F.lit(block)).alias("bytes"))
-    found = blocks.select("file", "block", separators(separator)("bytes").alias("at"))
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    found = files.mapInArrow(separators(separator, block), BLOCKS)
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = F.col("block").cast("long") * (block // 2)
     last = F.when(F.size("at") > 0, base + F.element_at("at", -1))
@@ -114,7 +121,9 @@ def document_tokens(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/llm/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, folder, path)
-    counted = count_tokens(spark, folder).withColumn("part", F.regexp_extract("file", r"^part-(\d+)", 1).cast("int"))
+    counted = count_tokens(spark, folder)
+    part, turn = (F.regexp_extract("file", r"^part-(\d+)-.*-c(\d+)", k).cast("long") for k in (1, 2))
+    counted = counted.withColumn("part", part).withColumn("place", turn * FILE_ROWS + F.col("doc_no"))
     where = numbered(docs)
-    on = (counted["part"] == where["part"]) & (counted["doc_no"] == where["place"])
+    on = (counted["part"] == where["part"]) & (counted["place"] == where["place"])
     return counted.join(where, on).select("doc_id", "file", "doc_no", "first_token", "n_tokens")
