@@ -168,7 +168,7 @@ def mix_sql(mix: Mix = Mix(), table: str = "documents", prefix: str = "") -> str
     return f"""
 WITH RECURSIVE {prefix}
 counted AS (
-  SELECT doc_id, source, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens,
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens,
          md5('{mix.seed}|' || coalesce(doc_id::VARCHAR, '')) AS draw
   FROM {table}),
 sources AS (SELECT source, sum(n_tokens)::BIGINT AS total FROM counted GROUP BY source),
