@@ -238,10 +238,11 @@ def follow(rows: pd.DataFrame) -> pd.DataFrame:
 def leaves(rows: DataFrame, key: str) -> DataFrame:
     """Rows of key, node and n with the tasks they take part in: leaf_a, leaf_b and the side they are on.
 
+    Rows alone under their key go first, in the one shuffle of all rows; what is left is stored.
     Keys of up to LEAF rows are one task. Others are cut by size into leaves; a leaf meets itself and the later
     leaves whose smallest set may still be similar to its largest."""
     whole = Window.partitionBy(key)
-    ranked = rows.withColumn("of", F.count(F.lit(1)).over(whole)).where("of > 1")
+    ranked = stored(rows.withColumn("of", F.count(F.lit(1)).over(whole)).where("of > 1"), "shared")
     ranked = ranked.withColumn("leaf", F.floor((F.row_number().over(whole.orderBy("n", "node")) - 1) / LEAF).cast("int"))
     small = ranked.where(F.col("of") <= LEAF).select(
         *rows.columns, F.lit(0).alias("leaf_a"), F.lit(0).alias("leaf_b"), F.lit(0).alias("side")
@@ -283,7 +284,8 @@ def join(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("d"), "text").join(wanted, F.col("d").eqNullSafe(F.col("doc_id")))
     found = texts.select("node", "n", "cluster", sets("text").alias("found"))
     found = found.where(names("found") == F.col("node")).dropDuplicates(["node"])
-    tiles = leaves(stored(found, "sets"), "cluster")
+    found = stored(found, "sets")
+    tiles = leaves(found.select("cluster", "node", "n"), "cluster").join(found.select("node", "found"), "node")
     links = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(follow, "u long, v long")
     labels = components(links, "links")
     least = some.groupBy("node").agg(F.min("doc_id").alias("id")).join(labels, "node", "left")
