@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstrata.operators.checks import duplicate_keys, violation
-from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES
+from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID
 
 # Fixed value: the manifest layout these functions understand.
 MANIFEST_VERSION = 1
@@ -59,9 +59,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(entries: DataFrame, path: str) -> None:
-    """One versioned document of the registered sources' entries, at most one each."""
-    if entries.count() > len(SOURCES):
-        raise ValueError(f"a manifest holds at most {len(SOURCES)} entries")
+    """One versioned document of the entries, one for each table."""
+    if entries.groupBy("table_name").count().where("count > 1").head(1):
+        raise ValueError("a manifest holds one entry for each table")
     rows = F.array_sort(F.collect_list(F.struct("table_name", F.struct(*FILE_COLUMNS))))
     document = entries.agg(F.transform(rows, lambda row: row["col2"]).alias("entries")).select(
         F.lit(MANIFEST_VERSION).alias("version"), "entries"

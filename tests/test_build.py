@@ -40,10 +40,10 @@ def test_golden_snapshot(spark, lake):
     relations = builds.open_build(spark, build)
     marts = relations["marts"]
     assert rows_of(
-        marts["mart_title_search"].where("tconst = 'tt0001'").select(
+        marts["mart_title_search"].where("tconst = 'tt7301'").select(
             "primary_title", "average_rating", "genres", "directors", "principal_cast"
         )
-    ) == [("Exámple 東京", 7.5, ["Drama"], ["Example Person"], ["Example Person"])]
+    ) == [("Löwenzahn 山道", 7.5, ["Drama"], ["Mira Quill"], ["Mira Quill"])]
     assert rows_of(
         marts["mart_genre_year_summary"].where("start_year = 2020 and genre = 'Drama'").select(
             "title_count", "rated_title_count", "total_votes"
@@ -51,13 +51,13 @@ def test_golden_snapshot(spark, lake):
     ) == [(1, 1, 100)]
     assert rows_of(
         marts["mart_person_filmography"].select("nconst", "tconst", "category", "characters")
-    ) == [("nm0001", "tt0001", "actor", ["Hero"])]
+    ) == [("nm9105", "tt7301", "actor", ["Pilot"])]
     assert rows_of(
         marts["mart_series_episodes"].select(
             "series_tconst", "episode_tconst", "season_number", "episode_number"
         )
-    ) == [("tt0001", "tt0002", 1, 1)]
-    staged = relations["staging"]["title_basics"].where("tconst = 'tt-new'")
+    ) == [("tt7301", "tt7302", 1, 1)]
+    staged = relations["staging"]["title_basics"].where("tconst = 'tt-late'")
     assert rows_of(staged.select("start_year", "end_year", "genres", "_load_id")) == [
         (2026, None, ["Drama"], "load-b1")
     ]
@@ -77,11 +77,11 @@ def test_point_queries_reach_the_scan(spark, lake):
     _, _, result = lake
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     marts = {name: result.build.scan(spark, "marts", name) for name in CONTRACTS}
-    scan = scan_of(queries.filmography_of(marts["mart_person_filmography"], "nm0001"))
-    assert "EqualTo(nconst,nm0001)" in scan
+    scan = scan_of(queries.filmography_of(marts["mart_person_filmography"], "nm9105"))
+    assert "EqualTo(nconst,nm9105)" in scan
     assert "characters" not in scan and "num_votes" not in scan
-    scan = scan_of(queries.episodes_of(marts["mart_series_episodes"], "tt0001"))
-    assert "EqualTo(series_tconst,tt0001)" in scan
+    scan = scan_of(queries.episodes_of(marts["mart_series_episodes"], "tt7301"))
+    assert "EqualTo(series_tconst,tt7301)" in scan
     scan = scan_of(queries.genre_over_time(marts["mart_genre_year_summary"], "Drama", 2000, 2020))
     assert "EqualTo(genre,Drama)" in scan and "GreaterThanOrEqual(start_year,2000)" in scan
     top = queries.top_titles(marts["mart_title_search"])
@@ -145,16 +145,16 @@ def test_second_load_replaces_the_first(spark, tmp_path):
     first = manifest_frame(spark, write_snapshot(raw_dir))
     raw = builds.load_raw(spark, first, str(raw_dir), build, "one")["title_basics"]
     rows = {r["tconst"]: r for r in raw.collect()}
-    assert set(rows) == {"tt0001", "tt-old"}
-    assert rows["tt0001"]["endYear"] == "\\N"
-    assert rows["tt0001"]["primaryTitle"] == "Exámple 東京"
-    assert rows["tt-old"]["originalTitle"] == ""
+    assert set(rows) == {"tt7301", "tt-early"}
+    assert rows["tt7301"]["endYear"] == "\\N"
+    assert rows["tt7301"]["primaryTitle"] == "Löwenzahn 山道"
+    assert rows["tt-early"]["originalTitle"] == ""
     second = manifest_frame(spark, write_snapshot(raw_dir, title_basics=SECOND_TITLES))
     raw = builds.load_raw(spark, second, str(raw_dir), build, "two")["title_basics"]
     assert set(rows_of(raw.select("tconst", "_load_id"))) == {
-        ("tt0001", "two"),
-        ("tt0002", "two"),
-        ("tt-new", "two"),
+        ("tt7301", "two"),
+        ("tt7302", "two"),
+        ("tt-late", "two"),
     }
 
 

@@ -1212,11 +1212,13 @@ def text_line_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @case(
     "compaction",
-    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+       o_orderpriority FROM orders""",
 )
 def compaction(spark: SparkSession, folder: str) -> DataFrame:
     """Many small files rewritten to few, every row kept."""
-    orders = table(spark, folder, "orders").drop("o_orderdate")
+    orders = table(spark, folder, "orders")
+    orders = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     small = scratch_path(spark, "small")
     orders.repartition(64).write.parquet(small)
     return tables.compact(spark, small, scratch_path(spark, "packed"))
