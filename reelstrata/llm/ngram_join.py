@@ -31,9 +31,11 @@ from reelstrata.llm.common import fresh, stored
 from reelstrata.llm.graph import components
 
 SHINGLE, PERCENT = 4, 85
-GROUPS = 128
+GROUPS = 64
+#: A count that a point's 16 bits cannot hold stands for any larger one.
+MOST = (1 << 16) - 1
 #: Points of a meeting place or cluster that one task takes from each of at most two leaves.
-LEAF = 2_048
+LEAF = 8_192
 #: Points of a leaf of the tree inside a task.
 PAGE = 32
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -61,6 +63,17 @@ def counts(found: np.ndarray) -> np.ndarray:
     return np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
+def packed(found: np.ndarray) -> bytes:
+    return np.minimum(counts(found), MOST).astype(np.uint16).tobytes()
+
+
+def unpacked(points) -> np.ndarray:
+    """The points, with counts that are no less than those of the sets."""
+    out = np.frombuffer(b"".join(points), np.uint16).reshape(-1, GROUPS).astype(np.int32)
+    out[out == MOST] = 1 << 24
+    return out
+
+
 def prefix(n: int) -> int:
     return n - (PERCENT * n + 99) // 100 + 1
 
@@ -89,7 +102,7 @@ def signatures(text: Column) -> Column:
             sizes.append(len(found))
             nodes.append(node_of(found))
             parts.append(signed(found[: prefix(len(found))] if len(found) else found))
-            points.append(counts(found).tobytes())
+            points.append(packed(found))
         offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32))
         values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
         columns = [
@@ -181,7 +194,7 @@ def settle(rows: pd.DataFrame, place: np.ndarray) -> pd.DataFrame:
     out_u, out_v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if len(rows):
         nodes, sizes, side = (rows[c].to_numpy() for c in ("node", "n", "side"))
-        points = np.frombuffer(b"".join(rows["point"]), np.int32).reshape(-1, GROUPS)
+        points = unpacked(rows["point"])
         starts = place[place < len(rows)]
         lengths = np.diff(np.append(starts, len(rows)))
         group = np.repeat(np.arange(len(starts)), lengths)

@@ -400,7 +400,7 @@ def joined_by_hand(rows):
     return sorted(((i, len(s), least[root(k)]) for k, ((i, _), s) in enumerate(zip(rows, sets))), key=str)
 
 
-@pytest.mark.parametrize("leaf", [2_048, 7])
+@pytest.mark.parametrize("leaf", [8_192, 7])
 def test_join_equals_brute_force(spark, docs, monkeypatch, leaf):
     ship(spark)
     monkeypatch.setattr(ngram_join, "LEAF", leaf)
