@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 from pathlib import Path
 
@@ -65,6 +66,20 @@ class Pieces:
         self.rule = rule
         self.lone = min(self.scores.values(), default=0.0) - 10
 
+    @cached_property
+    def trie(self) -> dict:
+        """The pieces by characters; the score of a piece stands under the empty key."""
+        root: dict = {}
+        for piece, score in self.scores.items():
+            node = root
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = score
+        return root
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "trie"}
+
     def segments(self, marked: str) -> list[str]:
         return re.findall(self.rule, marked, re.DOTALL)
 
@@ -98,15 +113,21 @@ def best_ends(pieces: Pieces, s: str, start: int, limit: int) -> tuple[list[floa
     n = len(s)
     score, origin = [LOWEST] * (n + 1), [-1] * (n + 1)
     score[start] = 0.0
-    known, widest = pieces.scores, pieces.widest
+    trie, lone = pieces.trie, pieces.lone
     for i in range(start, min(limit, n)):
         here = score[i]
         if here == LOWEST:
             continue
-        if s[i] not in known and here + pieces.lone > score[i + 1]:
-            score[i + 1], origin[i + 1] = here + pieces.lone, i
-        for j in range(i + 1, min(n, i + widest) + 1):
-            value = known.get(s[i:j])
+        node, j = trie.get(s[i]), i + 1
+        value = here + (lone if node is None else node.get("", lone))
+        if value > score[j]:
+            score[j], origin[j] = value, i
+        while node is not None and j < n:
+            node = node.get(s[j])
+            if node is None:
+                break
+            j += 1
+            value = node.get("")
             if value is not None and here + value > score[j]:
                 score[j], origin[j] = here + value, i
     return score, origin
@@ -178,7 +199,7 @@ def whole(pieces: Pieces):
         for text in texts.to_pylist():
             text = text or ""
             parts.append(pieces_of(memory, marked(text)))
-            same.append(text_of(pieces, parts[-1]) == text)
+            same.append(text_of(pieces, parts[-1].tolist()) == text)
         return frame_of(parts, same)
 
     return run
@@ -333,7 +354,7 @@ def encode(docs: DataFrame, pieces: Pieces, chunk: int = CHUNK) -> DataFrame:
     @F.arrow_udf("boolean")
     def same(texts: pa.Array, ids: pa.Array) -> pa.Array:
         pairs = zip(texts.to_pylist(), ids.to_numpy(zero_copy_only=False))
-        return pa.array([text_of(pieces, found) == text for text, found in pairs], pa.bool_())
+        return pa.array([text_of(pieces, found.tolist()) == text for text, found in pairs], pa.bool_())
 
     found = encode_giants(giants.select("key", "text"), pieces, chunk)
     large = giants.join(found, "key").select(
@@ -349,7 +370,7 @@ def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     @F.arrow_udf("string")
     def run(ids: pa.Array) -> pa.Array:
         parts = ids.to_numpy(zero_copy_only=False)
-        return pa.array(["" if p is None else text_of(pieces, p) for p in parts], pa.string())
+        return pa.array(["" if p is None else text_of(pieces, p.tolist()) for p in parts], pa.string())
 
     return encoded.withColumn(fresh(encoded, "decoded"), run("ids"))
 
