@@ -121,7 +121,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and likenesses to the edited and to the next text.
 
     Texts are dealt out once, by ranges of ids. The last row of a range takes as its next one the first row of the next
-    range below that has rows, which comes from the same exchange; below the lowest stands the highest."""
+    range below that has rows; below the lowest stands the highest."""
     text = F.coalesce("text", F.lit(""))
     part = ranges(docs)
     rows = docs.select("doc_id", text.alias("text"), part.alias("part"), fingerprint(text).alias("fingerprint"))
@@ -130,10 +130,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "*",
         F.lead("text").over(inside).alias("after"),
         F.lead("fingerprint").over(inside).alias("after_print"),
-        F.row_number().over(inside).alias("place"),
     )
-    heads = follow.where("place = 1").select(
-        F.col("part").alias("h_part"), F.col("text").alias("head_text"), F.col("fingerprint").alias("head_print")
+    # Spark keeps the first row of each range before its exchange, so few texts are moved and fingerprinted here
+    plain = docs.select("doc_id", text.alias("text"), part.alias("part"))
+    heads = plain.withColumn("place", F.row_number().over(inside)).where("place = 1").select(
+        F.col("part").alias("h_part"), F.col("text").alias("head_text"), fingerprint(F.col("text")).alias("head_print")
     )
     parts = docs.select(part.alias("part")).distinct()
     order = Window.orderBy(F.col("part").desc())  # of at most about MOST_RANGES numbers
