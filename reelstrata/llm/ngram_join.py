@@ -9,8 +9,8 @@ form candidate clusters; inside each, overlaps are counted exactly. Links within
 so that a group of n copies needs about n comparisons and yields fewer than n links, and no pair is lost that
 would join two components.
 
-Meeting places and clusters of more than LEAF points are cut by size into leaves and become one task for each pair of
-leaves whose sizes allow a link; no group is gathered whole.
+Meeting places of more than LEAF points and clusters of more than SHINGLES shingles are cut by size into leaves and
+become one task for each pair of leaves whose sizes allow a link; no group is gathered whole.
 
 Defined results: NULL, empty and blank texts have no shingles, are linked with nothing and are their own component;
 fewer than four words are one shingle; a NULL doc_id takes the least id of its component, NULL if there is none;
@@ -34,8 +34,12 @@ SHINGLE, PERCENT = 4, 85
 GROUPS = 64
 #: A count that a point's 16 bits cannot hold stands for any larger one.
 MOST = (1 << 16) - 1
-#: Points of a meeting place or cluster that one task takes from each of at most two leaves.
+#: Points of a meeting place that one task takes from each of at most two leaves.
 LEAF = 8_192
+#: Shingles of a cluster that one task takes from each of at most two leaves; any set counts as SMALLEST at least.
+SHINGLES, SMALLEST = 1 << 21, 256
+#: Shingles that are compared with a set in one pass.
+PASS = 1 << 18
 #: Points of a leaf of the tree inside a task.
 PAGE = 32
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -218,7 +222,7 @@ def settle(rows: pd.DataFrame, place: np.ndarray) -> pd.DataFrame:
 def follow(rows: pd.DataFrame) -> pd.DataFrame:
     """Links, by exact overlap, that connect what is linked among the sets of a cluster or of two of its leaves.
 
-    From each set reached, all sets not yet reached whose bound allows it are compared in one pass."""
+    From each set reached, all sets not yet reached whose bound allows it are compared, PASS shingles at once."""
     sets = [np.frombuffer(s, np.uint64) for s in rows["found"]]
     sizes, nodes, side = rows["n"].to_numpy(), rows["node"].to_numpy(), rows["side"].to_numpy()
     points = np.stack([counts(s) for s in sets])
@@ -237,30 +241,33 @@ def follow(rows: pd.DataFrame) -> pd.DataFrame:
             rest = rest[linked(np.minimum(points[rest], points[i]).sum(1), sizes[rest], sizes[i])]
             if not len(rest):
                 continue
-            every = np.concatenate([sets[j] for j in rest])
-            at = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
-            ends = np.concatenate([[0], np.cumsum(sizes[rest])[:-1]])
-            overlap = np.add.reduceat((sets[i][at] == every).astype(np.int64), ends)
-            for j in rest[linked(overlap, sizes[rest], sizes[i])]:
-                open_[j] = False
-                queue.append(int(j))
-                out.append((int(nodes[i]), int(nodes[j])))
+            for some in np.split(rest, np.flatnonzero(np.diff(np.cumsum(sizes[rest]) // PASS)) + 1):
+                every = np.concatenate([sets[j] for j in some])
+                at = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
+                begins = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
+                overlap = np.add.reduceat((sets[i][at] == every).astype(np.int64), begins)
+                for j in some[linked(overlap, sizes[some], sizes[i])]:
+                    open_[j] = False
+                    queue.append(int(j))
+                    out.append((int(nodes[i]), int(nodes[j])))
     return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
 
-def leaves(rows: DataFrame, key: str) -> DataFrame:
+def leaves(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame:
     """Rows of key, node and n with the tasks they take part in: leaf_a, leaf_b and the side they are on.
 
     Rows alone under their key go first, in the one shuffle of all rows; what is left is stored.
-    Keys of up to LEAF rows are one task. Others are cut by size into leaves; a leaf meets itself and the later
-    leaves whose smallest set may still be similar to its largest."""
+    Keys of up to the limit of weight are one task. Others are cut by size into leaves of about that weight; a leaf
+    meets itself and the later leaves whose smallest set may still be similar to its largest."""
     whole = Window.partitionBy(key)
-    ranked = stored(rows.withColumn("of", F.count(F.lit(1)).over(whole)).where("of > 1"), "shared")
-    ranked = ranked.withColumn("leaf", F.floor((F.row_number().over(whole.orderBy("n", "node")) - 1) / LEAF).cast("int"))
-    small = ranked.where(F.col("of") <= LEAF).select(
+    held = rows.select("*", F.count(F.lit(1)).over(whole).alias("of"), F.sum(weight).over(whole).alias("load"))
+    ranked = stored(held.where("of > 1").drop("of"), "shared")
+    before = F.sum(weight).over(whole.orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1))
+    small = ranked.where(F.col("load") <= limit).select(
         *rows.columns, F.lit(0).alias("leaf_a"), F.lit(0).alias("leaf_b"), F.lit(0).alias("side")
     )
-    large = ranked.where(F.col("of") > LEAF)
+    large = ranked.where(F.col("load") > limit)
+    large = large.withColumn("leaf", F.floor(F.coalesce(before, F.lit(0)) / limit).cast("int"))
     boxes = large.groupBy(key, "leaf").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a = boxes.select(F.col(key).alias("k"), F.col("leaf").alias("leaf_a"), F.col("high").alias("a_high"))
     b = boxes.select(F.col(key).alias("kb"), F.col("leaf").alias("leaf_b"), F.col("low").alias("b_low"))
@@ -278,7 +285,7 @@ def join(docs: DataFrame) -> DataFrame:
     some = signed_docs.where("n > 0")
     points = some.select("node", "n", "prefix", "point").dropDuplicates(["node"])
     tokens = points.select(F.explode("prefix").alias("token"), "node", "n")
-    met = leaves(tokens, "token").join(points.select("node", "point"), "node")
+    met = leaves(tokens, "token", F.lit(1), LEAF).join(points.select("node", "point"), "node")
     places = met.repartition("token", "leaf_a", "leaf_b").sortWithinPartitions("token", "leaf_a", "leaf_b")
     pairs = places.select("token", "leaf_a", "leaf_b", "side", "node", "n", "point").mapInPandas(meet, "u long, v long").distinct()
     clusters = components(pairs, "candidates")
@@ -298,7 +305,8 @@ def join(docs: DataFrame) -> DataFrame:
     found = texts.select("node", "n", "cluster", sets("text").alias("found"))
     found = found.where(names("found") == F.col("node")).dropDuplicates(["node"])
     found = stored(found, "sets")
-    tiles = leaves(found.select("cluster", "node", "n"), "cluster").join(found.select("node", "found"), "node")
+    load = F.greatest(F.col("n"), F.lit(SMALLEST))
+    tiles = leaves(found.select("cluster", "node", "n"), "cluster", load, SHINGLES).join(found.select("node", "found"), "node")
     links = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(follow, "u long, v long")
     labels = components(links, "links")
     least = some.groupBy("node").agg(F.min("doc_id").alias("id")).join(labels, "node", "left")

@@ -404,6 +404,8 @@ def joined_by_hand(rows):
 def test_join_equals_brute_force(spark, docs, monkeypatch, leaf):
     ship(spark)
     monkeypatch.setattr(ngram_join, "LEAF", leaf)
+    monkeypatch.setattr(ngram_join, "SHINGLES", leaf * ngram_join.SMALLEST)
+    monkeypatch.setattr(ngram_join, "PASS", 16 * leaf)
     rows = near_copies()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in ngram_join.join(frame).collect()), key=str) == joined_by_hand(rows)
