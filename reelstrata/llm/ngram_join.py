@@ -5,7 +5,8 @@ wanted similarity share one of the least hashes of each (as many as a set may la
 those. Where points meet, a count-vector R-tree finds the pairs that may be similar: shingles are hashed into groups, the
 counts of a set in the groups are its point, points are packed by size into leaves with bounding boxes, and the sum
 over groups of the smaller coordinate (of the boxes, then of the points) bounds the overlap. Surviving pairs
-form candidate clusters; inside each, overlaps are counted exactly. Links within a cluster are followed breadth first,
+form candidate clusters. Those are first narrowed by the prefixes, which hold every value up to their last, so that
+a value one of them lacks is missing from its set; inside what is left, overlaps are counted exactly. Links within a cluster are followed breadth first,
 so that a group of n copies needs about n comparisons and yields fewer than n links, and no pair is lost that
 would join two components.
 
@@ -219,13 +220,13 @@ def settle(rows: pd.DataFrame, place: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"u": np.concatenate(out_u), "v": np.concatenate(out_v)}).drop_duplicates()
 
 
-def follow(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links, by exact overlap, that connect what is linked among the sets of a cluster or of two of its leaves.
+def walk(rows: pd.DataFrame, points: np.ndarray, sets: list[np.ndarray], most) -> pd.DataFrame:
+    """Pairs that connect what `most` leaves connected among the sets of a cluster or of two of its leaves.
 
-    From each set reached, all sets not yet reached whose bound allows it are compared, PASS shingles at once."""
-    sets = [np.frombuffer(s, np.uint64) for s in rows["found"]]
+    From each set reached, all sets not yet reached whose point allows it are compared, PASS values at once.
+    `most` bounds the overlap of a set and others, which it gets one after another with the places they begin at."""
     sizes, nodes, side = rows["n"].to_numpy(), rows["node"].to_numpy(), rows["side"].to_numpy()
-    points = np.stack([counts(s) for s in sets])
+    lengths = np.array([len(s) for s in sets])
     open_ = np.ones(len(sets), bool)
     out = []
     one_side = (side == side[0]).all()
@@ -241,18 +242,50 @@ def follow(rows: pd.DataFrame) -> pd.DataFrame:
             rest = rest[linked(np.minimum(points[rest], points[i]).sum(1), sizes[rest], sizes[i])]
             if not len(rest):
                 continue
-            for some in np.split(rest, np.flatnonzero(np.diff(np.cumsum(sizes[rest]) // PASS)) + 1):
+            for some in np.split(rest, np.flatnonzero(np.diff(np.cumsum(lengths[rest]) // PASS)) + 1):
                 every = np.concatenate([sets[j] for j in some])
-                at = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
-                begins = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
-                overlap = np.add.reduceat((sets[i][at] == every).astype(np.int64), begins)
-                for j in some[linked(overlap, sizes[some], sizes[i])]:
+                begins = np.concatenate([[0], np.cumsum(lengths[some])[:-1]])
+                bound = most(sets[i], sizes[i], every, begins, lengths[some], sizes[some])
+                for j in some[linked(bound, sizes[some], sizes[i])]:
                     open_[j] = False
                     queue.append(int(j))
                     out.append((int(nodes[i]), int(nodes[j])))
     return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
 
+def shared(found: np.ndarray, every: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """How many values of a set are in each of the others."""
+    at = np.minimum(np.searchsorted(found, every), len(found) - 1)
+    return np.add.reduceat((found[at] == every).astype(np.int64), begins)
+
+
+def overlap(found, n, every, begins, lengths, sizes) -> np.ndarray:
+    """The overlap of whole sets."""
+    return shared(found, every, begins)
+
+
+def prefix_bound(found, n, every, begins, lengths, sizes) -> np.ndarray:
+    """What prefixes leave of the overlap: up to the end of the shorter one, a value of one set that the other
+    lacks is lost."""
+    ends = every[begins + lengths - 1]
+    both = shared(found, every, begins)
+    mine = np.searchsorted(found, ends, "right")
+    theirs = np.add.reduceat((every <= found[-1]).astype(np.int64), begins)
+    return np.minimum(n - (mine - both), sizes - (theirs - both))
+
+
+def narrow(rows: pd.DataFrame) -> pd.DataFrame:
+    """Candidate pairs that the prefixes of the sets leave."""
+    prefixes = [np.asarray(p).view(np.uint64) for p in rows["prefix"]]
+    return walk(rows, unpacked(rows["point"]), prefixes, prefix_bound)
+
+
+def follow(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links, by exact overlap."""
+    sets = [np.frombuffer(s, np.uint64) for s in rows["found"]]
+    return walk(rows, np.stack([counts(s) for s in sets]), sets, overlap)
+
+
 def leaves(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame:
     """Rows of key, node and n with the tasks they take part in: leaf_a, leaf_b and the side they are on.
 
@@ -288,7 +321,12 @@ def join(docs: DataFrame) -> DataFrame:
     met = leaves(tokens, "token", F.lit(1), LEAF).join(points.select("node", "point"), "node")
     places = met.repartition("token", "leaf_a", "leaf_b").sortWithinPartitions("token", "leaf_a", "leaf_b")
     pairs = places.select("token", "leaf_a", "leaf_b", "side", "node", "n", "point").mapInPandas(meet, "u long, v long").distinct()
-    clusters = components(pairs, "candidates")
+    rough = components(pairs, "candidates").join(points.select("node", "n"), "node")
+    rough = rough.select(F.col("component").alias("cluster"), "node", "n")
+    load = F.greatest(F.floor(F.col("n") * (100 - PERCENT) / 100) + 1, F.lit(SMALLEST))
+    tiles = leaves(rough, "cluster", load, SHINGLES).join(points.select("node", "prefix", "point"), "node")
+    pairs = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(narrow, "u long, v long")
+    clusters = components(pairs, "narrowed")
     # the sets of the candidates, from one document of each class
     source = some.groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.count("doc_id").alias("ids"))
     wanted = clusters.join(source, "node").select("doc_id", "node", "n", F.col("component").alias("cluster"))

@@ -400,6 +400,17 @@ def joined_by_hand(rows):
     return sorted(((i, len(s), least[root(k)]) for k, ((i, _), s) in enumerate(zip(rows, sets))), key=str)
 
 
+def test_prefixes_bound_the_overlap():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b, c = (np.unique(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64)) for _ in range(3))
+        cut = [s[: ngram_join.prefix(len(s))] for s in (a, b, c)]
+        lengths, sizes = np.array([len(cut[1]), len(cut[2])]), np.array([len(b), len(c)])
+        begins = np.array([0, len(cut[1])])
+        bound = ngram_join.prefix_bound(cut[0], len(a), np.concatenate(cut[1:]), begins, lengths, sizes)
+        assert bound[0] >= len(np.intersect1d(a, b)) and bound[1] >= len(np.intersect1d(a, c))
+
+
 @pytest.mark.parametrize("leaf", [8_192, 7])
 def test_join_equals_brute_force(spark, docs, monkeypatch, leaf):
     ship(spark)
