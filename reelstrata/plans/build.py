@@ -19,7 +19,7 @@ from reelstrata.sources import manifest as manifests
 from reelstrata.sources.inventory import inventory
 from reelstrata.sources.registry import SOURCES, registry_frame
 from reelstrata.sources.tables import Build, compact, current_build, publish, write_table
-from reelstrata.sources.tsv import exact_header_case, land
+from reelstrata.sources.tsv import land
 
 # Text is several times its gzip size once decompressed.
 GZIP_EXPANSION = 6
@@ -93,14 +93,23 @@ def verify_snapshot(
 def load_raw(
     spark: SparkSession, entries: DataFrame, raw_dir: str, build: Build, load_id: str
 ) -> dict[str, DataFrame]:
-    """Land the seven files and their lineage table, replacing whatever the build held."""
+    """Land the seven verified files and their lineage table, replacing whatever the build held.
+
+    Every table must hold as many rows as its entry says were counted in its file.
+    """
 
     def landed(name: str) -> DataFrame:
         path = f"{raw_dir.rstrip('/')}/{SOURCES[name].file_name}"
-        return land(spark, path, SOURCES[name], load_id, build.location("raw", name))
-
-    with exact_header_case(spark):
-        raw = _each(SOURCES, landed)
+        target = build.location("raw", name)
+        return land(spark, path, SOURCES[name], load_id, target, headers_checked=True)
+
+    raw = _each(SOURCES, landed)
+    known = entries.where(F.col("table_name").isin(*SOURCES)).select("table_name", "row_count")
+    counted = {r["table_name"]: r["row_count"] for r in known.collect()}
+    found = {r["relation_name"]: r["row_count"] for r in row_counts(raw).collect()}
+    for name in SOURCES:
+        if counted.get(name) not in (None, found[name]):
+            raise SnapshotError(f"{name}: {found[name]} rows from {counted[name]} lines")
     raw["ingestion_files"] = write_table(
         manifests.file_lineage(entries, load_id).coalesce(1),
         build.location("raw", "ingestion_files"),

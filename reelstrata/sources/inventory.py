@@ -69,12 +69,19 @@ def file_digests(
     return small.unionByName(streamed.select(_name("path"), "size_bytes", "sha256"))
 
 
+def line_of(value: str) -> Column:
+    """A line without the carriage return before its newline."""
+    text = F.col(value)
+    return F.when(F.endswith(text, F.lit("\r")), F.left(text, F.length(text) - 1)).otherwise(text)
+
+
 def line_counts(
-    spark: SparkSession, path: str, pattern: str | None = None, header: str | None = None
+    spark: SparkSession, path: str | list[str], pattern: str | None = None, header: str | None = None
 ) -> DataFrame:
     """`file_name, row_count, header_ok`: lines after the header, also without a last newline.
 
-    Each file is held to its registered header, or all of them to `header` if that is given.
+    Each file is held to its registered header, or all of them to `header` if that is given: it
+    must be the first line and no other.
     One pass and a count per file. The first line of a file is the one with the smallest row id
     in the block that starts at byte 0, so the header test needs no sort.
     """
@@ -93,17 +100,20 @@ def line_counts(
         F.when(
             F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()
         ).alias("id"),
-        (F.rtrim("value", F.lit("\r")) == wanted).alias("is_header"),
+        (line_of("value") == wanted).alias("is_header"),
     )
     counted = lines.groupBy("file_name").agg(
         (F.count("*") - 1).alias("row_count"),
         F.min("id").alias("first"),
         F.min(F.when(F.col("is_header"), F.col("id"))).alias("header"),
+        F.count_if("is_header").alias("headers"),
     )
     return counted.select(
         "file_name",
         "row_count",
-        F.coalesce(F.col("first") == F.col("header"), F.lit(False)).alias("header_ok"),
+        F.coalesce(
+            (F.col("first") == F.col("header")) & (F.col("headers") == 1), F.lit(False)
+        ).alias("header_ok"),
     )
 
 

@@ -2,36 +2,44 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstrata.session import SCAN_BYTES
+from reelstrata.sources.inventory import line_counts, line_of
 from reelstrata.sources.registry import LOAD_ID, Source
 from reelstrata.sources.tables import COMPRESSION
 
 
-def read_tsv(spark: SparkSession, path: str | list[str], source: Source) -> DataFrame:
-    """All columns as written: marker text, empty strings, quotes and backslashes survive.
+def check_headers(spark: SparkSession, path: str | list[str], source: Source) -> None:
+    """Refuse files that do not begin with the registered header or hold it again; one pass."""
+    counted = line_counts(spark, path, header=source.header_line)
+    wrong = counted.where(~F.col("header_ok")).agg(F.min("file_name")).first()[0]
+    if wrong is not None:
+        raise ValueError(f"{wrong} must have the header of {source.file_name} as its first line only")
+
+
+def read_tsv(
+    spark: SparkSession, path: str | list[str], source: Source, headers_checked: bool = False
+) -> DataFrame:
+    """All columns as written: marker text, empty fields, blanks, quotes, backslashes and NULs survive.
 
-    Each file must carry the registered header and the same number of fields on every line;
-    anything else fails the read. A field can never hold a tab, so with a tab as null text the
-    only NULLs the scan yields are empty fields. `path` may be a file, a folder or a list.
+    Lines end with a newline or with a carriage return and a newline. Each file must carry the
+    registered header, in exact case, as its first line and nowhere else, and every line, an empty
+    one too, the same number of fields; anything else fails the read. `path` may be a file, a
+    folder or a list. `headers_checked` spares the pass over the files that looks at the headers.
     """
-    rows = spark.read.schema(source.schema).csv(
-        path,
-        sep="\t",
-        header=True,
-        enforceSchema=False,
-        mode="FAILFAST",
-        quote="",
-        escape="",
-        nullValue="\t",
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+    if not headers_checked:
+        check_headers(spark, path, source)
+    lines = spark.read.text(path, lineSep="\n").select(line_of("value").alias("line"))
+    fields = lines.where(F.col("line") != source.header_line).select(
+        F.split("line", "\t", -1).alias("fields")
+    )
+    wrong = F.raise_error(F.lit(f"a line of {source.file_name} has not {len(source.headers)} fields"))
+    fits = F.when(F.size("fields") == len(source.headers), F.lit(True)).otherwise(wrong)
+    return fields.where(fits.cast("boolean")).select(
+        *[F.col("fields")[i].alias(c) for i, c in enumerate(source.headers)]
     )
-    return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in source.headers])
 
 
 def with_load_id(rows: DataFrame, load_id: str) -> DataFrame:
@@ -47,31 +55,21 @@ def scan_tasks(spark: SparkSession, path: str | list[str]) -> int:
     return spark.read.format("binaryFile").load(path).agg(F.sum(tasks)).first()[0] or 0
 
 
-@contextmanager
-def exact_header_case(spark: SparkSession):
-    """Make the header comparison of running scans case-sensitive."""
-    before = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", before)
-
-
 def land(
-    spark: SparkSession, path: str | list[str], source: Source, load_id: str, target: str
+    spark: SparkSession,
+    path: str | list[str],
+    source: Source,
+    load_id: str,
+    target: str,
+    headers_checked: bool = False,
 ) -> DataFrame:
     """Replace the raw table at `target` with the whole content of the text at `path`.
 
     A gzip file is one task however large. With fewer scan tasks than cores the rows are spread
     before encoding; with many files the scan is parallel already and nothing is shuffled.
     """
-    rows = with_load_id(read_tsv(spark, path, source), load_id)
-    expected = [*source.headers, LOAD_ID]
-    if rows.columns != expected or {kind for _, kind in rows.dtypes} != {"string"}:
-        raise ValueError(f"raw.{source.table_name} must hold the string columns {expected}")
+    rows = with_load_id(read_tsv(spark, path, source, headers_checked), load_id)
     if scan_tasks(spark, path) < spark.sparkContext.defaultParallelism:
         rows = rows.hint("rebalance")
-    with exact_header_case(spark):
-        rows.write.mode("overwrite").parquet(target, compression=COMPRESSION)
+    rows.write.mode("overwrite").parquet(target, compression=COMPRESSION)
     return spark.read.schema(rows.schema).parquet(target)

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from conftest import rows_of, write_gz
 from reelstrata.sources.registry import LOAD_ID, SOURCES, Source
-from reelstrata.sources.tsv import exact_header_case, land, read_tsv
+from reelstrata.sources.tsv import land, read_tsv
 
 PAIR = Source("pairs", "pairs", "pairs.tsv.gz", ("id", "v"))
 
@@ -35,27 +35,42 @@ def test_empty_key_and_missing_last_newline(spark, tmp_path):
     assert scan(spark, tmp_path, "id\tv\n\tx\n2\ty") == [("", "x"), ("2", "y")]
 
 
+def test_blank_fields_and_control_characters_survive(spark, tmp_path):
+    rows = [("", ""), (" ", "  "), ("\0a\0", "\0"), ("\r", "x\ry"), ("\x0b", "\x1c"), ("", " ")]
+    text = "id\tv\n" + "".join(f"{a}\t{b}\n" for a, b in rows)
+    assert scan(spark, tmp_path, text) == rows
+
+
+def test_wrong_lines_fail_a_count_too(spark, tmp_path):
+    path = write_gz(tmp_path / "pairs.tsv.gz", "id\tv\n1\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_tsv(spark, str(path), PAIR).count()
+
+
 def test_carriage_returns_end_lines(spark, tmp_path):
     assert scan(spark, tmp_path, "id\tv\r\n1\t2\r\n") == [("1", "2")]
 
 
 @pytest.mark.parametrize(
     "text",
-    ["id\tv\n1\n", "id\tv\n1\t2\t3\n", "v\tid\n1\t2\n", "id\tw\n1\t2\n", "id\tv\textra\n1\t2\t3\n"],
-    ids=["short line", "long line", "order", "name", "extra column"],
+    [
+        "id\tv\n1\n", "id\tv\n1\t2\t3\n", "v\tid\n1\t2\n", "id\tw\n1\t2\n", "id\tv\textra\n1\t2\t3\n",
+        "id\tv\n1\t2\nid\tv\n", "id\tv\n1\t2\n\n", "\nid\tv\n1\t2\n",
+    ],
+    ids=[
+        "short line", "long line", "order", "name", "extra column", "header again", "empty line",
+        "late header",
+    ],
 )
 def test_malformed_text_fails(spark, tmp_path, text):
-    with pytest.raises((PySparkException, Py4JJavaError)):
+    with pytest.raises((PySparkException, Py4JJavaError, ValueError)):
         scan(spark, tmp_path, text)
 
 
 def test_header_case_is_exact_when_landing(spark, tmp_path):
     path = str(write_gz(tmp_path / "in" / "pairs.tsv.gz", "ID\tv\n1\t2\n"))
-    with pytest.raises((PySparkException, Py4JJavaError)):
+    with pytest.raises(ValueError, match="first line only"):
         land(spark, path, PAIR, "load", str(tmp_path / "out"))
-    assert spark.conf.get("spark.sql.caseSensitive") == "false"
-    with exact_header_case(spark):
-        assert spark.conf.get("spark.sql.caseSensitive") == "true"
 
 
 def test_folder_of_files_lands_as_one_table(spark, tmp_path):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from reelstrata.operators import bridges, checks, lists
 from reelstrata.plans import audit, marts, queries
 from reelstrata.session import configure, scratch_path, size_shuffles
 from reelstrata.sources import inventory, manifest, tables, tsv
-from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES
+from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES, Source
 from workload.shape import (
     BASE_URL,
     LOAD,
@@ -89,6 +89,22 @@ for _name in SOURCES:
     )
 
 
+@case(
+    "raw_blank_fields",
+    """SELECT CASE o_orderstatus WHEN 'F' THEN '' WHEN 'O' THEN ' ' ELSE o_orderkey::VARCHAR END AS id,
+       CASE o_orderstatus WHEN 'F' THEN '' WHEN 'O' THEN '  ' ELSE o_orderpriority END AS note FROM orders""",
+)
+def raw_blank_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as text, all fields of a finished one empty and those of an open one blank."""
+    state = F.col("o_orderstatus")
+    rows = table(spark, folder, "orders").select(
+        F.when(state == "F", "").when(state == "O", " ").otherwise(F.col("o_orderkey").cast("string")).alias("id"),
+        F.when(state == "F", "").when(state == "O", "  ").otherwise(F.col("o_orderpriority")).alias("note"),
+    )
+    notes = Source("notes", "notes", "notes.tsv.gz", ("id", "note"))
+    return tsv.read_tsv(spark, write_text(rows, scratch_path(spark, "blank")), notes)
+
+
 @case("raw_ingestion_files", query(RAW_NAMES, entries_sql(LOAD)))
 def raw_ingestion_files(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.file_lineage(entries(spark, folder), LOAD)
@@ -1187,10 +1203,24 @@ def reuse_status(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.reuse_status(registered(spark, folder), known, found)
 
 
-@case("file_inventory")
+@case(
+    "file_inventory",
+    """SELECT 'region=' || n_regionkey AS part, sum(strlen(n_name) + 1)::BIGINT AS size_bytes,
+       sha256(string_agg(n_name || chr(10), '' ORDER BY n_name)) AS sha256 FROM nation GROUP BY n_regionkey""",
+)
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Size and digest of every given file; SQL over the tables cannot see the files."""
-    return inventory.file_digests(spark, folder, "*.parquet")
+    """Size and digest of files that hold the nations of a region each, a name per line."""
+    names = table(spark, folder, "nation").select("n_name", F.concat(F.lit("r"), F.col("n_regionkey")).alias("region"))
+    path = scratch_path(spark, "names")
+    lines = names.repartition("region").sortWithinPartitions("region", "n_name")
+    lines.write.partitionBy("region").text(path, lineSep="\n")
+    found = [
+        inventory.file_digests(spark, f"{path}/region={row.region}", "*.txt").select(
+            F.lit(f"region={row.region[1:]}").alias("part"), "size_bytes", "sha256"
+        )
+        for row in names.select("region").distinct().collect()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @case(
