@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import BASE_URL, SECOND_TITLES, manifest_frame, rows_of, write_snapshot
 from reelstrata.plans import build as builds
@@ -149,6 +150,9 @@ def test_second_load_replaces_the_first(spark, tmp_path):
     assert rows["tt7301"]["endYear"] == "\\N"
     assert rows["tt7301"]["primaryTitle"] == "Löwenzahn 山道"
     assert rows["tt-early"]["originalTitle"] == ""
+    with pytest.raises(builds.SnapshotError, match="2 rows from 3 lines"):
+        wrong = first.withColumn("row_count", F.lit(3).cast("long")).where("table_name = 'title_basics'")
+        builds.load_raw(spark, wrong, str(raw_dir), build, "one")
     second = manifest_frame(spark, write_snapshot(raw_dir, title_basics=SECOND_TITLES))
     raw = builds.load_raw(spark, second, str(raw_dir), build, "two")["title_basics"]
     assert set(rows_of(raw.select("tconst", "_load_id"))) == {
