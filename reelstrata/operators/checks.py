@@ -261,6 +261,55 @@ def without_lineage(
     )
 
 
+def tally(
+    rows: DataFrame,
+    relation: str,
+    measures: Sequence[tuple[str, Column | None, Column]],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """`check, relation, item, value`: any number of counts of a table from one pass over it.
+
+    A measure is a check, what it counts (a column of `by` or a literal) and the count itself.
+    """
+    counted = rows.groupBy(*by).agg(*[value.alias(f"m{i}") for i, (*_, value) in enumerate(measures)])
+    entries = [
+        F.struct(
+            F.lit(check).alias("check"),
+            (F.lit(None) if item is None else item).cast("string").alias("item"),
+            F.col(f"m{i}").cast("long").alias("value"),
+        )
+        for i, (check, item, _) in enumerate(measures)
+    ]
+    return counted.select(F.lit(relation).alias("relation"), F.inline(F.array(*entries)))
+
+
+def key_tally(rows: DataFrame, relation: str, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Numbers of repeated keys as `tally` rows, from one grouping: `grain` counts NULL keys, `unique` does not."""
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    counts = {"grain": F.count("*"), "unique": F.count_if(known)}
+    return tally(repeated(rows, keys), relation, [(name, None, counts[name]) for name in names])
+
+
+def fired(tallies: DataFrame) -> DataFrame:
+    """`check, relation, findings` of the checks that fired, from `tally` rows.
+
+    Checks of rows or keys have as many findings as their values add up to. All others have one for each item
+    whose values do not cancel out, unless a NULL value excuses the item.
+    """
+    items = tallies.groupBy("check", "relation", "item").agg(
+        F.coalesce(F.sum("value"), F.lit(0)).alias("value"),
+        (F.count_if(F.col("value").isNull()) > 0).alias("excused"),
+    )
+    each = F.col("check").isin("value_range", "accepted_values", "grain", "unique")
+    one = ((F.col("value") != 0) & ~F.col("excused")).cast("long")
+    found = items.groupBy("check", "relation").agg(
+        F.sum(F.when(each, F.col("value")).otherwise(one)).alias("findings")
+    )
+    return found.where("findings > 0")
+
+
 def missing_relations(required: DataFrame, found: DataFrame, on: Sequence[str]) -> DataFrame:
     """Required names that were not found."""
     return required.join(found, list(on), "left_anti")

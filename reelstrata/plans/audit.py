@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstrata.operators import checks
 from reelstrata.plans.intermediate import ROLLUPS
-from reelstrata.plans.marts import CONTRACTS
+from reelstrata.plans.marts import CONTRACTS, contract
 from reelstrata.plans.staging import COLUMNS
 from reelstrata.sources.registry import LOAD_ID, SOURCES
 
@@ -184,8 +184,8 @@ def grain_findings(marts: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def range_findings(staged: Mapping[str, DataFrame]) -> DataFrame:
-    """Years, runtimes, ratings and votes outside their fixed limits."""
+def ranges() -> dict[str, tuple[str, str, Column]]:
+    """Key, label and condition of the rows of a staging table that are outside its fixed limits."""
     titles = (
         checks.outside("start_year", 1870, 2200)
         | checks.outside("end_year", 1870, 2200)
@@ -193,14 +193,19 @@ def range_findings(staged: Mapping[str, DataFrame]) -> DataFrame:
     )
     ratings = checks.outside("average_rating", 0, 10) | (F.col("num_votes") < 0)
     people = checks.outside("birth_year", 1, 2200) | checks.outside("death_year", 1, 2200)
+    return {
+        "title_basics": ("tconst", "title year or runtime", titles),
+        "title_ratings": ("tconst", "rating or votes", ratings),
+        "name_basics": ("nconst", "person year", people),
+    }
+
+
+def range_findings(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """Years, runtimes, ratings and votes outside their fixed limits."""
     return checks.union_all(
         [
             checks.out_of_range(staged[table], table, key, label, condition)
-            for table, key, label, condition in (
-                ("title_basics", "tconst", "title year or runtime", titles),
-                ("title_ratings", "tconst", "rating or votes", ratings),
-                ("name_basics", "nconst", "person year", people),
-            )
+            for table, (key, label, condition) in ranges().items()
         ]
     )
 
@@ -217,6 +222,28 @@ def raw_schema_findings(spark: SparkSession, raw: Mapping[str, DataFrame]) -> Da
     )
 
 
+def frozen_findings(
+    spark: SparkSession, before: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Raw tables whose columns differ from those of the build that is published."""
+    return checks.union_all(
+        [
+            checks.schema_violations(spark, name, raw[name].schema, before[name].schema)
+            for name in SOURCES
+        ]
+    )
+
+
+def contract_findings(spark: SparkSession, marts: Mapping[str, DataFrame]) -> DataFrame:
+    """Marts, as they are stored, that differ from their contract."""
+    return checks.union_all(
+        [
+            checks.schema_violations(spark, name, marts[name].schema, contract(name))
+            for name in CONTRACTS
+        ]
+    )
+
+
 def lineage_findings(raw: Mapping[str, DataFrame]) -> DataFrame:
     return checks.union_all(
         [
@@ -275,10 +302,74 @@ def mart_findings(relations: Relations) -> DataFrame:
     )
 
 
-FINDINGS = {
-    "staging": staging_findings,
-    "intermediate": intermediate_findings,
-    "marts": mart_findings,
+def null_measures(columns: Sequence[str]) -> list[tuple[str, Column, Column]]:
+    return [("not_null", F.lit(c), F.count_if(F.col(c).isNull())) for c in columns]
+
+
+def staging_totals(relations: Relations) -> DataFrame:
+    """What the staging checks find in total, from one aggregate of each raw and staged table and one
+    grouping of each key. The counts of a raw table read its load column only."""
+    raw, staged = relations["raw"], relations["staging"]
+    files = raw["ingestion_files"].where(F.col(LOAD_ID).isNotNull())
+    parts = [
+        files.select(
+            F.col("table_name").alias("relation"),
+            F.lit("lineage").alias("check"),
+            F.col(LOAD_ID).alias("item"),
+            F.lit(None).cast("long").alias("value"),
+        )
+    ]
+    for name in COLUMNS:
+        landed = [("rows_raw_staging", None, F.count("*"))]
+        if name in SOURCES:
+            landed.append(("lineage", F.col(LOAD_ID), F.count("*")))
+        if name == "title_basics":
+            flagged = F.count_if(~F.col("isAdult").isin(*ADULT_FLAGS))
+            landed.append(("accepted_values", None, flagged))
+        typed = [("rows_raw_staging", None, -F.count("*")), *null_measures(NOT_NULL["staging"][name])]
+        if name in ranges():
+            _, label, condition = ranges()[name]
+            typed.append(("value_range", F.lit(label), F.count_if(condition)))
+        parts += [checks.tally(raw[name], name, landed, [LOAD_ID]), checks.tally(staged[name], name, typed)]
+    for name, column in UNIQUE["staging"].items():
+        parts.append(checks.key_tally(staged[name], name, [column], ["unique"]))
+    return checks.fired(checks.union_all(parts))
+
+
+def intermediate_totals(relations: Relations) -> DataFrame:
+    """What the intermediate checks find in total, from one aggregate of each model and one grouping of each key."""
+    staged, models = relations["staging"], relations["intermediate"]
+    parts = []
+    for name, columns in NOT_NULL["intermediate"].items():
+        measures = null_measures(columns)
+        if name in RECONCILED:
+            measures.append(("rows_model_staging", None, F.count("*")))
+            expected = [("rows_model_staging", None, -F.count("*"))]
+            parts.append(checks.tally(staged[RECONCILED[name]], name, expected))
+        parts.append(checks.tally(models[name], name, measures))
+    for name, column in UNIQUE["intermediate"].items():
+        parts.append(checks.key_tally(models[name], name, [column], ["unique"]))
+    for name, keys in BRIDGE_KEYS.items():
+        parts.append(checks.key_tally(models[name], name, keys, ["grain"]))
+    found = checks.fired(checks.union_all(parts))
+    return checks.union_all([found, *[totals(links) for links in relationship_findings(models)]])
+
+
+def mart_totals(relations: Relations) -> DataFrame:
+    """What the mart checks find in total; a grain that is also a unique key is grouped once."""
+    marts = relations["marts"]
+    parts = []
+    for name, keys in MART_GRAINS.items():
+        names = ["grain", "unique"] if (UNIQUE["marts"].get(name),) == keys else ["grain"]
+        parts.append(checks.key_tally(marts[name], name, keys, names))
+        parts.append(checks.tally(marts[name], name, null_measures(NOT_NULL["marts"][name])))
+    return checks.fired(checks.union_all(parts))
+
+
+TOTALS = {
+    "staging": staging_totals,
+    "intermediate": intermediate_totals,
+    "marts": mart_totals,
 }
 
 
@@ -287,17 +378,17 @@ def totals(findings: DataFrame) -> DataFrame:
     return findings.groupBy("check", "relation").agg(F.count("*").alias("findings"))
 
 
-def gate(layer: str, findings: DataFrame) -> None:
-    """Raise if there is any finding, naming checks and counts (one small row per check)."""
-    fired = totals(findings).collect()
+def gate(layer: str, found: DataFrame) -> None:
+    """Raise if any check fired, naming checks and counts (one small row per check)."""
+    fired = found.collect()
     if fired:
-        found = sorted((r["check"], r["relation"], r["findings"]) for r in fired)
-        listed = "; ".join(f"{check} on {relation}: {n}" for check, relation, n in found)
+        rows = sorted((r["check"], r["relation"], r["findings"]) for r in fired)
+        listed = "; ".join(f"{check} on {relation}: {n}" for check, relation, n in rows)
         raise AuditError(f"{layer}: {listed}")
 
 
 def audit(layer: str, relations: Relations) -> None:
-    gate(layer, FINDINGS[layer](relations))
+    gate(layer, TOTALS[layer](relations))
 
 
 def required_relations(spark: SparkSession) -> DataFrame:
@@ -314,7 +405,12 @@ def found_relations(spark: SparkSession) -> DataFrame:
 
 
 def register(relations: Relations) -> None:
-    """Expose relations as temporary views `<schema>__<name>`."""
+    """Expose relations as temporary views `<schema>__<name>`; views that an earlier build left go."""
+    for schema, names in REQUIRED.items():
+        for rows in relations.get(schema, {}).values():
+            for name in names:
+                rows.sparkSession.catalog.dropTempView(f"{schema}__{name}")
+            break
     for schema, tables in relations.items():
         for name, rows in tables.items():
             rows.createOrReplaceTempView(f"{schema}__{name}")

@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstrata.operators.checks import missing_relations, row_counts
+from reelstrata.operators.checks import row_counts
 from reelstrata.plans import audit, queries
 from reelstrata.plans.intermediate import ROLLUPS, intermediate_all
 from reelstrata.plans.marts import CONTRACTS, marts_all
@@ -139,16 +140,63 @@ def mart_row_counts(marts: dict[str, DataFrame]) -> dict[str, int]:
     return {r["relation_name"]: r["row_count"] for r in row_counts(marts).collect()}
 
 
-def validate(spark: SparkSession, relations: Relations) -> tuple[int, dict[str, int]]:
-    """All required relations registered, every mart counted and readable."""
-    audit.register(relations)
-    required = audit.required_relations(spark)
-    lost = missing_relations(required, audit.found_relations(spark), ["schema", "name"]).collect()
+def stored_tables() -> dict[str, str]:
+    """Every table that a build stores, with its schema; the other relations are derived from them."""
+    layers = {"raw": audit.REQUIRED["raw"], "intermediate": ROLLUPS, "marts": CONTRACTS}
+    return {name: schema for schema, names in layers.items() for name in names}
+
+
+def missing_tables(spark: SparkSession, build: Build) -> list[str]:
+    """Stored tables that cannot be read back."""
+    lost = []
+    for name, schema in stored_tables().items():
+        try:
+            build.scan(spark, schema, name)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            lost.append(f"{schema}.{name}")
+    return sorted(lost)
+
+
+def absent_relations(relations: Relations) -> list[str]:
+    return [
+        f"{schema}.{name}"
+        for schema, names in audit.REQUIRED.items()
+        for name in names
+        if name not in relations.get(schema, {})
+    ]
+
+
+def validate(
+    spark: SparkSession, build: Build, *, marts_not_empty: bool = False
+) -> tuple[Relations, dict[str, int]]:
+    """The relations of a build as they are read back, and the rows of its marts.
+
+    All required relations must be there, raw tables have the registered headers and those of the published
+    build, marts match their contracts and can be read; with `marts_not_empty` each must also hold a row.
+    """
+    lost = missing_tables(spark, build)
+    if lost:
+        raise audit.AuditError(f"missing: {lost}")
+    raw = {name: build.scan(spark, "raw", name) for name in SOURCES}
+    audit.gate("raw", audit.totals(audit.raw_schema_findings(spark, raw)))
+    before = current_build(spark, build.root)
+    if before is not None and before != build:
+        old = {name: before.scan(spark, "raw", name) for name in SOURCES}
+        audit.gate("raw", audit.totals(audit.frozen_findings(spark, old, raw)))
+    relations = open_build(spark, build)
+    lost = absent_relations(relations)
     if lost:
-        raise audit.AuditError(f"missing: {sorted(f'{r.schema}.{r.name}' for r in lost)}")
+        raise audit.AuditError(f"missing: {lost}")
+    audit.gate("marts", audit.totals(audit.contract_findings(spark, relations["marts"])))
     for name, rows in relations["marts"].items():
         queries.probe(name, rows).collect()
-    return required.count(), mart_row_counts(relations["marts"])
+    counts = mart_row_counts(relations["marts"])
+    empty = sorted(name for name, rows in counts.items() if not rows)
+    if marts_not_empty and empty:
+        raise audit.AuditError(f"empty: {empty}")
+    return relations, counts
 
 
 def build_snapshot(
@@ -159,10 +207,12 @@ def build_snapshot(
     base_url: str,
     build: Build,
     load_id: str,
+    marts_not_empty: bool = False,
     on_stage: Step = _nothing,
 ) -> BuildResult:
     """Run the whole flow for one snapshot. A failure anywhere leaves the current build as it is.
 
+    With `marts_not_empty`, as for a full snapshot, a mart without rows fails the build.
     Each layer is audited before the next one is computed from it, and every stored layer is read
     back from the shared build folder, so a lost executor recomputes one layer at most.
     """
@@ -199,26 +249,24 @@ def build_snapshot(
     audit.audit("marts", relations)
 
     on_stage("validate")
-    count, rows = validate(spark, relations)
+    relations, rows = validate(spark, build, marts_not_empty=marts_not_empty)
 
     on_stage("publish")
     publish(spark, build)
-    return BuildResult(build, load_id, count, rows)
+    audit.register(relations)
+    return BuildResult(build, load_id, sum(map(len, audit.REQUIRED.values())), rows)
 
 
 def compact_build(spark: SparkSession, source: Build, target: Build) -> Build:
     """Rewrite every stored table of a build into fewer files under a new build id."""
-    stored = {
-        **{name: "raw" for name in audit.REQUIRED["raw"]},
-        **{name: "intermediate" for name in ROLLUPS},
-        **{name: "marts" for name in CONTRACTS},
-    }
-    _each(
-        stored,
-        lambda name: compact(
-            spark, source.location(stored[name], name), target.location(stored[name], name)
-        ),
-    )
+    stored = stored_tables()
+
+    def packed(name: str) -> DataFrame:
+        lookup, sort = LOOKUPS.get(name, (None, ()))
+        old, new = (build.location(stored[name], name) for build in (source, target))
+        return compact(spark, old, new, lookup=lookup, sort=sort)
+
+    _each(stored, packed)
     return target
 
 
@@ -228,6 +276,7 @@ def checkpoint_current(spark: SparkSession, root: str, build_id: str) -> Build:
     if current is None:
         raise SnapshotError(f"nothing is published under {root}")
     packed = compact_build(spark, current, Build(root, build_id))
-    validate(spark, open_build(spark, packed))
+    relations, _ = validate(spark, packed)
     publish(spark, packed)
+    audit.register(relations)
     return packed

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -32,6 +33,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def as_bytes(size: str) -> int:
+    """Bytes of a Spark size such as `134217728b`, `128m` or `128MB`."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([a-z]*)\s*", size.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index((unit or "b")[0])
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Size scan and shuffle tasks for this much input; AQE merges shuffle partitions left small.
 
@@ -41,7 +48,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     split = math.ceil(input_bytes / MAX_SCAN_TASKS)
-    if split > SCAN_BYTES:
+    if split > as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return partitions
 

@@ -36,9 +36,14 @@ def new_build_id(now: datetime | None = None, token: str | None = None) -> str:
 
 
 def write_table(
-    rows: DataFrame, path: str, *, lookup: str | None = None, sort: tuple[str, ...] = ()
+    rows: DataFrame,
+    path: str,
+    *,
+    lookup: str | None = None,
+    sort: tuple[str, ...] = (),
+    mode: str = "overwrite",
 ) -> DataFrame:
-    """Replace the table at `path`.
+    """Replace the table at `path`, or refuse to with another save mode.
 
     `lookup` names the column point queries filter on. Rows are sorted by it inside each task's
     file (no shuffle, so a hot key stays spread) and its bloom filters are written, which lets a
@@ -47,7 +52,7 @@ def write_table(
     writer = rows
     if lookup or sort:
         writer = rows.sortWithinPartitions(*([lookup] if lookup else []), *sort)
-    out = writer.write.mode("overwrite").option("compression", COMPRESSION)
+    out = writer.write.mode(mode).option("compression", COMPRESSION)
     if lookup:
         out = out.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
     out.parquet(path)
@@ -90,15 +95,23 @@ def fingerprint(rows: DataFrame) -> tuple:
 
 
 def compact(
-    spark: SparkSession, source: str, target: str, *, file_bytes: int = 512 * 1024**2
+    spark: SparkSession,
+    source: str,
+    target: str,
+    *,
+    lookup: str | None = None,
+    sort: tuple[str, ...] = (),
+    file_bytes: int = 512 * 1024**2,
 ) -> DataFrame:
-    """Rewrite many small files as few large ones at a new path, without a shuffle."""
+    """Rewrite many small files as few large ones at a new path, without a shuffle.
+
+    With `lookup` and `sort` the rows are sorted again inside the new files and bloom filters are written.
+    """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compaction must write to a new path")
     rows = spark.read.parquet(source)
     files = max(1, math.ceil(stored_bytes(spark, source) / file_bytes))
-    rows.coalesce(files).write.mode("errorifexists").parquet(target, compression=COMPRESSION)
-    packed = spark.read.parquet(target)
+    packed = write_table(rows.coalesce(files), target, lookup=lookup, sort=sort, mode="errorifexists")
     if fingerprint(rows) != fingerprint(packed):
         raise RuntimeError(f"compaction changed the rows of {source}")
     return packed

@@ -1,11 +1,18 @@
+import shutil
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import BASE_URL, SECOND_TITLES, manifest_frame, rows_of, write_snapshot
+from reelstrata.plans import audit, queries
 from reelstrata.plans import build as builds
-from reelstrata.plans import queries
 from reelstrata.plans.audit import AuditError
 from reelstrata.plans.marts import CONTRACTS
+from reelstrata.plans.intermediate import title_genre_lists
+from reelstrata.sources import tables
+from reelstrata.sources.registry import SOURCES
 from reelstrata.sources.tables import Build, current_build, publish, published_builds
 
 
@@ -174,6 +181,100 @@ def test_checkpoint_publishes_a_compacted_copy(spark, lake):
         builds.checkpoint_current(spark, f"{root}/other", "x")
 
 
+def test_totals_equal_the_listed_findings(spark, lake):
+    _, _, result = lake
+    relations = builds.open_build(spark, result.build)
+    staged, models, marts = (relations[layer] for layer in ("staging", "intermediate", "marts"))
+    twice = staged["title_basics"].unionByName(staged["title_basics"]).withColumn("start_year", F.lit(9).cast("short"))
+    akas = models["bridge_title_akas"]
+    wrong = {
+        "raw": {
+            **relations["raw"],
+            "title_crew": relations["raw"]["title_crew"].withColumn("_load_id", F.lit("lost")),
+            "title_basics": relations["raw"]["title_basics"].withColumn("isAdult", F.lit("7")),
+        },
+        "staging": {**staged, "title_basics": twice, "name_basics": staged["name_basics"].withColumn("nconst", F.lit(None).cast("string"))},
+        "intermediate": {**models, "dim_titles": models["dim_titles"].limit(1), "bridge_title_akas": akas.unionByName(akas)},
+        "marts": {**marts, "mart_title_search": marts["mart_title_search"].unionByName(marts["mart_title_search"])},
+    }
+    for layers in (relations, wrong):
+        for layer in audit.TOTALS:
+            listed = getattr(audit, {"staging": "staging_findings", "intermediate": "intermediate_findings", "marts": "mart_findings"}[layer])
+            assert sorted(rows_of(audit.TOTALS[layer](layers))) == sorted(rows_of(audit.totals(listed(layers))))
+    fired = {r[:2] for r in rows_of(audit.staging_totals(wrong))}
+    assert fired >= {
+        ("unique", "title_basics"), ("value_range", "title_basics"), ("rows_raw_staging", "title_basics"),
+        ("accepted_values", "title_basics"), ("lineage", "title_crew"), ("not_null", "name_basics"),
+    }
+    assert {r[:2] for r in rows_of(audit.mart_totals(wrong))} == {("grain", "mart_title_search"), ("unique", "mart_title_search")}
+
+
+def test_each_stored_table_is_scanned_once_for_counts_and_once_per_key(spark, lake):
+    _, _, result = lake
+    relations = builds.open_build(spark, result.build)
+    plan = audit.staging_totals(relations)._jdf.queryExecution().executedPlan().toString()
+    # 8 raw and 8 staged aggregates, 6 keys, and the file rows of the lineage
+    assert plan.count("FileScan") <= 23
+    plan = relations["staging"]["title_basics"]
+    lists = title_genre_lists(plan)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in lists
+
+
+def test_stored_relations_are_gated(spark, tmp_path):
+    root, raw_dir = str(tmp_path / "lake"), tmp_path / "raw"
+    entries = write_snapshot(raw_dir, title_basics=SECOND_TITLES)
+    first = run(spark, tmp_path, "g1", entries).build
+    spark.range(1).createOrReplaceTempView("marts__mart_title_search")
+
+    def copy(name):
+        target = Build(root, name)
+        shutil.copytree(f"{root}/builds/g1", f"{root}/builds/{name}")
+        return target
+
+    def rewrite(build, schema, name, change):
+        rows = change(first.scan(spark, schema, name))
+        tables.write_table(rows, build.location(schema, name))
+        return build
+
+    assert builds.validate(spark, copy("same"))[1]["mart_title_search"] == 3
+    lost = copy("lost")
+    shutil.rmtree(lost.location("marts", "mart_title_search"))
+    with pytest.raises(AuditError, match="missing: .*marts.mart_title_search"):
+        builds.validate(spark, lost)
+    assert builds.absent_relations({"marts": {}})[-1].startswith("marts.")
+    other = rewrite(copy("contract"), "marts", "mart_title_search", lambda r: r.withColumn("num_votes", F.col("num_votes").cast("int")))
+    with pytest.raises(AuditError, match="contract on mart_title_search: 1"):
+        builds.validate(spark, other)
+    other = rewrite(copy("raw"), "raw", "title_crew", lambda r: r.withColumnRenamed("writers", "authors"))
+    with pytest.raises(AuditError, match="contract on title_crew: 1"):
+        builds.validate(spark, other)
+    raw = {name: first.scan(spark, "raw", name) for name in SOURCES}
+    changed = {**raw, "title_crew": raw["title_crew"].drop("writers")}
+    assert audit.frozen_findings(spark, raw, raw).isEmpty()
+    assert rows_of(audit.frozen_findings(spark, raw, changed).select("relation").distinct()) == [("title_crew",)]
+    empty = rewrite(copy("empty"), "marts", "mart_series_episodes", lambda r: r.limit(0))
+    assert builds.validate(spark, empty)[1]["mart_series_episodes"] == 0
+    with pytest.raises(AuditError, match="empty: .*mart_series_episodes"):
+        builds.validate(spark, empty, marts_not_empty=True)
+    audit.register({"raw": raw, "marts": {}})
+    audit.register({"marts": {"mart_genre_year_summary": spark.range(1)}})
+    assert [t.name for t in spark.catalog.listTables(pattern="marts__*")] == ["marts__mart_genre_year_summary"]
+
+
+def test_compaction_keeps_order_and_filters(spark, lake):
+    _, _, result = lake
+    packed = builds.compact_build(spark, result.build, Build(result.build.root, "ordered"))
+    for name, (lookup, _) in builds.LOOKUPS.items():
+        for file in Path(packed.location("marts", name)).glob("*.parquet"):
+            stored = pq.read_table(file).column(lookup).to_pylist()
+            assert stored == sorted(stored)
+    # with its filters written, the same table takes more bytes
+    path = packed.location("marts", "mart_title_search")
+    plain = f"{result.build.root}/plain"
+    tables.write_table(spark.read.parquet(path).coalesce(1), plain)
+    assert tables.stored_bytes(spark, path) > tables.stored_bytes(spark, plain) + 1000
+
+
 def test_unsound_manifest_document_is_refused(spark, tmp_path):
     path = tmp_path / "manifest.json"
     path.write_text('{"version": 2, "entries": []}')

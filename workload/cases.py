@@ -947,7 +947,7 @@ def _repeated_sql(source: str, by: str) -> str:
 def staging_audit(spark: SparkSession, folder: str) -> DataFrame:
     """All staging checks at once: which of them fired, and how often."""
     layers = {"raw": raw_tables(spark, folder), "staging": staged_tables(spark, folder)}
-    return audit.totals(audit.staging_findings(layers))
+    return audit.staging_totals(layers)
 
 
 @case(
@@ -971,7 +971,7 @@ WHERE orphan_rows > child_rows * 0.0001""",
 )
 def intermediate_audit(spark: SparkSession, folder: str) -> DataFrame:
     layers = {"staging": staged_tables(spark, folder), "intermediate": models(spark, folder)}
-    return audit.totals(audit.intermediate_findings(layers))
+    return audit.intermediate_totals(layers)
 
 
 @case(
@@ -988,7 +988,7 @@ def intermediate_audit(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def mart_audit(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.totals(audit.mart_findings({"marts": mart_tables(spark, folder)}))
+    return audit.mart_totals({"marts": mart_tables(spark, folder)})
 
 
 _BUSY = "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000"
