@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from reelstrata.functions import values
 from reelstrata.operators import bridges, checks, lists
 from reelstrata.plans import audit, marts, queries
+from reelstrata.plans.staging import COLUMNS
 from reelstrata.session import configure, scratch_path, size_shuffles
 from reelstrata.sources import inventory, manifest, tables, tsv
 from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES, Source
@@ -27,7 +28,7 @@ from workload.shape import (
     text_table,
     write_text,
 )
-from workload.sqltext import FILES, RAW_NAMES, entries_sql, query
+from workload.sqltext import FILES, RAW_NAMES, entries_sql, files_sql, query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,14 +37,14 @@ ORACLES: dict[str, str] = {}
 
 
 def flat(rows: DataFrame) -> DataFrame:
-    """Arrays as text joined by `|`, wide totals as long: types both engines hash alike."""
+    """Arrays as text joined by `|`, wide totals as text: types both engines hash alike."""
     columns = []
     for field in rows.schema:
         column = F.col(field.name)
         if isinstance(field.dataType, T.ArrayType):
             column = F.array_join(column, "|")
         elif isinstance(field.dataType, T.DecimalType):
-            column = column.cast("long")
+            column = column.cast("string")
         columns.append(column.alias(field.name))
     return rows.select(*columns)
 
@@ -247,8 +248,8 @@ case(
     "mart_genre_year_summary",
     query(
         "summary",
-        "SELECT * EXCLUDE (average_rating), round(average_rating, 6) AS average_rating "
-        "FROM summary",
+        "SELECT * EXCLUDE (average_rating, total_votes), round(average_rating, 6) AS average_rating, "
+        "total_votes::VARCHAR AS total_votes FROM summary",
     ),
 )
 def mart_genre_year_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -274,8 +275,9 @@ def title_search_top25(spark: SparkSession, folder: str) -> DataFrame:
     query(
         "summary",
         """SELECT start_year, title_count, rated_title_count,
-       round(average_rating, 6) AS average_rating, total_votes
-FROM summary WHERE genre = 'large' AND start_year BETWEEN 1996 AND 2000""",
+       round(average_rating, 6) AS average_rating, total_votes::VARCHAR AS total_votes
+FROM summary WHERE genre = 'large' AND start_year BETWEEN 1996 AND 2000
+ORDER BY start_year NULLS LAST, title_type NULLS LAST""",
     ),
 )
 def genre_over_time(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,7 +290,8 @@ def genre_over_time(spark: SparkSession, folder: str) -> DataFrame:
     query(
         "filmography",
         """SELECT primary_name, primary_title, start_year, category, average_rating
-FROM filmography WHERE nconst = 'nmp17'""",
+FROM filmography WHERE nconst = 'nmp17'
+ORDER BY filmography.start_year DESC NULLS LAST, ordering NULLS LAST, tconst""",
     ),
 )
 def filmography_of_person(spark: SparkSession, folder: str) -> DataFrame:
@@ -300,7 +303,8 @@ def filmography_of_person(spark: SparkSession, folder: str) -> DataFrame:
     query(
         "series",
         """SELECT series_title, season_number, episode_number, episode_title, average_rating
-FROM series WHERE series_tconst = 'ttc7'""",
+FROM series WHERE series_tconst = 'ttc7'
+ORDER BY season_number NULLS LAST, episode_number NULLS LAST, episode_tconst""",
     ),
 )
 def episodes_of_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -576,19 +580,26 @@ _NULLS_SQL = "\nUNION ALL\n".join(
             "people",
             "nconst primary_name birth_year death_year primary_professions known_for_titles",
         ),
+        ("ingestion_files", "files", " ".join(n for _, n, _ in COLUMNS["ingestion_files"])),
     )
     for column in columns.split()
 )
 
 
-@case("not_null_counts", query("akas titles crew episodes credits ratings people", _NULLS_SQL))
+@case(
+    "not_null_counts",
+    query(
+        f"akas titles crew episodes credits ratings people {RAW_NAMES}",
+        files_sql(LOAD) + _NULLS_SQL,
+    ),
+)
 def not_null_counts(spark: SparkSession, folder: str) -> DataFrame:
     """NULLs per column of each staged table, one pass per table."""
     tables_ = staged_tables(spark, folder)
     return checks.union_all(
         [
             checks.null_counts(rows, name, [c for c in rows.columns if c != LOAD_ID])
-            for name, rows in ((name, tables_[name]) for name in SOURCES)
+            for name, rows in ((name, tables_[name]) for name in COLUMNS)
         ]
     )
 
@@ -636,18 +647,19 @@ _STAGED_KEYS = {
 @case(
     "unique_findings",
     query(
-        "titles crew episodes ratings people",
-        "\nUNION ALL\n".join(
+        f"titles crew episodes ratings people {RAW_NAMES}",
+        files_sql(LOAD)
+        + "\nUNION ALL\n".join(
             _FOUND.format(check="unique", relation=name, key=key, source=source, by=key)
-            for name, (source, key) in _STAGED_KEYS.items()
+            for name, (source, key) in {
+                **_STAGED_KEYS,
+                "ingestion_files": ("files", "table_name"),
+            }.items()
         ),
     ),
 )
 def unique_findings(spark: SparkSession, folder: str) -> DataFrame:
-    tables_ = staged_tables(spark, folder)
-    return checks.union_all(
-        [checks.unique(tables_[name], name, key) for name, (_, key) in _STAGED_KEYS.items()]
-    )
+    return checks.union_all(audit.unique_findings("staging", staged_tables(spark, folder)))
 
 
 @case(
@@ -797,6 +809,7 @@ _PAIRS = {
     "title_principals": ("credits", "raw_title_principals"),
     "title_ratings": ("ratings", "raw_title_ratings"),
     "name_basics": ("people", "raw_name_basics"),
+    "ingestion_files": ("files", "files"),
 }
 
 
@@ -804,7 +817,8 @@ _PAIRS = {
     "row_count_reconcile",
     query(
         f"akas titles crew episodes credits ratings people {RAW_NAMES}",
-        "\nUNION ALL\n".join(
+        files_sql(LOAD)
+        + "\nUNION ALL\n".join(
             f"SELECT '{name}' AS relation_name, (SELECT count(*) FROM {raw}) AS raw_count, "
             f"(SELECT count(*) FROM {typed}) AS staging_count"
             for name, (typed, raw) in _PAIRS.items()
@@ -813,7 +827,7 @@ _PAIRS = {
 )
 def row_count_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     raw, typed = raw_tables(spark, folder), staged_tables(spark, folder)
-    return checks.paired_counts({n: (raw[n], typed[n]) for n in SOURCES}, "raw", "staging")
+    return checks.paired_counts({n: (raw[n], typed[n]) for n in COLUMNS}, "raw", "staging")
 
 
 @case(

@@ -192,7 +192,7 @@ LEFT JOIN cast_lists c ON c.tconst = t.tconst""",
         """
 SELECT t.start_year, t.title_type, g.genre, count(*) AS title_count,
        count(r.average_rating) AS rated_title_count, avg(r.average_rating) AS average_rating,
-       sum(coalesce(r.num_votes, 0))::BIGINT AS total_votes
+       sum(coalesce(r.num_votes, 0)) AS total_votes
 FROM title_genres g JOIN titles t ON t.tconst = g.tconst
 LEFT JOIN ratings r ON r.tconst = g.tconst
 GROUP BY ALL""",
@@ -259,4 +259,9 @@ FROM raw_{name}"""
     return "\nUNION ALL\n".join(parts)
 
 
+def files_sql(load: str) -> str:
+    """A further table `files`, the staged file rows, for the body of a query over RAW_NAMES."""
+    return f", files AS MATERIALIZED (SELECT * EXCLUDE (row_count) FROM ({entries_sql(load)}))\n"
+
+
 RAW_NAMES = " ".join(f"raw_{name}" for name, *_ in FILES)
