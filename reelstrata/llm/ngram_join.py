@@ -312,9 +312,12 @@ def leaves(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame:
     return small.unionByName(split.select(*rows.columns, "leaf_a", "leaf_b", "side"))
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
-    signed_docs = stored(docs.select("doc_id", signatures(F.col("text")).alias("s")).select("doc_id", "s.*"), "signatures")
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, h (the hash of the text), n and node of every row; and node, best and component of every class with shingles.
+
+    The best row of a class is that of the least id (NULL is the greatest), then of the least text hash."""
+    signed_docs = docs.select("doc_id", F.xxhash64("text").alias("h"), signatures(F.col("text")).alias("s"))
+    signed_docs = stored(signed_docs.select("doc_id", "h", "s.*"), "signatures")
     some = signed_docs.where("n > 0")
     points = some.select("node", "n", "prefix", "point").dropDuplicates(["node"])
     tokens = points.select(F.explode("prefix").alias("token"), "node", "n")
@@ -328,8 +331,9 @@ def join(docs: DataFrame) -> DataFrame:
     pairs = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(narrow, "u long, v long")
     clusters = components(pairs, "narrowed")
     # the sets of the candidates, from one document of each class
-    source = some.groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.count("doc_id").alias("ids"))
-    wanted = clusters.join(source, "node").select("doc_id", "node", "n", F.col("component").alias("cluster"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best")
+    source = some.groupBy("node", "n").agg(best)
+    wanted = clusters.join(source, "node").select("best.doc_id", "best.h", "node", "n", F.col("component").alias("cluster"))
 
     @F.arrow_udf("binary")
     def sets(texts: pa.Array) -> pa.Array:
@@ -339,7 +343,8 @@ def join(docs: DataFrame) -> DataFrame:
     def names(found: pa.Array) -> pa.Array:
         return pa.array([node_of(np.frombuffer(f, np.uint64)) for f in found.to_pylist()], pa.int64())
 
-    texts = docs.select(F.col("doc_id").alias("d"), "text").join(wanted, F.col("d").eqNullSafe(F.col("doc_id")))
+    texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), "text")
+    texts = texts.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("h")))
     found = texts.select("node", "n", "cluster", sets("text").alias("found"))
     found = found.where(names("found") == F.col("node")).dropDuplicates(["node"])
     found = stored(found, "sets")
@@ -347,22 +352,32 @@ def join(docs: DataFrame) -> DataFrame:
     tiles = leaves(found.select("cluster", "node", "n"), "cluster", load, SHINGLES).join(found.select("node", "found"), "node")
     links = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(follow, "u long, v long")
     labels = components(links, "links")
-    least = some.groupBy("node").agg(F.min("doc_id").alias("id")).join(labels, "node", "left")
-    least = stored(least.select("node", "id", F.coalesce("component", "node").alias("component")), "classes")
-    ids = least.groupBy("component").agg(F.min("id").alias("component_id"))
+    least = some.groupBy("node").agg(best).join(labels, "node", "left")
+    return signed_docs, stored(least.select("node", "best", F.coalesce("component", "node").alias("component")), "classes")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    signed_docs, least = classes(docs)
+    ids = least.groupBy("component").agg(F.min("best.doc_id").alias("component_id"))
     named = least.join(ids, "component").select(F.col("node").alias("m"), "component_id")
     alone = signed_docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return (
-        some.join(named, F.col("node") == F.col("m"))
+        signed_docs.where("n > 0").join(named, F.col("node") == F.col("m"))
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
         .unionByName(alone)
-    )
+    )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the least id, columns as they were; of repeated rows one."""
-    mark = fresh(docs, "join_keep")
-    kept = join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(mark)).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col(mark)))
-    place = Window.partitionBy(docs["doc_id"]).orderBy(F.xxhash64(docs["text"]), docs["text"])
-    return rows.withColumn(mark, F.row_number().over(place)).where(F.col(mark) == 1).select(*docs.columns)
+    """One document of each component, that of the least id and then of the least text hash, columns as they were.
+
+    Components are those of the sets, whatever the ids: documents without an id, or with an id that other texts have
+    too, stay or go by their own text. Blank texts stay. Of rows that repeat id and text one stays."""
+    signed_docs, least = classes(docs)
+    ids, texts = fresh(docs, "join_id"), fresh(docs, "join_text")
+    kept = least.groupBy("component").agg(F.min("best").alias("best")).select("best.doc_id", "best.h")
+    kept = kept.unionByName(signed_docs.where("n = 0").select("doc_id", "h").distinct())
+    kept = kept.select(F.col("doc_id").alias(ids), F.col("h").alias(texts))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col(ids)) & (F.xxhash64(docs["text"]) == F.col(texts)))
+    return rows.dropDuplicates([ids, texts]).select(*docs.columns)

@@ -431,6 +431,18 @@ def test_one_of_each_group_stays(spark, docs):
     assert ngram_join.join(docs.where("false")).count() == 0
 
 
+def test_texts_decide_what_stays_not_ids(spark):
+    ship(spark)
+    say = lambda stem: " ".join(f"{stem}{k}" for k in range(80))
+    rows = [(None, say("a")), (None, say("b")), (None, say("c") + " one"), (None, say("c") + " two"), (None, say("d")), (2, say("d") + " more")]
+    rows += [(3, say("e")), (5, say("f")), (5, say("e") + " more"), (5, say("f")), (None, " "), (None, ""), (7, ""), (7, None), (7, "")]
+    kept = Counter(tuple(r) for r in ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    ends = [kept.pop((None, say("c") + end), 0) for end in (" one", " two")]
+    assert sorted(ends) == [0, 1]
+    expected = [(None, say("a")), (None, say("b")), (2, say("d") + " more"), (3, say("e")), (5, say("f"))]
+    assert kept == Counter(expected + [(None, " "), (None, ""), (7, ""), (7, None)])
+
+
 def test_tree_keeps_every_similar_pair():
     rng = np.random.default_rng(6)
     base = rng.integers(0, 6, (5, ngram_join.GROUPS))
