@@ -1,10 +1,12 @@
 """The main text of web pages by tree scoring.
 
 A page becomes a tree of elements and runs of text, each run a block between block-level tags. Elements that
-never hold the article (scripts, menus, forms, adverts, comments, ...) are left out with all below them. Every run
+never hold the article (scripts, menus, forms, ...) are left out with all below them, and so are those whose class or
+id says so (adverts, comments, ...) unless they hold the page's article or most of its text. Every run
 gives points for length and commas to its element and, halved and then thinned, to the elements above; an element's
 points are discounted by its link density. The element with the most points, or the article element around it, and
-those of its siblings that score well are kept with all their runs.
+those of its siblings that score well are kept with all their runs; beside a container that is no article, headings and
+paragraphs with few links are kept too.
 
 Defined results: a NULL or empty page, or one without text, gives the empty text; a page cut off anywhere is read
 as far as it goes; equal pages get equal texts; repeated rows stay repeated.
@@ -38,6 +40,10 @@ NOISE = re.compile(
     r"modals?|overlay|newsletter|subscribe|subscription|shar(?:e|ing)|social|related|recommend\w*|widgets?|toolbar|login|signup|"
     r"pagination|pager|skip|search|disclaimer|alert)(?![a-z0-9])"
 )
+#: What others say about an article may be longer than it.
+TALK = re.compile(r"(?:^|[^a-z0-9])(?:comments?|commentlist|disqus|replies|reply|respond)(?![a-z0-9])")
+#: Elements that are kept beside the best container, and the share of their characters that may be links.
+BESIDE, LINKED = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote", "pre"}, 0.25
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "alertdialog"}
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -50,32 +56,33 @@ CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "up", "depth", "never", "link", "points", "chars", "links", "index", "items")
+    __slots__ = ("tag", "up", "depth", "never", "link", "points", "chars", "links", "index", "items", "noise", "talk", "muted")
 
-    def __init__(self, tag: str, up: Node | None, never: bool, link: bool, index: int):
+    def __init__(self, tag: str, up: Node | None, never: bool, link: bool, index: int, names: str = ""):
         self.tag, self.up, self.never, self.link, self.index = tag, up, never, link, index
+        self.noise, self.talk = bool(NOISE.search(names)), bool(TALK.search(names))
+        self.muted = tag in INLINE and (self.noise or bool(up and up.muted))
         self.depth = up.depth + 1 if up else 0
         self.points, self.chars, self.links, self.items = 0.0, 0, 0, 0
 
 
-def left_out(tag: str, attributes: str, up: Node) -> bool:
-    """Whether an element never holds the article."""
+def left_out(tag: str, attributes: str, up: Node) -> tuple[bool, str]:
+    """Whether an element never holds the article, and its names."""
     if tag in NEVER:
-        return True
+        return True, ""
     inside = up
     while inside and inside.tag not in ("article", "main"):
         inside = inside.up
     if tag == "header" and not inside:
-        return True
+        return True, ""
     if not attributes.strip() or tag in HOLDS:
-        return False
+        return False, ""
     found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES:
-        return True
+        return True, ""
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "").lower()):
-        return True
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    return bool(NOISE.search(CAMEL.sub("-", names).lower()))
+        return True, ""
+    return False, CAMEL.sub("-", f"{found.get('class', '')} {found.get('id', '')}").lower()
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
@@ -95,7 +102,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             held.clear()
 
     def say(text: str):
-        if text and not stack[-1].never:
+        if text and not stack[-1].never and not stack[-1].muted:
             held.append((text, stack[-1].link))
 
     at, end = 0, len(page)
@@ -144,7 +151,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
         if tag in VOID:
             continue
         up = stack[-1]
-        node = Node(tag, up, up.never or left_out(tag, found[3] or "", up), up.link or tag == "a", len(nodes))
+        never, names = (True, "") if up.never else left_out(tag, found[3] or "", up)
+        node = Node(tag, up, never, up.link or tag == "a", len(nodes), names)
         if tag == "li":
             up.items += 1
         nodes.append(node)
@@ -161,8 +169,40 @@ def points(text: str) -> float:
     return (1.0 if len(text) >= 25 else 0.1) + text.count(",") + min(len(text) / 100, 3.0)
 
 
+def above(node: Node | None):
+    """The node and the elements above it."""
+    while node:
+        yield node
+        node = node.up
+
+
+def without_noise(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
+    """The runs outside elements with noise names.
+
+    If all articles are inside such elements, those above the article with the most text, outside talk if any is, are none; nor are those
+    that hold most of the page's text, unless it is talk or the article is elsewhere."""
+    if not any(n.noise for n in nodes):
+        return runs
+    own: dict[int, int] = {}
+    for block, text, links in runs:
+        for n in above(block):
+            own[n.index] = own.get(n.index, 0) + len(text) - links
+    articles = [n for n in nodes if n.tag in ("article", "main") and own.get(n.index, 0)]
+    clean = [n for n in articles if not any(a.noise for a in above(n))]
+    if articles and not clean:
+        clean = [max(articles, key=lambda n: (not any(a.talk for a in above(n)), own[n.index], n.depth, -n.index))]
+        for n in above(clean[0]):
+            n.noise = False
+    holders = {n.index for n in clean}
+    for n in nodes:
+        if n.noise and not n.talk and 2 * own.get(n.index, 0) > own.get(0, 0):
+            n.noise = bool(clean) and not any(a.index in holders for a in above(n))
+    return [run for run in runs if not any(n.noise for n in above(run[0]))]
+
+
 def main_text(page: str | None) -> str:
     nodes, runs = parse(page or "")
+    runs = without_noise(nodes, runs)
     if not runs:
         return ""
     for block, text, links in runs:
@@ -185,6 +225,8 @@ def main_text(page: str | None) -> str:
     least = max(10.0, 0.2 * scores.get(best.index, 0.0))
     kept = {best.index}
     kept |= {n.index for n in nodes if n.up is best.up and n.up and n.tag not in INLINE and scores.get(n.index, 0.0) >= least}
+    if not inside:
+        kept |= {n.index for n in nodes if n.up is best.up and n.up and n.tag in BESIDE and n.chars and n.links <= LINKED * n.chars}
     menus = {n.index for n in nodes if n.tag in ("ul", "ol") and n.items >= 3 and n.links > 0.8 * n.chars > 0}
     out = []
     for block, text, _ in runs:

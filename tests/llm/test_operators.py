@@ -298,6 +298,24 @@ def test_main_text():
     assert [html.main_text(t) for t in (None, "", "   ", "<p", "<!-- x", "bare words")] == ["", "", "", "", "", "bare words"]
 
 
+@pytest.mark.parametrize("names", ['class="content no-sidebar"', 'class="page with-header"', 'id="search-results"', 'class="related-work"'])
+def test_a_name_alone_does_not_lose_the_text(names):
+    say = "<p>First, a paragraph of text, long enough to score.</p><p>Then, in the end, another one that counts.</p>"
+    text = "First, a paragraph of text, long enough to score.\nThen, in the end, another one that counts."
+    talk = f'<div class="comments"><article>{say * 3}</article></div>'
+    assert html.main_text(f"<body><div {names}><article>{say}</article>{talk}</div><p>x</p></body>") == text
+    assert html.main_text(f"<body><div {names}>{say}</div><p>x</p></body>") == f"{text}\nx"
+    assert html.main_text(f"<body><main><div {names}>{say}</div></main></body>") == text
+    assert html.main_text(f"<body><article>{say}{talk}</article><div {names}>{say * 3}</div></body>") == text
+
+
+def test_headings_and_paragraphs_beside_the_best_container():
+    say = "".join(f"<p>Paragraph {k}, with some words, and more of them.</p>" for k in range(4))
+    page = f"<body><div><h1>Title</h1><div>{say}</div><p>A closing sentence.</p><p><a href=x>More pages</a></p></div></body>"
+    lines = html.main_text(page).split("\n")
+    assert (lines[0], len(lines), lines[-1]) == ("Title", 6, "A closing sentence.")
+
+
 def test_pages(spark):
     ship(spark)
     rows = [(1, "u", "<p>x y</p>", "z"), (2, None, None, "z"), (2, None, None, "z")]
