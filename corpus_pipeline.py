@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from reelstrata.llm import langid, mixing, ngram_join, pieces, quality
 from reelstrata.llm.common import documents, ship, stored
 
+#: Words of a shingle and percent of likeness from which documents are near copies.
+SHINGLE, PERCENT = 5, 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language stays unclear, go."""
@@ -27,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones stays."""
     ship(spark)
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, SHINGLE, PERCENT)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

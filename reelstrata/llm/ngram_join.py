@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: which documents share most of their 4-word shingles.
+"""N-gram Jaccard join: which documents share most of their word shingles (of 4 words and 85%, unless given).
 
 Shingles are hashed to 64 bits; texts with equal sets form a class, and one point per class goes on. Two sets with the
 wanted similarity share one of the least hashes of each (as many as a set may lack, and one more), so points meet under
@@ -14,7 +14,7 @@ Meeting places of more than LEAF points and clusters of more than SHINGLES shing
 become one task for each pair of leaves whose sizes allow a link; no group is gathered whole.
 
 Defined results: NULL, empty and blank texts have no shingles, are linked with nothing and are their own component;
-fewer than four words are one shingle; a NULL doc_id takes the least id of its component, NULL if there is none;
+fewer words than a shingle has are one; a NULL doc_id takes the least id of its component, NULL if there is none;
 repeated rows are in one class; the component id is the least doc_id that links lead to.
 """
 
@@ -46,17 +46,17 @@ PAGE = 32
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(words) < SHINGLE:
+    if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    s = h[: len(h) - SHINGLE + 1].copy()
-    for k in range(1, SHINGLE):
-        s = s * MIX[0] + h[k : len(h) - SHINGLE + 1 + k]
+    s = h[: len(h) - width + 1].copy()
+    for k in range(1, width):
+        s = s * MIX[0] + h[k : len(h) - width + 1 + k]
         s ^= s >> np.uint64(29)
     s *= MIX[1]
     s ^= s >> np.uint64(32)
@@ -79,12 +79,12 @@ def unpacked(points) -> np.ndarray:
     return out
 
 
-def prefix(n: int) -> int:
-    return n - (PERCENT * n + 99) // 100 + 1
+def prefix(n: int, percent: int = PERCENT) -> int:
+    return n - (percent * n + 99) // 100 + 1
 
 
-def linked(overlap, n, m):
-    return overlap * (100 + PERCENT) >= PERCENT * (n + m)
+def linked(overlap, n, m, percent: int = PERCENT):
+    return overlap * (100 + percent) >= percent * (n + m)
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -96,17 +96,17 @@ def node_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes(), seed=85)).view(np.int64))
 
 
-def signatures(text: Column) -> Column:
+def signatures(text: Column, width: int, percent: int) -> Column:
     """n, node, the prefix and the point of every text's set."""
 
     @F.arrow_udf("n long, node long, prefix array<long>, point binary")
     def run(texts: pa.Array) -> pa.Array:
         sizes, nodes, parts, points = [], [], [], []
         for text in texts.to_pylist():
-            found = shingles(text)
+            found = shingles(text, width)
             sizes.append(len(found))
             nodes.append(node_of(found))
-            parts.append(signed(found[: prefix(len(found))] if len(found) else found))
+            parts.append(signed(found[: prefix(len(found), percent)] if len(found) else found))
             points.append(packed(found))
         offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32))
         values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
@@ -146,16 +146,16 @@ class Tree:
         self.high = np.array([sizes[page].max() for page in self.pages])
 
 
-def survivors(points: np.ndarray, sizes: np.ndarray, left: Tree, right: Tree, same: bool):
+def survivors(points: np.ndarray, sizes: np.ndarray, left: Tree, right: Tree, same: bool, percent: int = PERCENT):
     """Pairs of pages whose boxes, and then the pairs of rows whose points, allow a link."""
     for i, page in enumerate(left.pages):
         start = i if same else 0
         bound = np.minimum(left.top[i], right.top[start:]).sum(1)
-        near = (right.low[start:] * PERCENT <= left.high[i] * 100) & (left.low[i] * PERCENT <= right.high[start:] * 100)
-        for j in np.flatnonzero(linked(bound, left.low[i], right.low[start:]) & near) + start:
+        near = (right.low[start:] * percent <= left.high[i] * 100) & (left.low[i] * percent <= right.high[start:] * 100)
+        for j in np.flatnonzero(linked(bound, left.low[i], right.low[start:], percent) & near) + start:
             other = right.pages[j]
             yield page, other, lambda a=page, b=other: linked(
-                np.minimum(points[a][:, None], points[b][None]).sum(2), sizes[a][:, None], sizes[b][None]
+                np.minimum(points[a][:, None], points[b][None]).sum(2), sizes[a][:, None], sizes[b][None], percent
             )
 
 
@@ -167,11 +167,11 @@ def trees(points: np.ndarray, sizes: np.ndarray, side: np.ndarray) -> tuple[Tree
     return Tree(points, sizes, np.flatnonzero(side == 0)), Tree(points, sizes, np.flatnonzero(side == 1)), False
 
 
-def candidates(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+def candidates(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Fewer pairs than rows that connect whatever the bounds leave connected."""
     union, out = Union(len(nodes)), []
     left, right, same = trees(points, sizes, side)
-    for page, other, test in survivors(points, sizes, left, right, same):
+    for page, other, test in survivors(points, sizes, left, right, same, percent):
         roots = [union.root(i) for i in (*page, *other)]
         if len(set(roots)) == 1:
             continue
@@ -181,7 +181,7 @@ def candidates(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: n
     return out
 
 
-def meet(batches):
+def meet(batches, percent: int):
     """Candidate pairs of rows sorted by meeting place; only whole places are worked on."""
     held = None
     for batch in batches:
@@ -189,12 +189,12 @@ def meet(batches):
         place = np.flatnonzero((rows[["token", "leaf_a", "leaf_b"]].diff().fillna(1) != 0).any(axis=1).to_numpy())
         if len(place):
             held = rows.iloc[place[-1] :]
-            yield settle(rows.iloc[: place[-1]], place)
+            yield settle(rows.iloc[: place[-1]], place, percent)
     if held is not None and len(held):
-        yield settle(held.reset_index(drop=True), np.array([0, len(held)]))
+        yield settle(held.reset_index(drop=True), np.array([0, len(held)]), percent)
 
 
-def settle(rows: pd.DataFrame, place: np.ndarray) -> pd.DataFrame:
+def settle(rows: pd.DataFrame, place: np.ndarray, percent: int) -> pd.DataFrame:
     """Places of up to PAGE rows all at once, pairs at equal distances; larger ones with a tree each."""
     out_u, out_v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if len(rows):
@@ -209,18 +209,19 @@ def settle(rows: pd.DataFrame, place: np.ndarray) -> pd.DataFrame:
             for at in range(0, len(i), 4096):
                 a = i[at : at + 4096]
                 b = a + shift
-                good = linked(np.minimum(points[a], points[b]).sum(1), sizes[a], sizes[b])
+                good = linked(np.minimum(points[a], points[b]).sum(1), sizes[a], sizes[b], percent)
                 out_u.append(nodes[a[good]])
                 out_v.append(nodes[b[good]])
         for k in np.flatnonzero(lengths > PAGE):
             span = slice(starts[k], starts[k] + lengths[k])
-            found = np.array(candidates(nodes[span], sizes[span], points[span], side[span]), np.int64).reshape(-1, 2)
+            found = candidates(nodes[span], sizes[span], points[span], side[span], percent)
+            found = np.array(found, np.int64).reshape(-1, 2)
             out_u.append(found[:, 0])
             out_v.append(found[:, 1])
     return pd.DataFrame({"u": np.concatenate(out_u), "v": np.concatenate(out_v)}).drop_duplicates()
 
 
-def walk(rows: pd.DataFrame, points: np.ndarray, sets: list[np.ndarray], most) -> pd.DataFrame:
+def walk(rows: pd.DataFrame, points: np.ndarray, sets: list[np.ndarray], most, percent: int) -> pd.DataFrame:
     """Pairs that connect what `most` leaves connected among the sets of a cluster or of two of its leaves.
 
     From each set reached, all sets not yet reached whose point allows it are compared, PASS values at once.
@@ -238,15 +239,15 @@ def walk(rows: pd.DataFrame, points: np.ndarray, sets: list[np.ndarray], most) -
         while queue:
             i = queue.pop()
             near = open_ if one_side else open_ & (side != side[i])
-            rest = np.flatnonzero(near & (sizes * PERCENT <= sizes[i] * 100) & (sizes[i] * PERCENT <= sizes * 100))
-            rest = rest[linked(np.minimum(points[rest], points[i]).sum(1), sizes[rest], sizes[i])]
+            rest = np.flatnonzero(near & (sizes * percent <= sizes[i] * 100) & (sizes[i] * percent <= sizes * 100))
+            rest = rest[linked(np.minimum(points[rest], points[i]).sum(1), sizes[rest], sizes[i], percent)]
             if not len(rest):
                 continue
             for some in np.split(rest, np.flatnonzero(np.diff(np.cumsum(lengths[rest]) // PASS)) + 1):
                 every = np.concatenate([sets[j] for j in some])
                 begins = np.concatenate([[0], np.cumsum(lengths[some])[:-1]])
                 bound = most(sets[i], sizes[i], every, begins, lengths[some], sizes[some])
-                for j in some[linked(bound, sizes[some], sizes[i])]:
+                for j in some[linked(bound, sizes[some], sizes[i], percent)]:
                     open_[j] = False
                     queue.append(int(j))
                     out.append((int(nodes[i]), int(nodes[j])))
@@ -274,19 +275,19 @@ def prefix_bound(found, n, every, begins, lengths, sizes) -> np.ndarray:
     return np.minimum(n - (mine - both), sizes - (theirs - both))
 
 
-def narrow(rows: pd.DataFrame) -> pd.DataFrame:
+def narrow(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Candidate pairs that the prefixes of the sets leave."""
     prefixes = [np.asarray(p).view(np.uint64) for p in rows["prefix"]]
-    return walk(rows, unpacked(rows["point"]), prefixes, prefix_bound)
+    return walk(rows, unpacked(rows["point"]), prefixes, prefix_bound, percent)
 
 
-def follow(rows: pd.DataFrame) -> pd.DataFrame:
+def follow(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links, by exact overlap."""
     sets = [np.frombuffer(s, np.uint64) for s in rows["found"]]
-    return walk(rows, np.stack([counts(s) for s in sets]), sets, overlap)
+    return walk(rows, np.stack([counts(s) for s in sets]), sets, overlap, percent)
 
 
-def leaves(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame:
+def leaves(rows: DataFrame, key: str, weight: Column, limit: int, percent: int) -> DataFrame:
     """Rows of key, node and n with the tasks they take part in: leaf_a, leaf_b and the side they are on.
 
     Rows alone under their key go first, in the one shuffle of all rows; what is left is stored.
@@ -304,7 +305,7 @@ def leaves(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame:
     boxes = large.groupBy(key, "leaf").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a = boxes.select(F.col(key).alias("k"), F.col("leaf").alias("leaf_a"), F.col("high").alias("a_high"))
     b = boxes.select(F.col(key).alias("kb"), F.col("leaf").alias("leaf_b"), F.col("low").alias("b_low"))
-    fits = (F.col("k") == F.col("kb")) & (F.col("leaf_a") <= F.col("leaf_b")) & (F.col("b_low") * PERCENT <= F.col("a_high") * 100)
+    fits = (F.col("k") == F.col("kb")) & (F.col("leaf_a") <= F.col("leaf_b")) & (F.col("b_low") * percent <= F.col("a_high") * 100)
     pairs = a.join(b, fits).select("k", "leaf_a", "leaf_b")
     ends = F.when(F.col("leaf_a") == F.col("leaf_b"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
     tasks = pairs.withColumn("side", F.explode(ends)).withColumn("l", F.when(F.col("side") == 0, F.col("leaf_a")).otherwise(F.col("leaf_b")))
@@ -312,23 +313,24 @@ def leaves(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame:
     return small.unionByName(split.select(*rows.columns, "leaf_a", "leaf_b", "side"))
 
 
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """doc_id, h (the hash of the text), n and node of every row; and node, best and component of every class with shingles.
 
     The best row of a class is that of the least id (NULL is the greatest), then of the least text hash."""
-    signed_docs = docs.select("doc_id", F.xxhash64("text").alias("h"), signatures(F.col("text")).alias("s"))
+    signed_docs = docs.select("doc_id", F.xxhash64("text").alias("h"), signatures(F.col("text"), width, percent).alias("s"))
     signed_docs = stored(signed_docs.select("doc_id", "h", "s.*"), "signatures")
     some = signed_docs.where("n > 0")
     points = some.select("node", "n", "prefix", "point").dropDuplicates(["node"])
     tokens = points.select(F.explode("prefix").alias("token"), "node", "n")
-    met = leaves(tokens, "token", F.lit(1), LEAF).join(points.select("node", "point"), "node")
+    met = leaves(tokens, "token", F.lit(1), LEAF, percent).join(points.select("node", "point"), "node")
     places = met.repartition("token", "leaf_a", "leaf_b").sortWithinPartitions("token", "leaf_a", "leaf_b")
-    pairs = places.select("token", "leaf_a", "leaf_b", "side", "node", "n", "point").mapInPandas(meet, "u long, v long").distinct()
+    places = places.select("token", "leaf_a", "leaf_b", "side", "node", "n", "point")
+    pairs = places.mapInPandas(lambda batches: meet(batches, percent), "u long, v long").distinct()
     rough = components(pairs, "candidates").join(points.select("node", "n"), "node")
     rough = rough.select(F.col("component").alias("cluster"), "node", "n")
-    load = F.greatest(F.floor(F.col("n") * (100 - PERCENT) / 100) + 1, F.lit(SMALLEST))
-    tiles = leaves(rough, "cluster", load, SHINGLES).join(points.select("node", "prefix", "point"), "node")
-    pairs = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(narrow, "u long, v long")
+    load = F.greatest(F.floor(F.col("n") * (100 - percent) / 100) + 1, F.lit(SMALLEST))
+    tiles = leaves(rough, "cluster", load, SHINGLES, percent).join(points.select("node", "prefix", "point"), "node")
+    pairs = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(lambda rows: narrow(rows, percent), "u long, v long")
     clusters = components(pairs, "narrowed")
     # the sets of the candidates, from one document of each class
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best")
@@ -337,7 +339,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     @F.arrow_udf("binary")
     def sets(texts: pa.Array) -> pa.Array:
-        return pa.array([shingles(t).tobytes() for t in texts.to_pylist()], pa.binary())
+        return pa.array([shingles(t, width).tobytes() for t in texts.to_pylist()], pa.binary())
 
     @F.arrow_udf("long")
     def names(found: pa.Array) -> pa.Array:
@@ -349,16 +351,16 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = found.where(names("found") == F.col("node")).dropDuplicates(["node"])
     found = stored(found, "sets")
     load = F.greatest(F.col("n"), F.lit(SMALLEST))
-    tiles = leaves(found.select("cluster", "node", "n"), "cluster", load, SHINGLES).join(found.select("node", "found"), "node")
-    links = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(follow, "u long, v long")
+    tiles = leaves(found.select("cluster", "node", "n"), "cluster", load, SHINGLES, percent).join(found.select("node", "found"), "node")
+    links = tiles.groupBy("cluster", "leaf_a", "leaf_b").applyInPandas(lambda rows: follow(rows, percent), "u long, v long")
     labels = components(links, "links")
     least = some.groupBy("node").agg(best).join(labels, "node", "left")
     return signed_docs, stored(least.select("node", "best", F.coalesce("component", "node").alias("component")), "classes")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
-    signed_docs, least = classes(docs)
+def join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, for shingles of so many words and so much likeness."""
+    signed_docs, least = classes(docs, width, percent)
     ids = least.groupBy("component").agg(F.min("best.doc_id").alias("component_id"))
     named = least.join(ids, "component").select(F.col("node").alias("m"), "component_id")
     alone = signed_docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -369,12 +371,12 @@ def join(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each component, that of the least id and then of the least text hash, columns as they were.
 
     Components are those of the sets, whatever the ids: documents without an id, or with an id that other texts have
     too, stay or go by their own text. Blank texts stay. Of rows that repeat id and text one stays."""
-    signed_docs, least = classes(docs)
+    signed_docs, least = classes(docs, width, percent)
     ids, texts = fresh(docs, "join_id"), fresh(docs, "join_text")
     kept = least.groupBy("component").agg(F.min("best").alias("best")).select("best.doc_id", "best.h")
     kept = kept.unionByName(signed_docs.where("n = 0").select("doc_id", "h").distinct())
