@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstrata.llm import fingerprint, html, langid, license, lm, mixing, ngram_join, pieces, quality, tokencount
+from reelstrata.llm import (
+    fingerprint, html, langid, lexical, license, linededup, lm, mixing, ngram_join, pieces, quality, repair, tokencount,
+)
 from reelstrata.llm.common import documents, ship
 
 
@@ -60,11 +62,26 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.document_tokens(documents(spark, folder))
 
 
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return repair.repaired_conversations(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return lexical.search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.line_dedup(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_source_mixing, op3_license_scan, op4_fingerprints, op5_language_id,
         op6_piece_encoding, op7_main_text, op8_lm_scores, op9_ngram_join, op10_token_counts,
+        op11_structure_repair, op12_lexical_search, op13_line_dedup,
     )
 }
 
@@ -87,4 +104,10 @@ reach AS (
 SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, least(d.doc_id, min(r.b)) AS component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id"""
 
-ORACLES: dict[str, str] = {"op2_source_mixing": mixing.mix_sql(), "op9_ngram_join": JOIN_SQL}
+ORACLES: dict[str, str] = {
+    "op2_source_mixing": mixing.mix_sql(),
+    "op9_ngram_join": JOIN_SQL,
+    "op11_structure_repair": repair.REPAIR_SQL,
+    "op12_lexical_search": lexical.SEARCH_SQL,
+    "op13_line_dedup": linededup.LINE_SQL,
+}
