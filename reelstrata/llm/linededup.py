@@ -81,7 +81,9 @@ def drop_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars: i
 
     The names of the two get underscores where `docs` has them already."""
     hashes = stored(line_hashes(docs, min_chars), "lines")
-    gone = stored(dropped_places(hashes, frequent(hashes, min_documents)), "dropped")
+    # stored, the keys are a plain side of the join, so that adaptive joins may split the lines of a hot one
+    often = stored(frequent(hashes, min_documents), "frequent")
+    gone = stored(dropped_places(hashes, often), "dropped")
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), hash128(F.coalesce(docs["text"], F.lit(""))).alias("t"))
     met = whole.join(gone, (F.col("t.a") == F.col("a")) & (F.col("t.b") == F.col("b")), "left")
     n_lines, n_dropped = fresh(docs, "n_lines"), fresh(docs, "n_dropped")
