@@ -142,9 +142,13 @@ def orphan_metrics(
     )
 
 
+def above_limit(max_ratio: Decimal = MAX_ORPHAN_RATIO) -> Column:
+    """Whether a link is above the limit, compared in exact decimals: at the limit still passes."""
+    return F.col("orphan_rows") > F.col("child_rows") * F.lit(max_ratio)
+
+
 def too_many_orphans(metrics: DataFrame, max_ratio: Decimal = MAX_ORPHAN_RATIO) -> DataFrame:
-    """Links above the limit, compared in exact decimals: at the limit still passes."""
-    return metrics.where(F.col("orphan_rows") > F.col("child_rows") * F.lit(max_ratio))
+    return metrics.where(above_limit(max_ratio))
 
 
 def orphan_ratio(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstrata.operators import checks
+from reelstrata.operators.profile import Domain, key_profile, repeated_grains
 from reelstrata.plans.intermediate import ROLLUPS
 from reelstrata.plans.marts import CONTRACTS, contract
 from reelstrata.plans.staging import COLUMNS
@@ -94,6 +95,12 @@ RELATIONSHIPS = {
     ),
 }
 
+# A parent key and all columns that refer to it are profiled together.
+DOMAINS = tuple(
+    Domain(parent, ((parent, field), *children)) for (parent, field), children in RELATIONSHIPS.items()
+)
+LINKS = [f"{child}.{column}" for children in RELATIONSHIPS.values() for child, column in children]
+
 # Composite keys of the bridges and grains of the marts.
 BRIDGE_KEYS = {
     "bridge_title_akas": ("tconst", "ordering"),
@@ -146,25 +153,27 @@ def unique_findings(layer: str, tables: Mapping[str, DataFrame]) -> list[DataFra
     ]
 
 
+def links(profile: DataFrame) -> DataFrame:
+    """The rows of a profile that are declared relationships."""
+    link = F.concat_ws(".", "relation", "column_name")
+    return profile.withColumn("link", link).where(F.col("domain").isNotNull() & F.col("link").isin(LINKS))
+
+
 def relationship_metrics(models: Mapping[str, DataFrame]) -> DataFrame:
-    """Child rows, orphans and their share for each declared relationship."""
-    return checks.union_all(
-        [
-            checks.orphan_metrics(
-                {f"{c}.{col}": (models[c], col) for c, col in children}, models[parent], field
-            )
-            for (parent, field), children in RELATIONSHIPS.items()
-        ]
+    """Child rows, orphans and their share for each declared relationship, from one profile of the keys."""
+    return links(key_profile(models, DOMAINS)).select(
+        "link",
+        "child_rows",
+        "orphan_rows",
+        (F.col("orphan_rows").cast("double") / F.nullif("child_rows", F.lit(0))).alias("orphan_ratio"),
+        F.lit(float(checks.MAX_ORPHAN_RATIO)).alias("maximum_orphan_ratio"),
     )
 
 
-def relationship_findings(models: Mapping[str, DataFrame]) -> list[DataFrame]:
-    return [
-        checks.orphan_ratio(
-            {f"{c}.{col}": (models[c], col) for c, col in children}, models[parent], field
-        )
-        for (parent, field), children in RELATIONSHIPS.items()
-    ]
+def relationship_findings(models: Mapping[str, DataFrame]) -> DataFrame:
+    found = checks.too_many_orphans(links(key_profile(models, DOMAINS)))
+    detail = F.concat_ws(" of ", F.col("orphan_rows"), F.col("child_rows"))
+    return found.select(*checks.violation("orphan_ratio", F.col("link"), F.col("parent_key"), detail))
 
 
 def bridge_findings(models: Mapping[str, DataFrame]) -> DataFrame:
@@ -222,18 +231,6 @@ def raw_schema_findings(spark: SparkSession, raw: Mapping[str, DataFrame]) -> Da
     )
 
 
-def frozen_findings(
-    spark: SparkSession, before: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]
-) -> DataFrame:
-    """Raw tables whose columns differ from those of the build that is published."""
-    return checks.union_all(
-        [
-            checks.schema_violations(spark, name, raw[name].schema, before[name].schema)
-            for name in SOURCES
-        ]
-    )
-
-
 def contract_findings(spark: SparkSession, marts: Mapping[str, DataFrame]) -> DataFrame:
     """Marts, as they are stored, that differ from their contract."""
     return checks.union_all(
@@ -284,7 +281,7 @@ def intermediate_findings(relations: Relations) -> DataFrame:
         [
             counted,
             bridge_findings(models),
-            *relationship_findings(models),
+            relationship_findings(models),
             *null_findings("intermediate", models),
             *unique_findings("intermediate", models),
         ]
@@ -336,23 +333,43 @@ def staging_totals(relations: Relations) -> DataFrame:
     return checks.fired(checks.union_all(parts))
 
 
+def profile_tallies(profile: DataFrame) -> DataFrame:
+    """What a profile of the models says about missing and repeated keys, rows and orphans, as `tally` rows."""
+    layer = "intermediate"
+    column = F.concat_ws(".", "relation", "column_name")
+    required = [f"{name}.{c}" for name, columns in NOT_NULL[layer].items() for c in columns]
+    single = [f"{name}.{c}" for name, c in UNIQUE[layer].items()]
+    counted = [f"{name}.{UNIQUE[layer][name]}" for name in RECONCILED]
+
+    def entry(check: str, asked: Column, value: Column, relation: Column, item: Column) -> Column:
+        fields = [F.lit(check).alias("check"), item.cast("string").alias("item"), value.cast("long").alias("value")]
+        return F.when(asked, F.struct(relation.alias("relation"), *fields))
+
+    none, relation = F.lit(None), F.col("relation")
+    keyed = F.col("domain").isNotNull()
+    lost = keyed & column.isin(LINKS) & checks.above_limit()
+    return profile.select(
+        F.inline(
+            F.array(
+                entry("not_null", column.isin(required), F.col("null_rows"), relation, F.col("column_name")),
+                entry("unique", keyed & column.isin(single), F.col("repeated_keys"), relation, none),
+                entry("rows_model_staging", keyed & column.isin(counted), F.col("row_count"), relation, none),
+                entry("orphan_ratio", lost, F.lit(1), column, none),
+            )
+        )
+    ).where("relation IS NOT NULL")
+
+
 def intermediate_totals(relations: Relations) -> DataFrame:
-    """What the intermediate checks find in total, from one aggregate of each model and one grouping of each key."""
+    """What the intermediate checks find in total: every model is read once for the profile of its keys, the bridges
+    once more for their grains."""
     staged, models = relations["staging"], relations["intermediate"]
-    parts = []
-    for name, columns in NOT_NULL["intermediate"].items():
-        measures = null_measures(columns)
-        if name in RECONCILED:
-            measures.append(("rows_model_staging", None, F.count("*")))
-            expected = [("rows_model_staging", None, -F.count("*"))]
-            parts.append(checks.tally(staged[RECONCILED[name]], name, expected))
-        parts.append(checks.tally(models[name], name, measures))
-    for name, column in UNIQUE["intermediate"].items():
-        parts.append(checks.key_tally(models[name], name, [column], ["unique"]))
-    for name, keys in BRIDGE_KEYS.items():
-        parts.append(checks.key_tally(models[name], name, keys, ["grain"]))
-    found = checks.fired(checks.union_all(parts))
-    return checks.union_all([found, *[totals(links) for links in relationship_findings(models)]])
+    found = key_profile(models, DOMAINS, NOT_NULL["intermediate"])
+    parts = [profile_tallies(found)]
+    for name, table in RECONCILED.items():
+        parts.append(checks.tally(staged[table], name, [("rows_model_staging", None, -F.count("*"))]))
+    grains = repeated_grains(models, BRIDGE_KEYS).select(F.lit("grain").alias("check"), "relation", "findings")
+    return checks.union_all([checks.fired(checks.union_all(parts)), grains])
 
 
 def mart_totals(relations: Relations) -> DataFrame:

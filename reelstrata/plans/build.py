@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,12 @@ from reelstrata.plans.intermediate import ROLLUPS, intermediate_all
 from reelstrata.plans.marts import CONTRACTS, marts_all
 from reelstrata.plans.staging import stage_all
 from reelstrata.session import configure, size_shuffles
+from reelstrata.sources import freeze
 from reelstrata.sources import manifest as manifests
 from reelstrata.sources.inventory import inventory
 from reelstrata.sources.registry import SOURCES, registry_frame
-from reelstrata.sources.tables import Build, compact, current_build, publish, write_table
-from reelstrata.sources.tsv import land
+from reelstrata.sources.tables import Build, compact, current_build, current_version, publish, write_table
+from reelstrata.sources.tsv import Landing, land
 
 # Text is several times its gzip size once decompressed.
 GZIP_EXPANSION = 6
@@ -35,6 +37,7 @@ LOOKUPS = {
 
 Relations = dict[str, dict[str, DataFrame]]
 Step = Callable[[str], None]
+T = TypeVar("T")
 
 
 class SnapshotError(RuntimeError):
@@ -53,7 +56,7 @@ def _nothing(_: str) -> None:
     return None
 
 
-def _each(names: Iterable[str], job: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+def _each(names: Iterable[str], job: Callable[[str], T]) -> dict[str, T]:
     """Run one independent Spark job per name at the same time, so that jobs of a single long task
     (a gzip file) or with a thin last stage do not leave the cluster idle."""
     names = list(names)
@@ -99,18 +102,18 @@ def load_raw(
     Every table must hold as many rows as its entry says were counted in its file.
     """
 
-    def landed(name: str) -> DataFrame:
+    def landed(name: str) -> Landing:
         path = f"{raw_dir.rstrip('/')}/{SOURCES[name].file_name}"
         target = build.location("raw", name)
-        return land(spark, path, SOURCES[name], load_id, target, headers_checked=True)
+        return land(spark, path, SOURCES[name], load_id, target)
 
-    raw = _each(SOURCES, landed)
+    landings = _each(SOURCES, landed)
     known = entries.where(F.col("table_name").isin(*SOURCES)).select("table_name", "row_count")
     counted = {r["table_name"]: r["row_count"] for r in known.collect()}
-    found = {r["relation_name"]: r["row_count"] for r in row_counts(raw).collect()}
-    for name in SOURCES:
-        if counted.get(name) not in (None, found[name]):
-            raise SnapshotError(f"{name}: {found[name]} rows from {counted[name]} lines")
+    for name, landing in landings.items():
+        if counted.get(name) not in (None, landing.row_count):
+            raise SnapshotError(f"{name}: {landing.row_count} rows from {counted[name]} lines")
+    raw = {name: landing.rows for name, landing in landings.items()}
     raw["ingestion_files"] = write_table(
         manifests.file_lineage(entries, load_id).coalesce(1),
         build.location("raw", "ingestion_files"),
@@ -142,7 +145,7 @@ def mart_row_counts(marts: dict[str, DataFrame]) -> dict[str, int]:
 
 def stored_tables() -> dict[str, str]:
     """Every table that a build stores, with its schema; the other relations are derived from them."""
-    layers = {"raw": audit.REQUIRED["raw"], "intermediate": ROLLUPS, "marts": CONTRACTS}
+    layers = {"raw": audit.REQUIRED["raw"], "intermediate": ROLLUPS, "marts": CONTRACTS, freeze.STORED[0]: freeze.STORED[1:]}
     return {name: schema for schema, names in layers.items() for name in names}
 
 
@@ -173,18 +176,13 @@ def validate(
 ) -> tuple[Relations, dict[str, int]]:
     """The relations of a build as they are read back, and the rows of its marts.
 
-    All required relations must be there, raw tables have the registered headers and those of the published
-    build, marts match their contracts and can be read; with `marts_not_empty` each must also hold a row.
+    All required relations must be there, raw tables have the registered headers, marts match their contracts and can be read; with `marts_not_empty` each must also hold a row.
     """
     lost = missing_tables(spark, build)
     if lost:
         raise audit.AuditError(f"missing: {lost}")
     raw = {name: build.scan(spark, "raw", name) for name in SOURCES}
     audit.gate("raw", audit.totals(audit.raw_schema_findings(spark, raw)))
-    before = current_build(spark, build.root)
-    if before is not None and before != build:
-        old = {name: before.scan(spark, "raw", name) for name in SOURCES}
-        audit.gate("raw", audit.totals(audit.frozen_findings(spark, old, raw)))
     relations = open_build(spark, build)
     lost = absent_relations(relations)
     if lost:
@@ -199,6 +197,14 @@ def validate(
     return relations, counts
 
 
+def frozen_schemas(spark: SparkSession, build: Build, may_change: Collection[str] = ()) -> DataFrame:
+    """The schemas that a load into `build` will land, with their versions; refused if they differ from the published ones."""
+    stored = freeze.stored_schemas(spark, current_build(spark, build.root))
+    incoming = freeze.schema_rows(spark, freeze.registered_schemas())
+    audit.gate("raw", audit.totals(freeze.frozen_changes(stored, incoming, may_change)))
+    return freeze.next_schemas(stored, incoming)
+
+
 def build_snapshot(
     spark: SparkSession,
     *,
@@ -208,21 +214,26 @@ def build_snapshot(
     build: Build,
     load_id: str,
     marts_not_empty: bool = False,
+    may_change: Collection[str] = (),
     on_stage: Step = _nothing,
 ) -> BuildResult:
     """Run the whole flow for one snapshot. A failure anywhere leaves the current build as it is.
 
-    With `marts_not_empty`, as for a full snapshot, a mart without rows fails the build.
+    Columns of raw tables must be those of the published build, but for tables that `may_change`; that is known before
+    a row is landed. If another build is published meanwhile, this one is not. With `marts_not_empty`, as for a full snapshot, a mart without rows fails the build.
     Each layer is audited before the next one is computed from it, and every stored layer is read
     back from the shared build folder, so a lost executor recomputes one layer at most.
     """
     configure(spark)
     on_stage("verify")
+    based_on = current_version(spark, build.root)
+    schemas = frozen_schemas(spark, build, may_change)
     verified = verify_snapshot(spark, entries, raw_dir, base_url)
     packed = verified.agg(F.sum("size_bytes")).first()[0]
     size_shuffles(spark, packed * GZIP_EXPANSION)
 
     on_stage("ingest")
+    freeze.store_schemas(schemas, build)
     raw = load_raw(spark, verified, raw_dir, build, load_id)
     relations: Relations = {"raw": raw, "staging": stage_all(raw)}
 
@@ -252,7 +263,7 @@ def build_snapshot(
     relations, rows = validate(spark, build, marts_not_empty=marts_not_empty)
 
     on_stage("publish")
-    publish(spark, build)
+    publish(spark, build, based_on)
     audit.register(relations)
     return BuildResult(build, load_id, sum(map(len, audit.REQUIRED.values())), rows)
 
@@ -272,11 +283,11 @@ def compact_build(spark: SparkSession, source: Build, target: Build) -> Build:
 
 def checkpoint_current(spark: SparkSession, root: str, build_id: str) -> Build:
     """Compact the current build into a new one and publish that; readers never see half of it."""
-    current = current_build(spark, root)
+    based_on, current = current_version(spark, root), current_build(spark, root)
     if current is None:
         raise SnapshotError(f"nothing is published under {root}")
     packed = compact_build(spark, current, Build(root, build_id))
     relations, _ = validate(spark, packed)
-    publish(spark, packed)
+    publish(spark, packed, based_on)
     audit.register(relations)
     return packed

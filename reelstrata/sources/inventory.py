@@ -7,66 +7,110 @@ from pyspark.sql import functions as F
 
 from reelstrata.sources.registry import SOURCES
 
-# Files up to this size are hashed as one binary value; larger ones are streamed.
-INLINE_BYTES = 64 * 1024**2
-CHUNK_BYTES = 8 * 1024**2
+# The codec that leaves bytes alone, and the names of its setting in plain and in shaded Hadoop clients.
+PASSTHROUGH = "org.apache.hadoop.io.compress.PassthroughCodec"
+PASSTHROUGH_EXTENSION = (
+    "io.compress.passthrough.extension",
+    "org.apache.hadoop.shaded.io.compress.passthrough.extension",
+)
 
+DIGEST = "path string, size_bytes long, sha256 string"
 
-def _files(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
+
+def listing(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
+    """`path, length` of every file that holds a byte, and its `uri` as all scans give it; contents are not read."""
     reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path)
+    return reader.load(path).select("path", "length", F.col("_metadata.file_path").alias("uri"))
 
 
 def _name(path_column: str) -> Column:
     return F.element_at(F.split(path_column, "/"), -1).alias("file_name")
 
 
-def _sha256_of_path():
-    """The task function that hashes files chunk by chunk, shipped to workers by value."""
-    chunk_bytes = CHUNK_BYTES
+def _digests_of_lines():
+    """The task function: a running hash over the lines of one file after the other, shipped to workers by value."""
+    schema = DIGEST
 
     def hashed(batches):
         import hashlib
-
-        from pyarrow import fs
-
-        for files in batches:
-            digests = []
-            for path in files["path"]:
-                local = path.startswith("file:") and "://" not in path
-                system, name = fs.FileSystem.from_uri(f"file://{path[5:]}" if local else path)
-                digest = hashlib.sha256()
-                with system.open_input_stream(name, compression=None) as stream:
-                    while chunk := stream.read(chunk_bytes):
-                        digest.update(chunk)
-                digests.append(digest.hexdigest())
-            yield files.assign(sha256=digests)
+        from itertools import groupby
+
+        import pyarrow as pa
+
+        mark = b"\xef\xbb\xbf"  # the line reader leaves it out at the start of a file
+        path, size, seen, plain, marked = None, 0, 0, None, None
+        done = []
+
+        def finish():
+            # the size tells whether a mark came first and a newline last
+            rest = size - seen
+            digest = marked if rest >= len(mark) else plain
+            rest -= len(mark) if rest >= len(mark) else 0
+            if rest not in (0, 1):
+                raise ValueError(f"{path}: {seen} of {size} bytes were read")
+            digest.update(b"\n" * rest)
+            done.append((path, size, digest.hexdigest()))
+
+        for batch in batches:
+            start = 0
+            for name, run in groupby(batch.column(0).to_pylist()):
+                count = sum(1 for _ in run)
+                text = b"\n".join(batch.column(2).slice(start, count).to_pylist())
+                if name != path:
+                    if path is not None:
+                        finish()
+                    path, size, seen = name, batch.column(1)[start].as_py(), 0
+                    plain, marked = hashlib.sha256(), hashlib.sha256(mark)
+                else:
+                    text = b"\n" + text
+                plain.update(text)
+                marked.update(text)
+                seen += len(text)
+                start += count
+        if path is not None:
+            finish()
+        columns = list(zip(*done)) or [(), (), ()]
+        kinds = {"long": pa.int64(), "string": pa.string()}
+        fields = [(n, kinds[kind]) for n, kind in (f.split() for f in schema.split(","))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, (_, kind) in zip(columns, fields)], [n for n, _ in fields]
+        )
 
     return hashed
 
 
-def file_digests(
-    spark: SparkSession, path: str, pattern: str | None = None, inline_bytes: int = INLINE_BYTES
-) -> DataFrame:
-    """`file_name, size_bytes, sha256` for every file, whatever its size.
+def file_digests(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """`path, file_name, size_bytes, sha256` for every file of the pattern, which ends in a plain extension (`*.gz`).
 
-    The size limits are pushed to the listing, so a large file's bytes never become one value.
+    The bytes come through Spark's line reader, so any storage that Spark reads will do, and a file of any size is
+    hashed as a stream by one task. The extension is declared as not compressed, which gives the bytes as they are stored
+    and keeps a file in one piece. Only what stands between two newline bytes is held at once. Spark's listing leaves out
+    files without a byte; to a snapshot they are missing.
     """
-    files = _files(spark, path, pattern)
-    small = files.where(F.col("length") <= inline_bytes).select(
-        _name("path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = files.where(F.col("length") > inline_bytes).select(
-        "path", F.col("length").alias("size_bytes")
+    stem, dot, extension = pattern.rpartition(".")
+    if not dot or not extension.isalnum():
+        raise ValueError(f"the pattern must end in a plain extension: {pattern}")
+    stored = (
+        spark.read.option("pathGlobFilter", pattern)
+        .options(**{"io.compression.codecs": PASSTHROUGH, **dict.fromkeys(PASSTHROUGH_EXTENSION, f".{extension}")})
+        .text(path, lineSep="\n")
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("size_bytes"),
+            F.col("value").cast("binary").alias("value"),
+        )
     )
-    if large.isEmpty():
-        return small
-    streamed = large.repartition(spark.sparkContext.defaultParallelism, "path").mapInPandas(
-        _sha256_of_path(), "path string, size_bytes long, sha256 string"
+    hashed = stored.mapInArrow(_digests_of_lines(), DIGEST).select(F.col("path").alias("hashed_uri"), "sha256")
+    listed = listing(spark, path, pattern)
+    # a file of a byte-order mark alone has no line
+    unread = F.raise_error(F.concat(F.col("path"), F.lit(" was not read"))).cast("string")
+    lineless = F.when(F.col("length") == 3, F.lit("\ufeff"))
+    digest = F.coalesce("sha256", F.sha2(lineless.cast("binary"), 256), unread)
+    return listed.join(hashed, F.col("uri") == F.col("hashed_uri"), "left").select(
+        "path", _name("path"), F.col("length").alias("size_bytes"), digest.alias("sha256")
     )
-    return small.unionByName(streamed.select(_name("path"), "size_bytes", "sha256"))
 
 
 def line_of(value: str) -> Column:
@@ -78,10 +122,10 @@ def line_of(value: str) -> Column:
 def line_counts(
     spark: SparkSession, path: str | list[str], pattern: str | None = None, header: str | None = None
 ) -> DataFrame:
-    """`file_name, row_count, header_ok`: lines after the header, also without a last newline.
+    """`file_name, row_count, header_ok, headers`: lines after the header, also without a last newline.
 
-    Each file is held to its registered header, or all of them to `header` if that is given: it
-    must be the first line and no other.
+    Each file is held to its registered header, or all of them to `header` if that is given: it must be the
+    first line. Later lines equal to it are rows; `headers` counts them all.
     One pass and a count per file. The first line of a file is the one with the smallest row id
     in the block that starts at byte 0, so the header test needs no sort.
     """
@@ -111,19 +155,17 @@ def line_counts(
     return counted.select(
         "file_name",
         "row_count",
-        F.coalesce(
-            (F.col("first") == F.col("header")) & (F.col("headers") == 1), F.lit(False)
-        ).alias("header_ok"),
+        F.coalesce(F.col("first") == F.col("header"), F.lit(False)).alias("header_ok"),
+        "headers",
     )
 
 
-def inventory(
-    spark: SparkSession, path: str, pattern: str | None = None, inline_bytes: int = INLINE_BYTES
-) -> DataFrame:
+def inventory(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """Size, digest, row count and header state per file; an empty file has no header."""
-    counted = line_counts(spark, path, pattern)
+    counted = line_counts(spark, path, pattern).drop("headers")
     return (
-        file_digests(spark, path, pattern, inline_bytes)
+        file_digests(spark, path, pattern)
+        .drop("path")
         .join(counted, "file_name", "left")
         .withColumn("header_ok", F.coalesce("header_ok", F.lit(False)))
     )

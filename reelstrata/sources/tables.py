@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import math
 import secrets
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 COMPRESSION = "zstd"
 
-_PUBLISHED = "build_id string, published_at string"
+_PUBLISHED = "build_id string, published_at string, version long, based_on long"
+VERSION_DIGITS = 12
 
 
 @dataclass(frozen=True)
@@ -59,27 +62,90 @@ def write_table(
     return rows.sparkSession.read.parquet(path)
 
 
-def publish(spark: SparkSession, build: Build, now: datetime | None = None) -> None:
-    """Make a build current by appending one row; earlier builds stay readable."""
-    moment = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
-    row = [(build.build_id, f"{moment:%Y-%m-%dT%H:%M:%S.%fZ}")]
-    spark.createDataFrame(row, _PUBLISHED).write.mode("append").json(f"{build.root}/published")
+class PublishConflict(RuntimeError):
+    """Another build was published since the version that this one was made from."""
 
 
-def published_builds(spark: SparkSession, root: str) -> DataFrame:
-    """Every publication, newest first."""
-    rows = spark.read.schema(_PUBLISHED).json(f"{root}/published")
-    return rows.orderBy(F.desc("published_at"), F.desc("build_id"))
+def _history(spark: SparkSession, root: str) -> list[Row]:
+    """The publications in force, oldest first, and nothing else of the log: an entry counts if it names the one
+    in force before it, so of two entries made from the same version only the lower number does."""
+    try:
+        rows = spark.read.schema(_PUBLISHED).json(f"{root}/published").where("build_id IS NOT NULL").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    history: list[Row] = []
+    for row in sorted(rows, key=lambda row: row["version"]):
+        if row["based_on"] == (history[-1]["version"] if history else 0):
+            history.append(row)
+    return history
 
 
-def current_build(spark: SparkSession, root: str) -> Build | None:
+def _taken(spark: SparkSession, root: str) -> int:
+    """The highest number in the log, that of a publication which was never finished included."""
+    number = F.regexp_extract("path", r"(\d+)\.json$", 1).try_cast("long")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
     try:
-        newest = published_builds(spark, root).first()
+        return files.load(f"{root}/published").agg(F.max(number)).first()[0] or 0
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return 0
         raise
-    return Build(root, newest["build_id"]) if newest else None
+
+
+def _create(spark: SparkSession, path: str, text: str) -> None:
+    """A new file, or a conflict if there is one: the storage decides who was first."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            raise PublishConflict(f"{path} was published by another build") from None
+        raise
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def publish(spark: SparkSession, build: Build, based_on: int, now: datetime | None = None) -> int:
+    """Make a build current if `based_on` is still the version in force, and return its version.
+
+    The log is a numbered file for each publication. A file is created only if its number is free, so of two
+    publishers that start from one version the second fails; no clock is asked. Earlier builds stay readable.
+    """
+    if current_version(spark, build.root) != based_on:
+        raise PublishConflict(f"{build.build_id} was made from version {based_on}, which is no longer current")
+    moment = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
+    version = _taken(spark, build.root) + 1
+    row = {
+        "build_id": build.build_id,
+        "published_at": f"{moment:%Y-%m-%dT%H:%M:%S.%fZ}",
+        "version": version,
+        "based_on": based_on,
+    }
+    _create(spark, f"{build.root}/published/{version:0{VERSION_DIGITS}d}.json", json.dumps(row) + "\n")
+    if all(entry["version"] != version for entry in _history(spark, build.root)):
+        raise PublishConflict(f"{build.build_id}: another build was published from version {based_on}")
+    return version
+
+
+def published_builds(spark: SparkSession, root: str) -> DataFrame:
+    """Every publication that was in force, newest first."""
+    return spark.createDataFrame(_history(spark, root)[::-1], _PUBLISHED)
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """The version in force, 0 before the first."""
+    history = _history(spark, root)
+    return history[-1]["version"] if history else 0
+
+
+def current_build(spark: SparkSession, root: str) -> Build | None:
+    history = _history(spark, root)
+    return Build(root, history[-1]["build_id"]) if history else None
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:

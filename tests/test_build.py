@@ -5,15 +5,15 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BASE_URL, SECOND_TITLES, manifest_frame, rows_of, write_snapshot
+from conftest import BASE_URL, catalogue, manifest_frame, rows_of, write_snapshot
 from reelstrata.plans import audit, queries
 from reelstrata.plans import build as builds
 from reelstrata.plans.audit import AuditError
 from reelstrata.plans.marts import CONTRACTS
 from reelstrata.plans.intermediate import title_genre_lists
-from reelstrata.sources import tables
+from reelstrata.sources import freeze, tables
 from reelstrata.sources.registry import SOURCES
-from reelstrata.sources.tables import Build, current_build, publish, published_builds
+from reelstrata.sources.tables import Build, PublishConflict, current_build, current_version, publish, published_builds
 
 
 def run(spark, tmp_path, name, entries, **options):
@@ -31,49 +31,48 @@ def run(spark, tmp_path, name, entries, **options):
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("lake")
-    entries = write_snapshot(folder / "raw", title_basics=SECOND_TITLES)
+    entries = write_snapshot(folder / "raw")
     return folder, entries, run(spark, folder, "b1", entries)
 
 
-def test_golden_snapshot(spark, lake):
+def test_published_snapshot(spark, lake):
     folder, _, result = lake
     assert result.relation_count == 31
     assert result.mart_row_counts == {
-        "mart_title_search": 3,
-        "mart_genre_year_summary": 3,
-        "mart_person_filmography": 1,
-        "mart_series_episodes": 1,
+        "mart_title_search": 9,  # 2 serials, 5 chapters, 2 films
+        "mart_genre_year_summary": 7,  # 3 years of 2 genres, and one film's
+        "mart_person_filmography": 10,
+        "mart_series_episodes": 5,
     }
     build = current_build(spark, str(folder / "lake"))
     relations = builds.open_build(spark, build)
     marts = relations["marts"]
-    assert rows_of(
-        marts["mart_title_search"].where("tconst = 'tt7301'").select(
-            "primary_title", "average_rating", "genres", "directors", "principal_cast"
-        )
-    ) == [("Löwenzahn 山道", 7.5, ["Drama"], ["Mira Quill"], ["Mira Quill"])]
-    assert rows_of(
-        marts["mart_genre_year_summary"].where("start_year = 2020 and genre = 'Drama'").select(
-            "title_count", "rated_title_count", "total_votes"
-        )
-    ) == [(1, 1, 100)]
-    assert rows_of(
-        marts["mart_person_filmography"].select("nconst", "tconst", "category", "characters")
-    ) == [("nm9105", "tt7301", "actor", ["Pilot"])]
-    assert rows_of(
-        marts["mart_series_episodes"].select(
-            "series_tconst", "episode_tconst", "season_number", "episode_number"
-        )
-    ) == [("tt7301", "tt7302", 1, 1)]
-    staged = relations["staging"]["title_basics"].where("tconst = 'tt-late'")
-    assert rows_of(staged.select("start_year", "end_year", "genres", "_load_id")) == [
-        (2026, None, ["Drama"], "load-b1")
+    shown = marts["mart_title_search"].select("tconst", "average_rating", "genres", "directors", "principal_cast")
+    assert rows_of(shown.where("tconst IN ('ttq10c1', 'ttq10c2', 'ttq31')").orderBy("tconst")) == [
+        ("ttq10c1", 6.5, ["Mystery", "Talk"], ["Ott Lind", "nmq3"], ["Ida Moor"]),
+        ("ttq10c2", 7.0, ["Mystery", "Talk"], None, ["Ida Moor"]),
+        ("ttq31", None, None, None, None),
+    ]
+    cells = marts["mart_genre_year_summary"].select("start_year", "genre", "title_count", "rated_title_count", "total_votes")
+    assert rows_of(cells.where("genre <> 'Mystery'").orderBy("start_year")) == [
+        (1951, "Talk", 2, 2, 80), (1952, "Talk", 2, 2, 160), (1953, "Talk", 1, 1, 120), (1962, "Noir", 1, 0, 0)
+    ]
+    credits = marts["mart_person_filmography"].where("tconst = 'ttq20c2'").orderBy("ordering")
+    assert rows_of(credits.select("nconst", "category", "job", "characters")) == [
+        ("nmq1", "self", None, ["Host", "Guide"]), ("nmq2", "composer", "score", None)
+    ]
+    listed = marts["mart_series_episodes"].where("series_tconst = 'ttq10'").orderBy("episode_tconst")
+    assert rows_of(listed.select("series_title", "episode_title", "season_number", "episode_number")) == [
+        ("Serial 10", "Chapter 1", 1, 1), ("Serial 10", "Chapter 2", 1, 2), ("Serial 10", "Chapter 3", None, None)
+    ]
+    films = relations["staging"]["title_basics"].where("title_type = 'movie'").orderBy("tconst")
+    assert rows_of(films.select("original_title", "is_adult", "start_year", "end_year", "genres", "_load_id")) == [
+        ("", True, 1962, 1964, ["Noir"], "load-b1"), (None, None, 1963, None, None, "load-b1")
     ]
     files = relations["raw"]["ingestion_files"]
-    assert rows_of(files.where("table_name = 'title_basics'").select("row_count")) == [(3,)]
+    assert dict(rows_of(files.select("table_name", "row_count"))) == {name: len(rows) for name, rows in catalogue().items()}
     assert "row_count" not in relations["staging"]["ingestion_files"].columns
-    found = spark.catalog.listTables(pattern="marts__*")
-    assert len(found) == 4
+    assert len(spark.catalog.listTables(pattern="marts__*")) == 4
 
 
 def scan_of(rows):
@@ -85,13 +84,13 @@ def test_point_queries_reach_the_scan(spark, lake):
     _, _, result = lake
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     marts = {name: result.build.scan(spark, "marts", name) for name in CONTRACTS}
-    scan = scan_of(queries.filmography_of(marts["mart_person_filmography"], "nm9105"))
-    assert "EqualTo(nconst,nm9105)" in scan
+    scan = scan_of(queries.filmography_of(marts["mart_person_filmography"], "nmq1"))
+    assert "EqualTo(nconst,nmq1)" in scan
     assert "characters" not in scan and "num_votes" not in scan
-    scan = scan_of(queries.episodes_of(marts["mart_series_episodes"], "tt7301"))
-    assert "EqualTo(series_tconst,tt7301)" in scan
-    scan = scan_of(queries.genre_over_time(marts["mart_genre_year_summary"], "Drama", 2000, 2020))
-    assert "EqualTo(genre,Drama)" in scan and "GreaterThanOrEqual(start_year,2000)" in scan
+    scan = scan_of(queries.episodes_of(marts["mart_series_episodes"], "ttq10"))
+    assert "EqualTo(series_tconst,ttq10)" in scan
+    scan = scan_of(queries.genre_over_time(marts["mart_genre_year_summary"], "Talk", 1951, 1952))
+    assert "EqualTo(genre,Talk)" in scan and "GreaterThanOrEqual(start_year,1951)" in scan
     top = queries.top_titles(marts["mart_title_search"])
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
     assert "directors" not in scan_of(top)
@@ -122,57 +121,55 @@ def test_failure_keeps_the_published_build(spark, lake):
         with pytest.raises(RuntimeError, match=stage):
             run(spark, folder, f"bad-{stage}", entries, on_stage=fail)
     assert [r[0] for r in rows_of(published_builds(spark, root))] == ["b1"]
-    publish(spark, Build(root, "bad"))
+    publish(spark, Build(root, "bad"), current_version(spark, root))
     assert [r[0] for r in rows_of(published_builds(spark, root))] == ["bad", "b1"]
 
 
 def test_audit_stops_a_bad_layer(spark, tmp_path):
-    bad = [*SECOND_TITLES, SECOND_TITLES[1]]
-    entries = write_snapshot(tmp_path / "raw", title_basics=bad)
+    bad = catalogue()
+    bad["title_basics"].append(bad["title_basics"][1])
+    entries = write_snapshot(tmp_path / "raw", bad)
     with pytest.raises(AuditError, match="unique on title_basics: 1"):
         run(spark, tmp_path, "bad", entries)
     assert current_build(spark, str(tmp_path / "lake")) is None
 
 
 def test_changed_file_is_refused(spark, tmp_path):
-    entries = write_snapshot(tmp_path / "raw", title_basics=SECOND_TITLES)
-    write_snapshot(tmp_path / "raw", title_basics=SECOND_TITLES[:2])
+    entries = write_snapshot(tmp_path / "raw")
+    write_snapshot(tmp_path / "raw", catalogue(films=["ttq39"]))
     with pytest.raises(builds.SnapshotError, match="title.basics.tsv.gz: checksum differs"):
         run(spark, tmp_path, "bad", entries)
 
 
 def test_incomplete_snapshot_is_refused(spark, tmp_path):
-    entries = write_snapshot(tmp_path / "raw", title_basics=SECOND_TITLES)
+    entries = write_snapshot(tmp_path / "raw")
     with pytest.raises(builds.SnapshotError, match="name_basics table_name: missing"):
         run(spark, tmp_path, "bad", entries[:-1])
 
 
-def test_second_load_replaces_the_first(spark, tmp_path):
-    build = Build(str(tmp_path / "lake"), "b")
-    raw_dir = tmp_path / "raw"
-    first = manifest_frame(spark, write_snapshot(raw_dir))
-    raw = builds.load_raw(spark, first, str(raw_dir), build, "one")["title_basics"]
-    rows = {r["tconst"]: r for r in raw.collect()}
-    assert set(rows) == {"tt7301", "tt-early"}
-    assert rows["tt7301"]["endYear"] == "\\N"
-    assert rows["tt7301"]["primaryTitle"] == "Löwenzahn 山道"
-    assert rows["tt-early"]["originalTitle"] == ""
-    with pytest.raises(builds.SnapshotError, match="2 rows from 3 lines"):
-        wrong = first.withColumn("row_count", F.lit(3).cast("long")).where("table_name = 'title_basics'")
-        builds.load_raw(spark, wrong, str(raw_dir), build, "one")
-    second = manifest_frame(spark, write_snapshot(raw_dir, title_basics=SECOND_TITLES))
-    raw = builds.load_raw(spark, second, str(raw_dir), build, "two")["title_basics"]
-    assert set(rows_of(raw.select("tconst", "_load_id"))) == {
-        ("tt7301", "two"),
-        ("tt7302", "two"),
-        ("tt-late", "two"),
-    }
+def test_a_load_replaces_what_was_landed(spark, tmp_path):
+    build, raw_dir = Build(str(tmp_path / "lake"), "b"), tmp_path / "raw"
+
+    def titles(load, rows, **counted):
+        entries = manifest_frame(spark, write_snapshot(raw_dir, rows))
+        for count in counted.values():
+            entries = entries.withColumn("row_count", F.lit(count).cast("long")).where("table_name = 'title_basics'")
+        return builds.load_raw(spark, entries, str(raw_dir), build, load)["title_basics"]
+
+    landed = {r["tconst"]: r for r in titles("one", catalogue(films=["ttq38"])).collect()}
+    assert len(landed) == 8 and {r["_load_id"] for r in landed.values()} == {"one"}
+    assert landed["ttq38"]["primaryTitle"] == "Nachtzug 夜汽車 0"
+    assert (landed["ttq38"]["originalTitle"], landed["ttq38"]["runtimeMinutes"]) == ("", "\\N")
+    with pytest.raises(builds.SnapshotError, match="9 rows from 10 lines"):
+        titles("one", catalogue(), counted=10)
+    again = titles("two", catalogue(chapters={"ttq10": 1}))
+    assert set(rows_of(again.select("tconst", "_load_id"))) == {(t, "two") for t in ("ttq10", "ttq10c1", "ttq30", "ttq31")}
 
 
 def test_checkpoint_publishes_a_compacted_copy(spark, lake):
     _, _, result = lake
     root = result.build.root
-    publish(spark, result.build)
+    publish(spark, result.build, current_version(spark, root))
     packed = builds.checkpoint_current(spark, root, "packed")
     assert current_build(spark, root) == packed == Build(root, "packed")
     relations = builds.open_build(spark, packed)
@@ -222,7 +219,7 @@ def test_each_stored_table_is_scanned_once_for_counts_and_once_per_key(spark, la
 
 def test_stored_relations_are_gated(spark, tmp_path):
     root, raw_dir = str(tmp_path / "lake"), tmp_path / "raw"
-    entries = write_snapshot(raw_dir, title_basics=SECOND_TITLES)
+    entries = write_snapshot(raw_dir)
     first = run(spark, tmp_path, "g1", entries).build
     spark.range(1).createOrReplaceTempView("marts__mart_title_search")
 
@@ -236,7 +233,7 @@ def test_stored_relations_are_gated(spark, tmp_path):
         tables.write_table(rows, build.location(schema, name))
         return build
 
-    assert builds.validate(spark, copy("same"))[1]["mart_title_search"] == 3
+    assert builds.validate(spark, copy("same"))[1]["mart_title_search"] == 9
     lost = copy("lost")
     shutil.rmtree(lost.location("marts", "mart_title_search"))
     with pytest.raises(AuditError, match="missing: .*marts.mart_title_search"):
@@ -249,9 +246,6 @@ def test_stored_relations_are_gated(spark, tmp_path):
     with pytest.raises(AuditError, match="contract on title_crew: 1"):
         builds.validate(spark, other)
     raw = {name: first.scan(spark, "raw", name) for name in SOURCES}
-    changed = {**raw, "title_crew": raw["title_crew"].drop("writers")}
-    assert audit.frozen_findings(spark, raw, raw).isEmpty()
-    assert rows_of(audit.frozen_findings(spark, raw, changed).select("relation").distinct()) == [("title_crew",)]
     empty = rewrite(copy("empty"), "marts", "mart_series_episodes", lambda r: r.limit(0))
     assert builds.validate(spark, empty)[1]["mart_series_episodes"] == 0
     with pytest.raises(AuditError, match="empty: .*mart_series_episodes"):
@@ -282,3 +276,51 @@ def test_unsound_manifest_document_is_refused(spark, tmp_path):
         builds.load_manifest(spark, str(path))
     path.write_text('{"version": 1, "entries": []}')
     assert builds.load_manifest(spark, str(path)).isEmpty()
+
+
+def test_the_second_of_two_publishers_fails(spark, lake, tmp_path):
+    _, entries, result = lake
+    root = str(tmp_path / "lake")
+
+    def meanwhile(stage):
+        if stage == "validate":
+            publish(spark, Build(root, "other"), 0)
+
+    with pytest.raises(PublishConflict, match="mine"):
+        builds.build_snapshot(
+            spark, raw_dir=str(Path(result.build.root).parent / "raw"), entries=manifest_frame(spark, entries),
+            base_url=BASE_URL, build=Build(root, "mine"), load_id="l", on_stage=meanwhile,
+        )
+    assert current_build(spark, root) == Build(root, "other")
+
+
+def test_changed_columns_stop_a_load_before_a_row_lands(spark, lake, tmp_path):
+    folder, entries, result = lake
+    root = str(tmp_path / "lake")
+    stored = freeze.stored_schemas(spark, result.build)
+    assert stored.where("schema_version <> 1").isEmpty() and stored.select("table_name").distinct().count() == 8
+    earlier = Build(root, "earlier")
+    kept = stored.where("NOT (table_name = 'title_crew' AND column_name = 'writers')")
+    freeze.store_schemas(kept, earlier)
+    publish(spark, earlier, 0)
+
+    def load(name, **options):
+        build = Build(root, name)
+        builds.build_snapshot(
+            spark, raw_dir=str(folder / "raw"), entries=manifest_frame(spark, entries), base_url=BASE_URL, build=build,
+            load_id="l", **options,
+        )
+        return build
+
+    reached = []
+    with pytest.raises(AuditError, match="schema_frozen on title_crew: 1"):
+        load("refused", on_stage=reached.append)
+    assert reached == ["verify"] and not (tmp_path / "lake/builds/refused").exists()
+    allowed = load("allowed", may_change=["title_crew"])
+    versions = freeze.stored_schemas(spark, allowed).select("table_name", "schema_version").distinct()
+    assert dict(rows_of(versions)) == {**dict.fromkeys(freeze.registered_schemas(), 1), "title_crew": 2}
+    packed = builds.checkpoint_current(spark, root, "packed")
+    assert sorted(rows_of(freeze.stored_schemas(spark, packed))) == sorted(rows_of(freeze.stored_schemas(spark, allowed)))
+    # a build from before schemas were kept is compared by its tables
+    shutil.rmtree(packed.location(*freeze.STORED))
+    assert freeze.stored_schemas(spark, packed).where("schema_version = 1").count() == stored.count()

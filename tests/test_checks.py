@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from reelstrata.operators import checks
+from reelstrata.operators.profile import Domain, key_profile, repeated_grains
 from reelstrata.plans import audit, marts
 from reelstrata.plans.staging import stage_all
 from reelstrata.sources.registry import LOAD_ID, SOURCES
@@ -187,3 +188,40 @@ def test_raw_schema(spark):
     assert keys_of(audit.raw_schema_findings(spark, renamed)) == [
         ("contract", "title_crew", "writers")
     ]
+
+
+def test_key_profile_counts_each_column_of_a_domain(spark):
+    parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    child = spark.createDataFrame([("a", "n")] * 5 + [("b", None)] * 2 + [("x", "n")] * 3 + [(None, None)] * 4, "c string, note string")
+    other = spark.createDataFrame([("b", 1), ("z", 2), ("z", 2)], "o string, p long")
+    domains = [
+        Domain("text", (("parent", "k"), ("child", "c"), ("other", "o"), ("none", "e"))),
+        Domain("number", (("other", "p"),)),
+    ]
+    tables = {"parent": parent, "child": child, "other": other, "none": other.limit(0).withColumnRenamed("o", "e")}
+    found = key_profile(tables, domains, {"child": ["c", "note"], "other": ["p"]})
+    rows = {(r["domain"], r["relation"], r["column_name"]): tuple(r)[4:] for r in found.collect()}
+    assert rows.pop((None, "child", "note"))[1] == 6
+    assert rows == {
+        ("text", "parent", "k"): (4, 1, 2, 1, 5, 0),
+        ("text", "child", "c"): (14, 4, 3, 3, 15, 3),
+        ("text", "other", "o"): (3, 0, 2, 1, 3, 2),
+        ("text", "none", "e"): (0, 0, 0, 0, 0, 0),
+        ("number", "other", "p"): (3, 0, 2, 1, 5, 0),
+    }
+
+
+def test_key_profile_shuffles_keys_once(spark):
+    rows = spark.range(1000).select((F.col("id") % 7).cast("string").alias("k"))
+    domains = [Domain("d", (("a", "k"), ("b", "k"))), Domain("e", (("c", "k"),))]
+    found = key_profile({"a": rows, "b": rows, "c": rows}, domains)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # the keys, their counts per column, and the names of the columns
+    assert plan.count("Exchange hashpartitioning(domain") <= 2 and plan.count("hashpartitioning(domain#") >= 1
+
+
+def test_repeated_grains_of_several_relations(spark):
+    one = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 1), (None, 1)], "k string, n int")
+    two = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 1, "x")], "k string, n int, t string")
+    found = repeated_grains({"one": one, "two": two, "none": one.limit(0)}, {"one": ("k", "n"), "two": ("k", "n", "t"), "none": ("k",)})
+    assert sorted(rows_of(found)) == [("one", 2), ("two", 1)]

@@ -53,7 +53,7 @@ def test_list_pieces_are_kept(spark):
     ("text", "expected"),
     [
         ("\\N", None),
-        ('["Hero"]', ["Hero"]),
+        ('["Pit boss"]', ["Pit boss"]),
         ("[]", []),
         ('["a",1,null,true,[1,"2"]]', ["a", "1", None, "true", '[1,"2"]']),
         ('{"a":1}', None),

@@ -1,13 +1,15 @@
+import gzip
 import hashlib
 import json
+import random
 from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BASE_URL, manifest_frame, rows_of, write_gz, write_snapshot
+from conftest import BASE_URL, catalogue, manifest_frame, rows_of, write_gz, write_snapshot
 from reelstrata.session import scratch_path, size_shuffles
-from reelstrata.sources import manifest, tables
+from reelstrata.sources import freeze, manifest, tables
 from reelstrata.sources.inventory import file_digests, inventory, line_counts
 from reelstrata.sources.registry import FILE_COLUMNS, SOURCES, registry_frame
 
@@ -122,12 +124,10 @@ def test_snapshot_rules(spark, tmp_path):
 def test_inventory_and_reuse(spark, tmp_path):
     rows = write_snapshot(tmp_path)
     crew = SOURCES["title_crew"]
-    for limit in (0, 1 << 20):
-        digests = file_digests(spark, str(tmp_path), "*.tsv.gz", inline_bytes=limit)
-        assert {(r["file_name"], r["size_bytes"], r["sha256"]) for r in digests.collect()} == {
-            (f.name, f.stat().st_size, hashlib.sha256(f.read_bytes()).hexdigest())
-            for f in tmp_path.glob("*.tsv.gz")
-        }
+    digests = file_digests(spark, str(tmp_path), "*.tsv.gz").drop("path")
+    assert {tuple(r) for r in digests.collect()} == {
+        (f.name, f.stat().st_size, hashlib.sha256(f.read_bytes()).hexdigest()) for f in tmp_path.glob("*.tsv.gz")
+    }
     registry = registry_frame(spark, BASE_URL)
 
     def statuses(entries):
@@ -135,7 +135,7 @@ def test_inventory_and_reuse(spark, tmp_path):
         judged = manifest.reuse_status(registry, manifest_frame(spark, entries), found)
         return {r["table_name"]: (r["status"], r["row_count"]) for r in judged.collect()}
 
-    assert set(statuses(rows).values()) == {("reuse", 1), ("reuse", 2)}
+    assert statuses(rows) == {name: ("reuse", len(lines)) for name, lines in catalogue().items()}
     assert statuses(rows[:-1])["name_basics"] == ("no entry", None)
     changed = [(*r[:3], "elsewhere", *r[4:]) if r[2] == "title_crew" else r for r in rows]
     assert statuses(changed)["title_crew"] == ("metadata differs", None)
@@ -152,15 +152,55 @@ def test_inventory_and_reuse(spark, tmp_path):
     assert statuses(rows)["title_crew"] == ("file missing", None)
 
 
+def test_digests_are_those_of_the_stored_bytes(spark, tmp_path):
+    dice = random.Random(11)
+    mark = b"\xef\xbb\xbf"
+    contents = [
+        b"", b"\n", b"a", b"a\r\nb", b"\n\n\n", mark, mark + b"a\n", mark + mark + b"\n", mark[:2], dice.randbytes(3 << 20),
+        gzip.compress(b"packed " * 10_000), b"x" * (5 << 20), b"0123456789abcdef\n" * (4 << 20),
+    ]
+    for place, content in enumerate(contents):
+        (tmp_path / f"file {place} %20=\u00e9.gz").write_bytes(content)
+    (tmp_path / "other.txt").write_bytes(b"not listed")
+    # the last file is larger than what one task reads of a file in pieces
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        found = {r["file_name"]: (r["size_bytes"], r["sha256"]) for r in file_digests(spark, str(tmp_path), "*.gz").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {
+        f"file {place} %20=\u00e9.gz": (len(content), hashlib.sha256(content).hexdigest())
+        for place, content in enumerate(contents)
+        if content
+    }
+    with pytest.raises(ValueError, match="plain extension"):
+        file_digests(spark, str(tmp_path), "*")
+
+
+def test_a_large_file_is_hashed_like_a_small_one(spark, tmp_path):
+    path, digest = tmp_path / "large.bin", hashlib.sha256()
+    dice = random.Random(5)
+    block = dice.randbytes(1 << 20)
+    with path.open("wb") as out:
+        for place in range(96):
+            piece = place.to_bytes(4, "big") + block
+            out.write(piece)
+            digest.update(piece)
+    assert rows_of(file_digests(spark, str(tmp_path), "*.bin").select("size_bytes", "sha256")) == [
+        (path.stat().st_size, digest.hexdigest())
+    ]
+
+
 def test_line_counts(spark, tmp_path):
     head = SOURCES["title_crew"].header_line
     for name, text in {
         "a": f"{head}\nx\n\ny\n", "b": f"{head}\r\nx\r\ny", "c": head, "d": f"x\n{head}\n", "e": ""
     }.items():
         write_gz(tmp_path / f"{name}.gz", text)
+    write_gz(tmp_path / "f.gz", f"{head}\nx\n{head}\n")
     counted = line_counts(spark, str(tmp_path), header=head)
     assert sorted(rows_of(counted)) == [
-        ("a.gz", 3, True), ("b.gz", 2, True), ("c.gz", 0, True), ("d.gz", 1, False)
+        ("a.gz", 3, True, 1), ("b.gz", 2, True, 1), ("c.gz", 0, True, 1), ("d.gz", 1, False, 1), ("f.gz", 2, True, 2)
     ]
 
 
@@ -170,7 +210,7 @@ def test_plain_text_blocks_have_one_header(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         assert rows_of(line_counts(spark, str(tmp_path), header=head)) == [
-            ("plain.tsv", 5000, True)
+            ("plain.tsv", 5000, True, 1)
         ]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -203,13 +243,53 @@ def test_lookup_tables_carry_bloom_filters_and_sorted_groups(spark, tmp_path):
 
 
 def test_build_ids_and_publications(spark, tmp_path):
-    moment = datetime(2026, 8, 15, 12, 30, tzinfo=timezone.utc)
-    assert tables.new_build_id(moment, "abc123") == "20260815T123000Z-abc123"
+    moment = datetime(1999, 3, 4, 5, 6, tzinfo=timezone.utc)
+    assert tables.new_build_id(moment, "abc123") == "19990304T050600Z-abc123"
     root = str(tmp_path / "lake")
-    assert tables.current_build(spark, root) is None
-    for minute, name in enumerate(("one", "two", "one")):
-        tables.publish(spark, tables.Build(root, name), moment.replace(minute=minute))
+    assert tables.current_build(spark, root) is None and tables.current_version(spark, root) == 0
+    # the clock of the second publisher is behind
+    for version, (name, minute) in enumerate([("one", 9), ("two", 3), ("one", 1)]):
+        assert tables.publish(spark, tables.Build(root, name), version, moment.replace(minute=minute)) == version + 1
         assert tables.current_build(spark, root) == tables.Build(root, name)
+    assert [r["build_id"] for r in tables.published_builds(spark, root).collect()] == ["one", "two", "one"]
+
+
+def test_only_one_publication_follows_a_version(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    mine, other = tables.Build(root, "mine"), tables.Build(root, "other")
+    assert tables.publish(spark, mine, 0) == 1
+    with pytest.raises(tables.PublishConflict, match="no longer current"):
+        tables.publish(spark, other, 0)
+    # the number was free when it was looked up, and taken when it was written
+    with pytest.raises(tables.PublishConflict, match="by another build"):
+        tables._create(spark, f"{root}/published/{1:012d}.json", "{}")
+    # a publisher that stopped half way leaves a number without a build
+    (tmp_path / "lake/published/000000000002.json").write_text('{"build_id": "ha')
+    assert tables.current_version(spark, root) == 1
+    assert tables.publish(spark, other, 1) == 3
+    # an entry that names a version which is no longer in force never counts
+    late = {"build_id": "late", "published_at": "x", "version": 4, "based_on": 1}
+    (tmp_path / "lake/published/000000000004.json").write_text(json.dumps(late))
+    assert tables.current_build(spark, root) == other
+    assert tables.publish(spark, mine, 3) == 5
+
+
+def test_schema_changes(spark):
+    stored = spark.createDataFrame(
+        [("t", 1, "a", "string", 3), ("t", 2, "b", "string", 3), ("t", 3, "c", "int", 3), ("u", 1, "a", "string", 1)],
+        freeze.VERSIONED_ROW,
+    )
+    incoming = spark.createDataFrame(
+        [("t", 2, "a", "string"), ("t", 1, "c", "long"), ("t", 3, "d", "int"), ("u", 1, "a", "string"), ("new", 1, "z", "int")],
+        freeze.SCHEMA_ROW,
+    )
+    assert sorted(rows_of(freeze.schema_changes(stored, incoming))) == [
+        ("schema_frozen", "t", "a", "moved 1 to 2"), ("schema_frozen", "t", "b", "removed"),
+        ("schema_frozen", "t", "c", "type int to long"), ("schema_frozen", "t", "d", "added"),
+    ]
+    assert freeze.frozen_changes(stored, incoming, ["t"]).isEmpty()
+    versions = freeze.next_schemas(stored, incoming).select("table_name", "schema_version").distinct()
+    assert dict(rows_of(versions)) == {"t": 4, "u": 1, "new": 1}
 
 
 def test_sizes_follow_the_input(spark):

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, reduce
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstrata.functions import values
-from reelstrata.operators import bridges, checks, lists
+from reelstrata.operators import bridges, checks, lists, profile
 from reelstrata.plans import audit, marts, queries
 from reelstrata.plans.staging import COLUMNS
 from reelstrata.session import configure, scratch_path, size_shuffles
-from reelstrata.sources import inventory, manifest, tables, tsv
+from reelstrata.sources import freeze, inventory, manifest, tables, tsv
 from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES, Source
 from workload.shape import (
     BASE_URL,
@@ -79,7 +79,7 @@ def columns_sql(columns: str, arrays: str = "") -> str:
 def _landed(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         text = write_text(text_table(spark, folder, name), scratch_path(spark, f"text-{name}"))
-        return tsv.land(spark, text, SOURCES[name], LOAD, scratch_path(spark, f"raw-{name}"))
+        return tsv.land(spark, text, SOURCES[name], LOAD, scratch_path(spark, f"raw-{name}")).rows
 
     return run
 
@@ -768,6 +768,33 @@ _LINK_TABLES = (
 )
 
 
+_PARENTS = {"titles": ("dim_titles", "tconst"), "people": ("dim_people", "nconst")}
+
+
+def _profile_sql() -> str:
+    parts = []
+    for parent, (domain, key) in _PARENTS.items():
+        for relation, column, source, name, _ in (
+            (domain, key, parent, key, parent), *[link for link in _LINKS if link[4] == parent]
+        ):
+            parts.append(
+                f"""SELECT '{domain}' AS domain, '{key}' AS parent_key, '{relation}' AS relation, '{column}' AS column_name,
+       coalesce(sum(n), 0)::BIGINT AS row_count, coalesce(sum(n) FILTER (k IS NULL), 0)::BIGINT AS null_rows,
+       count(k) AS distinct_keys, count(*) FILTER (k IS NOT NULL AND n > 1) AS repeated_keys,
+       coalesce(sum(n * greatest(coalesce(p, 0), 1)) FILTER (k IS NOT NULL), 0)::BIGINT AS child_rows,
+       coalesce(sum(n) FILTER (k IS NOT NULL AND p IS NULL), 0)::BIGINT AS orphan_rows
+FROM (SELECT {name} AS k, count(*) AS n FROM {source} GROUP BY 1)
+LEFT JOIN (SELECT {key} AS pk, count(*) AS p FROM {parent} GROUP BY 1) ON pk = k"""
+            )
+    return "\nUNION ALL\n".join(parts)
+
+
+@case("key_profile", query(_LINK_TABLES, _profile_sql()))
+def key_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, NULLs, repeats and orphans of every key column of the models, each key shuffled once."""
+    return profile.key_profile(models(spark, folder), audit.DOMAINS)
+
+
 @case("relationship_metrics", query(_LINK_TABLES, _METRICS_SQL))
 def relationship_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(audit.relationship_metrics(models(spark, folder)), "orphan_ratio")
@@ -784,7 +811,7 @@ FROM ({_METRICS_SQL}) WHERE orphan_rows > child_rows * 0.0001""",
     ),
 )
 def relationship_findings(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.union_all(audit.relationship_findings(models(spark, folder)))
+    return audit.relationship_findings(models(spark, folder))
 
 
 @case(
@@ -1217,24 +1244,63 @@ def reuse_status(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.reuse_status(registered(spark, folder), known, found)
 
 
+_COLUMNS_SQL = """SELECT 'ttc' || o_custkey AS table_name, month(min(o_orderdate))::INTEGER AS position, o_orderpriority AS column_name,
+       CASE WHEN max(o_totalprice) > 300000 THEN 'bigint' ELSE 'int' END AS data_type
+FROM orders WHERE year(o_orderdate) {when} 1998 GROUP BY o_custkey, o_orderpriority"""
+
+
+@case(
+    "schema_changes",
+    f"""WITH old AS ({_COLUMNS_SQL.format(when="<")}), new AS ({_COLUMNS_SQL.format(when=">=")})
+SELECT 'schema_frozen' AS "check", table_name AS relation, column_name AS key,
+       CASE WHEN o.position IS NULL THEN 'added' WHEN n.position IS NULL THEN 'removed'
+            WHEN o.data_type <> n.data_type THEN 'type ' || o.data_type || ' to ' || n.data_type
+            ELSE 'moved ' || o.position || ' to ' || n.position END AS detail
+FROM old o FULL JOIN new n USING (table_name, column_name)
+WHERE table_name IN (SELECT table_name FROM old)
+  AND (o.position IS DISTINCT FROM n.position OR o.data_type IS DISTINCT FROM n.data_type)""",
+)
+def schema_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A customer is a table, its order priorities are columns: those of early orders against those of late ones."""
+    orders = table(spark, folder, "orders")
+
+    def columns(when: Column) -> DataFrame:
+        by = [F.concat(F.lit("ttc"), F.col("o_custkey").cast("string")).alias("table_name"), F.col("o_orderpriority").alias("column_name")]
+        return orders.where(when).groupBy(*by).agg(
+            F.month(F.min("o_orderdate")).alias("position"),
+            F.when(F.max("o_totalprice") > 300000, "bigint").otherwise("int").alias("data_type"),
+        )
+
+    year = F.year("o_orderdate")
+    return freeze.schema_changes(columns(year < 1998), columns(year >= 1998))
+
+
+# lines of finished orders are long, so that their file is larger than what is comfortable as one value
+_LINE = "o_orderkey || ' ' || o_orderpriority"
+
+
 @case(
     "file_inventory",
-    """SELECT 'region=' || n_regionkey AS part, sum(strlen(n_name) + 1)::BIGINT AS size_bytes,
-       sha256(string_agg(n_name || chr(10), '' ORDER BY n_name)) AS sha256 FROM nation GROUP BY n_regionkey""",
+    f"""WITH lines AS (SELECT o_orderstatus, o_orderkey,
+       CASE o_orderstatus WHEN 'F' THEN repeat({_LINE} || ' ', 600) ELSE {_LINE} END || chr(10) AS line FROM orders)
+SELECT 'status=' || o_orderstatus AS part, sum(strlen(line))::BIGINT AS size_bytes,
+       sha256(string_agg(line, '' ORDER BY o_orderkey)) AS sha256 FROM lines GROUP BY o_orderstatus""",
 )
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Size and digest of files that hold the nations of a region each, a name per line."""
-    names = table(spark, folder, "nation").select("n_name", F.concat(F.lit("r"), F.col("n_regionkey")).alias("region"))
-    path = scratch_path(spark, "names")
-    lines = names.repartition("region").sortWithinPartitions("region", "n_name")
-    lines.write.partitionBy("region").text(path, lineSep="\n")
-    found = [
-        inventory.file_digests(spark, f"{path}/region={row.region}", "*.txt").select(
-            F.lit(f"region={row.region[1:]}").alias("part"), "size_bytes", "sha256"
-        )
-        for row in names.select("region").distinct().collect()
-    ]
-    return reduce(DataFrame.unionByName, found)
+    """Size and digest of a file for each order status, a line for each of its orders."""
+    text = F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderpriority")
+    long = F.repeat(F.concat(text, F.lit(" ")), F.lit(600))
+    lines = table(spark, folder, "orders").select(
+        F.col("o_orderstatus").alias("status"),
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "F", long).otherwise(text).alias("line"),
+    )
+    path = scratch_path(spark, "lines")
+    sorted_lines = lines.repartition("status").sortWithinPartitions("status", "o_orderkey")
+    sorted_lines.select("line", "status").write.partitionBy("status").text(path, lineSep="\n")
+    return inventory.file_digests(spark, path, "*.txt").select(
+        F.element_at(F.split("path", "/"), -2).alias("part"), "size_bytes", "sha256"
+    )
 
 
 @case(
