@@ -17,11 +17,11 @@ from reelstrata.plans.intermediate import ROLLUPS, intermediate_all
 from reelstrata.plans.marts import CONTRACTS, marts_all
 from reelstrata.plans.staging import stage_all
 from reelstrata.session import configure, size_shuffles
-from reelstrata.sources import freeze
+from reelstrata.sources import buckets, catalog, freeze, tables
 from reelstrata.sources import manifest as manifests
 from reelstrata.sources.inventory import inventory
 from reelstrata.sources.registry import SOURCES, registry_frame
-from reelstrata.sources.tables import Build, compact, current_build, current_version, publish, write_table
+from reelstrata.sources.tables import Build, current_build, current_version, publish, write_table
 from reelstrata.sources.tsv import Landing, land
 
 # Text is several times its gzip size once decompressed.
@@ -130,31 +130,50 @@ def model(raw: dict[str, DataFrame]) -> Relations:
 
 def open_build(spark: SparkSession, build: Build) -> Relations:
     """All relations of a finished build: stored tables scanned, the others as lazy frames."""
-    raw = {name: build.scan(spark, "raw", name) for name in audit.REQUIRED["raw"]}
+    scan = catalog.Scanner(spark, build)
+    raw = {name: scan("raw", name) for name in audit.REQUIRED["raw"]}
     staged = stage_all(raw)
     models = intermediate_all(staged)
     for name in ROLLUPS:
-        models[name] = build.scan(spark, "intermediate", name)
-    marts = {name: build.scan(spark, "marts", name) for name in CONTRACTS}
+        models[name] = scan("intermediate", name)
+    marts = {name: scan("marts", name) for name in CONTRACTS}
     return {"raw": raw, "staging": staged, "intermediate": models, "marts": marts}
 
 
+# Models with one row per title, which four joins of the search mart and two of each other mart read.
+BY_TITLE = ("dim_titles", "fct_title_ratings", *ROLLUPS)
+
+
+def bucketed_models(models: dict[str, DataFrame], build: Build, count: int) -> dict[str, DataFrame]:
+    """The models of one row per title, stored in buckets of the title key: marts join them without an exchange."""
+
+    def bucketed(name: str) -> DataFrame:
+        return buckets.write_bucketed(models[name], build.location("buckets", name), "tconst", count)
+
+    return {**models, **_each(BY_TITLE, bucketed)}
+
+
 def mart_row_counts(marts: dict[str, DataFrame]) -> dict[str, int]:
     return {r["relation_name"]: r["row_count"] for r in row_counts(marts).collect()}
 
 
-def stored_tables() -> dict[str, str]:
-    """Every table that a build stores, with its schema; the other relations are derived from them."""
-    layers = {"raw": audit.REQUIRED["raw"], "intermediate": ROLLUPS, "marts": CONTRACTS, freeze.STORED[0]: freeze.STORED[1:]}
+def relation_tables() -> dict[str, str]:
+    """Every relation that a build stores, with its schema; the other relations are derived from them."""
+    layers = {"raw": audit.REQUIRED["raw"], "intermediate": ROLLUPS, "marts": CONTRACTS}
     return {name: schema for schema, names in layers.items() for name in names}
 
 
+def stored_tables() -> dict[str, str]:
+    """Every table that a build stores: its relations, and the schemas of its raw tables."""
+    return {**relation_tables(), freeze.STORED[1]: freeze.STORED[0]}
+
+
 def missing_tables(spark: SparkSession, build: Build) -> list[str]:
     """Stored tables that cannot be read back."""
-    lost = []
+    lost, scan = [], catalog.Scanner(spark, build)
     for name, schema in stored_tables().items():
         try:
-            build.scan(spark, schema, name)
+            scan(schema, name)
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -181,9 +200,8 @@ def validate(
     lost = missing_tables(spark, build)
     if lost:
         raise audit.AuditError(f"missing: {lost}")
-    raw = {name: build.scan(spark, "raw", name) for name in SOURCES}
-    audit.gate("raw", audit.totals(audit.raw_schema_findings(spark, raw)))
     relations = open_build(spark, build)
+    audit.gate("raw", audit.totals(audit.raw_schema_findings(spark, relations["raw"])))
     lost = absent_relations(relations)
     if lost:
         raise audit.AuditError(f"missing: {lost}")
@@ -215,12 +233,13 @@ def build_snapshot(
     load_id: str,
     marts_not_empty: bool = False,
     may_change: Collection[str] = (),
+    title_buckets: int = 0,
     on_stage: Step = _nothing,
 ) -> BuildResult:
     """Run the whole flow for one snapshot. A failure anywhere leaves the current build as it is.
 
     Columns of raw tables must be those of the published build, but for tables that `may_change`; that is known before
-    a row is landed. If another build is published meanwhile, this one is not. With `marts_not_empty`, as for a full snapshot, a mart without rows fails the build.
+    a row is landed. With `title_buckets` the marts are computed from models stored in so many buckets. If another build is published meanwhile, this one is not. With `marts_not_empty`, as for a full snapshot, a mart without rows fails the build.
     Each layer is audited before the next one is computed from it, and every stored layer is read
     back from the shared build folder, so a lost executor recomputes one layer at most.
     """
@@ -249,7 +268,7 @@ def build_snapshot(
     audit.audit("intermediate", relations)
 
     on_stage("marts")
-    marts = marts_all(models)
+    marts = marts_all(bucketed_models(models, build, title_buckets) if title_buckets else models)
 
     def stored(name: str) -> DataFrame:
         lookup, sort = LOOKUPS[name]
@@ -263,22 +282,37 @@ def build_snapshot(
     relations, rows = validate(spark, build, marts_not_empty=marts_not_empty)
 
     on_stage("publish")
+    write_catalog(spark, build, relations)
     publish(spark, build, based_on)
     audit.register(relations)
     return BuildResult(build, load_id, sum(map(len, audit.REQUIRED.values())), rows)
 
 
-def compact_build(spark: SparkSession, source: Build, target: Build) -> Build:
-    """Rewrite every stored table of a build into fewer files under a new build id."""
-    stored = stored_tables()
+def write_catalog(spark: SparkSession, build: Build, relations: Relations) -> None:
+    """Store what the build consists of, with the range of the lookup key in each file of a mart."""
+    keys = {name: lookup for name, (lookup, _) in LOOKUPS.items()}
+    catalog.write_catalog(spark, build, relations, relation_tables(), keys)
+
+
+def compact_build(
+    spark: SparkSession, source: Build, target: Build, file_bytes: int = tables.FILE_BYTES
+) -> Relations:
+    """The relations of a build in fewer files under a new build id; files that are full already stay where they are."""
+    scan, stored = catalog.Scanner(spark, source), stored_tables()
 
     def packed(name: str) -> DataFrame:
         lookup, sort = LOOKUPS.get(name, (None, ()))
-        old, new = (build.location(stored[name], name) for build in (source, target))
-        return compact(spark, old, new, lookup=lookup, sort=sort)
+        if (stored[name], name) in scan.columns:
+            return scan(stored[name], name)
+        new = target.location(stored[name], name)
+        return tables.compact(spark, scan.source(stored[name], name), new, lookup=lookup, sort=sort, file_bytes=file_bytes)
 
-    _each(stored, packed)
-    return target
+    relations = open_build(spark, source)
+    for name, frame in _each(relation_tables(), packed).items():
+        relations[stored[name]][name] = frame
+    freeze.store_schemas(freeze.stored_schemas(spark, source), target)
+    write_catalog(spark, target, relations)
+    return open_build(spark, target)
 
 
 def checkpoint_current(spark: SparkSession, root: str, build_id: str) -> Build:
@@ -286,7 +320,8 @@ def checkpoint_current(spark: SparkSession, root: str, build_id: str) -> Build:
     based_on, current = current_version(spark, root), current_build(spark, root)
     if current is None:
         raise SnapshotError(f"nothing is published under {root}")
-    packed = compact_build(spark, current, Build(root, build_id))
+    packed = Build(root, build_id)
+    compact_build(spark, current, packed)
     relations, _ = validate(spark, packed)
     publish(spark, packed, based_on)
     audit.register(relations)

@@ -18,6 +18,12 @@ COMPRESSION = "zstd"
 _PUBLISHED = "build_id string, published_at string, version long, based_on long"
 VERSION_DIGITS = 12
 
+#: Wanted size of a file after compaction.
+FILE_BYTES = 512 * 1024**2
+
+#: Share of the wanted size from which a file counts as full.
+FULL = 0.75
+
 
 @dataclass(frozen=True)
 class Build:
@@ -160,24 +166,46 @@ def fingerprint(rows: DataFrame) -> tuple:
     return tuple(rows.agg(F.count("*"), F.sum(mixed)).first())
 
 
+def full_files(spark: SparkSession, path: str | list[str], file_bytes: int) -> tuple[list[str], list[str]]:
+    """The files of a table that are about as large as wanted, and those that are smaller; the listing alone is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    rows = files.select("path", (F.col("length") >= file_bytes * FULL).alias("full")).collect()
+    return sorted(r["path"] for r in rows if r["full"]), sorted(r["path"] for r in rows if not r["full"])
+
+
+def _packing(spark: SparkSession, file_bytes: int) -> SparkSession:
+    """A session whose scans pack whole files into tasks of at most this size; the settings of the given one stay."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    return own
+
+
 def compact(
     spark: SparkSession,
-    source: str,
+    source: str | list[str],
     target: str,
     *,
     lookup: str | None = None,
     sort: tuple[str, ...] = (),
-    file_bytes: int = 512 * 1024**2,
+    file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
-    """Rewrite many small files as few large ones at a new path, without a shuffle.
+    """The table at `source`, a folder or its files, in fewer files, without a shuffle.
 
+    Small files are packed into tasks of up to `file_bytes` and written as one file each, at the new path. Files that are
+    about as large are neither read nor copied; the result refers to them where they are.
     With `lookup` and `sort` the rows are sorted again inside the new files and bloom filters are written.
     """
-    if source.rstrip("/") == target.rstrip("/"):
+    if isinstance(source, str) and source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compaction must write to a new path")
-    rows = spark.read.parquet(source)
-    files = max(1, math.ceil(stored_bytes(spark, source) / file_bytes))
-    packed = write_table(rows.coalesce(files), target, lookup=lookup, sort=sort, mode="errorifexists")
+    kept, small = full_files(spark, source, file_bytes)
+    if len(small) < 2:
+        return spark.read.parquet(*kept, *small) if kept or small else spark.read.parquet(source)
+    schema = spark.read.parquet(small[0]).schema
+    rows = _packing(spark, file_bytes).read.schema(schema).parquet(*small)
+    write_table(rows, target, lookup=lookup, sort=sort, mode="errorifexists")
+    packed = spark.read.schema(schema).parquet(target)
     if fingerprint(rows) != fingerprint(packed):
         raise RuntimeError(f"compaction changed the rows of {source}")
-    return packed
+    return spark.read.schema(schema).parquet(target, *kept) if kept else packed

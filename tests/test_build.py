@@ -9,9 +9,9 @@ from conftest import BASE_URL, catalogue, manifest_frame, rows_of, write_snapsho
 from reelstrata.plans import audit, queries
 from reelstrata.plans import build as builds
 from reelstrata.plans.audit import AuditError
-from reelstrata.plans.marts import CONTRACTS
+from reelstrata.plans.marts import CONTRACTS, mart
 from reelstrata.plans.intermediate import title_genre_lists
-from reelstrata.sources import freeze, tables
+from reelstrata.sources import buckets, catalog, freeze, tables
 from reelstrata.sources.registry import SOURCES
 from reelstrata.sources.tables import Build, PublishConflict, current_build, current_version, publish, published_builds
 
@@ -226,6 +226,8 @@ def test_stored_relations_are_gated(spark, tmp_path):
     def copy(name):
         target = Build(root, name)
         shutil.copytree(f"{root}/builds/g1", f"{root}/builds/{name}")
+        for listing in (catalog.FILES, catalog.COLUMNS):  # they name the files of g1
+            shutil.rmtree(target.location(*listing))
         return target
 
     def rewrite(build, schema, name, change):
@@ -255,18 +257,62 @@ def test_stored_relations_are_gated(spark, tmp_path):
     assert [t.name for t in spark.catalog.listTables(pattern="marts__*")] == ["marts__mart_genre_year_summary"]
 
 
-def test_compaction_keeps_order_and_filters(spark, lake):
+def test_compaction_keeps_order_and_filters(spark, lake, tmp_path):
     _, _, result = lake
-    packed = builds.compact_build(spark, result.build, Build(result.build.root, "ordered"))
-    for name, (lookup, _) in builds.LOOKUPS.items():
-        for file in Path(packed.location("marts", name)).glob("*.parquet"):
-            stored = pq.read_table(file).column(lookup).to_pylist()
-            assert stored == sorted(stored)
+    root, name = str(tmp_path / "lake"), "mart_title_search"
+    scattered = Build(root, "scattered")
+    shutil.copytree(f"{result.build.root}/builds/{result.build.build_id}", f"{root}/builds/scattered")
+    lookup, sort = builds.LOOKUPS[name]
+    rows = result.build.scan(spark, "marts", name)
+    tables.write_table(rows.repartition(5), scattered.location("marts", name), lookup=lookup, sort=sort)
+    for listing in (catalog.FILES, catalog.COLUMNS):
+        shutil.rmtree(scattered.location(*listing))
+    builds.write_catalog(spark, scattered, builds.open_build(spark, scattered))
+    packed = builds.compact_build(spark, scattered, Build(root, "packed"))
+    (file,) = Path(f"{root}/builds/packed/marts/{name}").glob("*.parquet")
+    stored = pq.read_table(file).column(lookup).to_pylist()
+    assert stored == sorted(stored) and len(stored) == 9
+    assert sorted(rows_of(packed["marts"][name]), key=str) == sorted(rows_of(rows), key=str)
     # with its filters written, the same table takes more bytes
-    path = packed.location("marts", "mart_title_search")
-    plain = f"{result.build.root}/plain"
-    tables.write_table(spark.read.parquet(path).coalesce(1), plain)
-    assert tables.stored_bytes(spark, path) > tables.stored_bytes(spark, plain) + 1000
+    plain = f"{root}/plain"
+    tables.write_table(spark.read.parquet(str(file)), plain)
+    assert tables.stored_bytes(spark, str(file)) > tables.stored_bytes(spark, plain) + 1000
+    # tables of one file stay where they are
+    assert not (tmp_path / "lake/builds/packed/marts/mart_series_episodes").exists()
+    assert all("/builds/scattered/" in path for path in packed["marts"]["mart_series_episodes"].inputFiles())
+    assert builds.validate(spark, Build(root, "packed"))[1] == result.mart_row_counts
+
+
+def test_full_files_are_neither_read_nor_copied(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    rows = spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("text"))
+    rows.coalesce(1).write.parquet(source)
+    size = tables.stored_bytes(spark, source)
+    spark.range(20_000, 20_100).select("id", F.lit("small").alias("text")).repartition(12).write.mode("append").parquet(source)
+    packed = tables.compact(spark, source, target, file_bytes=size)
+    assert sorted(rows_of(packed)) == sorted(rows_of(spark.read.parquet(source)))
+    assert len(packed.inputFiles()) == 2 and len(list((tmp_path / "target").glob("*.parquet"))) == 1
+    assert tables.stored_bytes(spark, target) < size / 10
+    # nothing to merge, nothing written
+    again = tables.compact(spark, packed.inputFiles(), str(tmp_path / "again"), file_bytes=size)
+    assert again.count() == 20_100 and not (tmp_path / "again").exists()
+
+
+def test_the_catalog_answers_without_a_scan(spark, lake):
+    _, _, result = lake
+    fresh = spark.newSession()
+    build = current_build(fresh, result.build.root) or result.build
+    relations = catalog.relations_of(fresh, build)
+    assert audit.required_relations(fresh).join(relations, ["schema", "name"], "left_anti").isEmpty()
+    assert relations.count() == 31
+    columns = catalog.columns_of(fresh, build).where("schema = 'marts' AND relation = 'mart_title_search'").orderBy("position")
+    assert [r["column_name"] for r in columns.collect()] == result.build.scan(spark, "marts", "mart_title_search").columns
+    assert dict(rows_of(catalog.counted_rows(fresh, build, "marts"))) == result.mart_row_counts
+    assert dict(rows_of(catalog.counted_rows(fresh, build, "raw")))["title_basics"] == 9
+    rows = catalog.scan_key(fresh, build, "marts", "mart_person_filmography", "nconst", "nmq2")
+    assert rows.count() == 5 and rows.inputFiles()
+    none = catalog.scan_key(fresh, build, "marts", "mart_person_filmography", "nconst", "zz")
+    assert none.count() == 0
 
 
 def test_unsound_manifest_document_is_refused(spark, tmp_path):
@@ -324,3 +370,21 @@ def test_changed_columns_stop_a_load_before_a_row_lands(spark, lake, tmp_path):
     # a build from before schemas were kept is compared by its tables
     shutil.rmtree(packed.location(*freeze.STORED))
     assert freeze.stored_schemas(spark, packed).where("schema_version = 1").count() == stored.count()
+
+
+def test_bucketed_models_meet_without_an_exchange(spark, lake, tmp_path):
+    _, _, result = lake
+    models = builds.open_build(spark, result.build)["intermediate"]
+    build = Build(str(tmp_path / "lake"), "b")
+    stored = builds.bucketed_models(models, build, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for tables_ in (stored, {n: buckets.scan_bucketed(spark.newSession(), build.location("buckets", n), "tconst", 4) for n in builds.BY_TITLE}):
+            rows = mart("mart_title_search", tables_)
+            rows.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            wanted = result.build.scan(spark, "marts", "mart_title_search")
+            assert sorted(rows_of(rows), key=str) == sorted(rows_of(wanted), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -56,6 +56,10 @@ def test_list_pieces_are_kept(spark):
         ('["Pit boss"]', ["Pit boss"]),
         ("[]", []),
         ('["a",1,null,true,[1,"2"]]', ["a", "1", None, "true", '[1,"2"]']),
+        ('[1.0, -0.0, 1.10]', ["1.0", "-0.0", "1.1"]),
+        ('["a, 5", "[3]"]', ["a, 5", "[3]"]),
+        ('[{"z": 1, "a" : [2.0]}]', ['{"z":1,"a":[2.0]}']),
+        ("7.0", None),
         ('{"a":1}', None),
         ('"s"', None),
     ],
@@ -69,19 +73,45 @@ def test_json_arrays(spark, text, expected):
     ("name", "row"),
     [
         ("title_principals", ("t", "1", "n", "c", "j", "[bad")),
+        ("title_principals", ("t", "1", "n", "c", "j", "[1.0")),
+        ("title_principals", ("t", "1", "n", "c", "j", "['a', 1]")),
+        ("title_principals", ("t", "1", "n", "c", "j", "[01]")),
+        ("title_principals", ("t", "1", "n", "c", "j", "[NaN, 1]")),
+        ("title_basics", ("t", "a", "b", "c", "0", "32767.5", "1", "1", "g")),
+        ("title_basics", ("t", "a", "b", "c", "0", "1e", "1", "1", "g")),
         ("title_principals", ("t", "x", "n", "c", "j", "[]")),
         ("title_episode", ("t", "p", "", "1")),
         ("title_basics", ("t", "a", "b", "c", "2", "1", "1", "1", "g")),
         ("title_basics", ("t", "a", "b", "c", "0", "70000", "1", "1", "g")),
         ("title_ratings", ("t", "high", "1")),
     ],
-    ids=["json", "int", "empty int", "flag", "smallint range", "double"],
+    ids=[
+        "json", "json number", "json quotes", "json zero", "json nan", "rounded range", "exponent",
+        "int", "empty int", "flag", "smallint range", "double",
+    ],
 )
 def test_bad_text_fails(spark, name, row):
     with pytest.raises((PySparkException, Py4JJavaError)):
         staged(spark, name, row).collect()
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("1.5", 2), ("2.5", 3), ("-1.5", -2), ("0.5", 1), ("-0.5", -1), ("1e2", 100), ("12e-1", 1), ("1.4999", 1), (" 7 ", 7),
+        ("+7", 7), ("1.", 1), (".5", 1), ("2.45E1", 25), ("32767.4", 32767), ("00012", 12), ("\\N", None),
+    ],
+)
+def test_integers_are_rounded(spark, text, expected):
+    rows = staged(spark, "title_basics", ("t", "a", "b", "c", "0", text, "\\N", text, "g"))
+    assert rows_of(rows.select("start_year", "runtime_minutes")) == [(expected, expected)]
+
+
+def test_wide_integers_stay_exact(spark):
+    rows = staged(spark, "title_ratings", ("t", "1", str(2**63 - 1)), ("u", "1", f"{2**63 - 1}.4"))
+    assert [r["num_votes"] for r in rows.collect()] == [2**63 - 1] * 2
+
+
 def test_ordered_list_keeps_repeats_and_puts_null_last(spark):
     rows = spark.createDataFrame(
         [("a", "y"), ("a", "x"), ("a", "y"), ("a", None), ("b", "Z"), ("b", "a"), (None, "q")],

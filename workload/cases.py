@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstrata.functions import values
-from reelstrata.operators import bridges, checks, lists, profile
+from reelstrata.operators import bridges, checks, lists, profile, trigrams
 from reelstrata.plans import audit, marts, queries
+from reelstrata.plans.build import BY_TITLE, LOOKUPS, bucketed_models
 from reelstrata.plans.staging import COLUMNS
 from reelstrata.session import configure, scratch_path, size_shuffles
-from reelstrata.sources import freeze, inventory, manifest, tables, tsv
+from reelstrata.sources import catalog, freeze, inventory, manifest, tables, tsv
 from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID, SOURCES, Source
 from workload.shape import (
     BASE_URL,
@@ -216,19 +217,28 @@ def _mart(name: str) -> Query:
     return lambda spark, folder: mart_tables(spark, folder)[name]
 
 
-case(
-    "mart_title_search",
-    query(
-        "search",
-        "SELECT "
-        + columns_sql(
-            "tconst title_type primary_title original_title is_adult start_year end_year "
-            "runtime_minutes average_rating num_votes",
-            "genres directors principal_cast",
-        )
-        + f", '{LOAD}' AS _load_id FROM search",
-    ),
-)(_mart("mart_title_search"))
+_SEARCH_SQL = query(
+    "search",
+    "SELECT "
+    + columns_sql(
+        "tconst title_type primary_title original_title is_adult start_year end_year "
+        "runtime_minutes average_rating num_votes",
+        "genres directors principal_cast",
+    )
+    + f", '{LOAD}' AS _load_id FROM search",
+)
+
+case("mart_title_search", _SEARCH_SQL)(_mart("mart_title_search"))
+
+
+@case("mart_title_search_bucketed", _SEARCH_SQL)
+def mart_title_search_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The search mart from models stored in buckets of the title key."""
+    build = tables.Build(scratch_path(spark, "lake"), "bucketed")
+    known, count = models(spark, folder), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chosen = {name: known[name] for name in BY_TITLE}
+    return marts.mart("mart_title_search", bucketed_models(chosen, build, count))
+
 
 case(
     "mart_person_filmography",
@@ -270,6 +280,27 @@ def title_search_top25(spark: SparkSession, folder: str) -> DataFrame:
     return queries.search_titles(mart_tables(spark, folder)["mart_title_search"], "%urgent%")
 
 
+@case(
+    "title_search_indexed",
+    query(
+        "search",
+        """SELECT tconst, primary_title, start_year, average_rating, num_votes,
+       array_to_string(genres, '|') AS genres
+FROM search WHERE primary_title ILIKE '%ent #1_5%' OR primary_title ILIKE '%LOW #%'
+ORDER BY num_votes DESC NULLS LAST, tconst""",
+    ),
+)
+def title_search_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two patterns through the trigram index of the stored mart: one of few candidates, one of many."""
+    lookup, sort = LOOKUPS["mart_title_search"]
+    built = mart_tables(spark, folder)["mart_title_search"]
+    stored = tables.write_table(built, scratch_path(spark, "search"), lookup=lookup, sort=sort)
+    index = trigrams.write_index(stored, "tconst", "primary_title", scratch_path(spark, "trigrams"))
+    every = 1 << 30
+    few = queries.search_titles_by_index(stored, index, "%ent #1_5%", every)
+    return few.unionByName(queries.search_titles_by_index(stored, index, "%LOW #%", every))
+
+
 @case(
     "genre_over_time",
     query(
@@ -407,17 +438,52 @@ def mart_probe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@case("published_mart_counts", _MART_COUNTS)
-def published_mart_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Marts written under a new build, published, and counted through the current build."""
+def published_marts(spark: SparkSession, folder: str) -> tables.Build:
+    """The marts written under a new build with its catalog, and published; the current build as a reader finds it."""
     build = tables.Build(scratch_path(spark, "lake"), tables.new_build_id())
-    built = mart_tables(spark, folder)
+    built, stored = mart_tables(spark, folder), {}
     for name in marts.MARTS:
-        tables.write_table(built[name], build.location("marts", name))
-    tables.publish(spark, build)
-    current = tables.current_build(spark, build.root)
-    stored = {name: current.scan(spark, "marts", name) for name in marts.MARTS}
-    return checks.row_counts(stored)
+        lookup, sort = LOOKUPS[name]
+        stored[name] = tables.write_table(built[name], build.location("marts", name), lookup=lookup, sort=sort)
+    keys = {name: lookup for name, (lookup, _) in LOOKUPS.items()}
+    catalog.write_catalog(spark, build, {"marts": stored}, dict.fromkeys(marts.MARTS, "marts"), keys)
+    tables.publish(spark, build, 0)
+    return tables.current_build(spark.newSession(), build.root)
+
+
+@case("published_mart_counts", _MART_COUNTS)
+def published_mart_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the published marts, from the catalog alone."""
+    return catalog.counted_rows(spark.newSession(), published_marts(spark, folder), "marts")
+
+
+@case(
+    "published_mart_listing",
+    query(
+        "search summary filmography series",
+        "\nUNION ALL\n".join(
+            f"""SELECT '{name}' AS relation, {len(marts.contract(name))}::BIGINT AS column_count, count(*) AS row_count,
+       min({key}) AS least_key, max({key}) AS greatest_key FROM {source}"""
+            for name, source, key in (
+                ("mart_title_search", "search", "tconst"),
+                ("mart_genre_year_summary", "summary", "genre"),
+                ("mart_person_filmography", "filmography", "nconst"),
+                ("mart_series_episodes", "series", "series_tconst"),
+            )
+        ),
+    ),
+)
+def published_mart_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns, rows and key range of the published marts, as a fresh session reads them from the catalog."""
+    build, fresh = published_marts(spark, folder), spark.newSession()
+    columns = catalog.columns_of(fresh, build).groupBy("relation").agg(F.count("*").alias("column_count"))
+    files = catalog.files_of(fresh, build).groupBy("relation")
+    return columns.join(
+        files.agg(
+            F.sum("row_count").alias("row_count"), F.min("least_key").alias("least_key"), F.max("greatest_key").alias("greatest_key")
+        ),
+        "relation",
+    )
 
 
 # --- Column functions and list operators on the given tables ------------------------------------
@@ -1332,3 +1398,66 @@ def compaction(spark: SparkSession, folder: str) -> DataFrame:
     small = scratch_path(spark, "small")
     orders.repartition(64).write.parquet(small)
     return tables.compact(spark, small, scratch_path(spark, "packed"))
+
+
+@case(
+    "compaction_kept_files",
+    """SELECT CASE o_orderstatus WHEN 'F' THEN 'kept' ELSE 'merged' END AS files, count(*) AS row_count,
+       sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1""",
+)
+def compaction_kept_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Finished orders in one full file, the others in many small ones: where their rows are after compaction."""
+    orders = table(spark, folder, "orders")
+    full, target = scratch_path(spark, "full"), scratch_path(spark, "merged")
+    finished = F.col("o_orderstatus") == "F"
+    orders.where(finished).coalesce(1).write.parquet(full)
+    size = tables.stored_bytes(spark, full)
+    orders.where(~finished).repartition(48).write.mode("append").parquet(full)
+    packed = tables.compact(spark, full, target, file_bytes=size)
+    merged = F.contains(F.col("_metadata.file_path"), F.lit(target.rsplit("/", 1)[-1]))
+    return packed.groupBy(F.when(merged, "merged").otherwise("kept").alias("files")).agg(
+        F.count("*").alias("row_count"), F.sum("o_orderkey").alias("keys")
+    )
+
+
+_NUMBER = """CASE l_linenumber % 4 WHEN 0 THEN l_partkey || '.' || l_suppkey WHEN 1 THEN '-' || l_partkey || '.5'
+       WHEN 2 THEN l_linenumber || 'e2' ELSE l_partkey::VARCHAR END"""
+
+
+@case(
+    "stage_rounded_integers",
+    f"""SELECT l_orderkey, l_linenumber, ({_NUMBER})::INTEGER AS part, ({_NUMBER})::BIGINT AS wide_part,
+       (l_linenumber || '.4999')::SMALLINT AS line FROM lineitem""",
+)
+def stage_rounded_integers(spark: SparkSession, folder: str) -> DataFrame:
+    """Integers written with fractions and exponents."""
+    part, line = F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string")
+    kind = F.col("l_linenumber") % 4
+    text = (
+        F.when(kind == 0, F.concat_ws(".", part, F.col("l_suppkey").cast("string")))
+        .when(kind == 1, F.concat(F.lit("-"), part, F.lit(".5")))
+        .when(kind == 2, F.concat(line, F.lit("e2")))
+        .otherwise(part)
+    )
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        values.typed(text, "int").alias("part"),
+        values.typed(text, "bigint").alias("wide_part"),
+        values.typed(F.concat(line, F.lit(".4999")), "smallint").alias("line"),
+    )
+
+
+@case(
+    "stage_json_numbers",
+    """SELECT l_orderkey, l_linenumber, array_to_string(from_json('[' || l_partkey || '.0, "' || l_returnflag || '", {"z" : '
+       || l_suppkey || '.50, "a": [' || l_linenumber || ', null]}, -0.0]', '["VARCHAR"]'), '|') AS items FROM lineitem""",
+)
+def stage_json_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lists with numbers and objects, each element as text."""
+    part, supplier, line = (F.col(c).cast("string") for c in ("l_partkey", "l_suppkey", "l_linenumber"))
+    text = F.concat(
+        F.lit("["), part, F.lit('.0, "'), F.col("l_returnflag"), F.lit('", {"z" : '), supplier, F.lit('.50, "a": ['), line,
+        F.lit(", null]}, -0.0]"),
+    )
+    return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", values.json_strings(text).alias("items"))
