@@ -462,13 +462,13 @@ def published_mart_counts(spark: SparkSession, folder: str) -> DataFrame:
     query(
         "search summary filmography series",
         "\nUNION ALL\n".join(
-            f"""SELECT '{name}' AS relation, {len(marts.contract(name))}::BIGINT AS column_count, count(*) AS row_count,
+            f"""SELECT '{name}' AS relation, {width}::BIGINT AS column_count, count(*) AS row_count,
        min({key}) AS least_key, max({key}) AS greatest_key FROM {source}"""
-            for name, source, key in (
-                ("mart_title_search", "search", "tconst"),
-                ("mart_genre_year_summary", "summary", "genre"),
-                ("mart_person_filmography", "filmography", "nconst"),
-                ("mart_series_episodes", "series", "series_tconst"),
+            for name, source, key, width in (
+                ("mart_title_search", "search", "tconst", 14),
+                ("mart_genre_year_summary", "summary", "genre", 7),
+                ("mart_person_filmography", "filmography", "nconst", 13),
+                ("mart_series_episodes", "series", "series_tconst", 10),
             )
         ),
     ),
