@@ -34,8 +34,15 @@ def fresh(frame: DataFrame, stem: str) -> str:
     return name
 
 
+#: Rows and bytes of an Arrow batch at most. A Python worker holds a batch several times over, as text and as what it makes of it.
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once for each Spark context, as Spark ships Python code."""
+    """Give the executors this package, once for each Spark context, as Spark ships Python code, and bound what its
+    Python workers are given at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_reelstrata_shipped", False):
         return
