@@ -290,18 +290,24 @@ def follow(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 def leaves(rows: DataFrame, key: str, weight: Column, limit: int, percent: int) -> DataFrame:
     """Rows of key, node and n with the tasks they take part in: leaf_a, leaf_b and the side they are on.
 
-    Rows alone under their key go first, in the one shuffle of all rows; what is left is stored.
-    Keys of up to the limit of weight are one task. Others are cut by size into leaves of about that weight; a leaf
-    meets itself and the later leaves whose smallest set may still be similar to its largest."""
-    whole = Window.partitionBy(key)
-    held = rows.select("*", F.count(F.lit(1)).over(whole).alias("of"), F.sum(weight).over(whole).alias("load"))
-    ranked = stored(held.where("of > 1").drop("of"), "shared")
-    before = F.sum(weight).over(whole.orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1))
-    small = ranked.where(F.col("load") <= limit).select(
+    Keys are weighed by counts that combine on the map side; rows alone under their key go, and the join back may be split
+    where a key is hot. Keys of up to the limit of weight are one task. Others are cut by size into leaves of about that
+    weight, from the weight of each size, with the rows of one size dealt by their hash, so no key is ever
+    sorted or numbered as a whole. A leaf meets itself and the later leaves whose smallest set may still be similar to its largest."""
+    of = rows.groupBy(F.col(key).alias("of_key")).agg(F.count(F.lit(1)).alias("of"), F.sum(weight).alias("load"))
+    loads = stored(of.where("of > 1").drop("of"), "loads")
+    shared_rows = stored(rows.join(loads, F.col(key) == F.col("of_key")).drop("of_key"), "shared")
+    small = shared_rows.where(F.col("load") <= limit).select(
         *rows.columns, F.lit(0).alias("leaf_a"), F.lit(0).alias("leaf_b"), F.lit(0).alias("side")
     )
-    large = ranked.where(F.col("load") > limit)
-    large = large.withColumn("leaf", F.floor(F.coalesce(before, F.lit(0)) / limit).cast("int"))
+    large = shared_rows.where(F.col("load") > limit)
+    sizes = large.groupBy(F.col(key).alias("size_key"), F.col("n").alias("size_n")).agg(F.sum(weight).alias("span"))
+    upto = Window.partitionBy("size_key").orderBy("size_n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored(sizes.withColumn("start", F.coalesce(F.sum("span").over(upto), F.lit(0))), "sizes")
+    dealt = F.pmod(F.xxhash64("node", F.lit("leaf")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    leaf = F.floor((F.col("start") + F.floor(dealt * F.col("span"))) / limit).cast("int")
+    large = large.join(sizes, (F.col(key) == F.col("size_key")) & (F.col("n") == F.col("size_n")))
+    large = large.select(*rows.columns, leaf.alias("leaf"))
     boxes = large.groupBy(key, "leaf").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a = boxes.select(F.col(key).alias("k"), F.col("leaf").alias("leaf_a"), F.col("high").alias("a_high"))
     b = boxes.select(F.col(key).alias("kb"), F.col("leaf").alias("leaf_b"), F.col("low").alias("b_low"))
@@ -320,7 +326,7 @@ def classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     signed_docs = docs.select("doc_id", F.xxhash64("text").alias("h"), signatures(F.col("text"), width, percent).alias("s"))
     signed_docs = stored(signed_docs.select("doc_id", "h", "s.*"), "signatures")
     some = signed_docs.where("n > 0")
-    points = some.select("node", "n", "prefix", "point").dropDuplicates(["node"])
+    points = stored(some.select("node", "n", "prefix", "point").dropDuplicates(["node"]), "points")
     tokens = points.select(F.explode("prefix").alias("token"), "node", "n")
     met = leaves(tokens, "token", F.lit(1), LEAF, percent).join(points.select("node", "point"), "node")
     places = met.repartition("token", "leaf_a", "leaf_b").sortWithinPartitions("token", "leaf_a", "leaf_b")
