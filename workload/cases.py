@@ -1461,3 +1461,40 @@ def stage_json_numbers(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(", null]}, -0.0]"),
     )
     return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", values.json_strings(text).alias("items"))
+
+
+@case("manifest_scan", _NEW)
+def manifest_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The entries of the acquired files, written as one manifest document and read back."""
+    path = scratch_path(spark, "manifest")
+    manifest.write_manifest(new_entries(spark, folder), path)
+    return manifest.read_manifest(spark, path)
+
+
+@case("replaced_load", query("raw_title_episode", "SELECT *, 'load-2' AS _load_id FROM raw_title_episode"))
+def replaced_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A raw table after a second load: nothing of the first one is left."""
+    source, target = SOURCES["title_episode"], scratch_path(spark, "replaced")
+    rows = text_table(spark, folder, "title_episode")
+    first = write_text(rows.where(F.col("seasonNumber") > "3"), scratch_path(spark, "first"))
+    second = write_text(rows, scratch_path(spark, "second"))
+    tsv.land(spark, first, source, LOAD, target)
+    return tsv.land(spark, second, source, "load-2", target).rows
+
+
+@case(
+    "view_of_a_mart",
+    query(
+        "series",
+        """SELECT series_tconst, count(*) AS episodes, max(num_votes) AS most_votes FROM series
+WHERE season_number >= 2 GROUP BY series_tconst""",
+    ),
+)
+def view_of_a_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over the temporary view that a published mart is exposed as."""
+    name = "mart_series_episodes"
+    audit.register({"marts": {name: mart_tables(spark, folder)[name]}})
+    return spark.sql(
+        f"""SELECT series_tconst, count(*) AS episodes, max(num_votes) AS most_votes FROM marts__{name}
+WHERE season_number >= 2 GROUP BY series_tconst"""
+    )
