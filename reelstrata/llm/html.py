@@ -5,11 +5,16 @@ never hold the article (scripts, menus, forms, ...) are left out with all below
 id says so (adverts, comments, ...) unless they hold the page's article or most of its text. Every run
 gives points for length and commas to its element and, halved and then thinned, to the elements above; an element's
 points are discounted by its link density. The element with the most points, or the article element around it, and
-those of its siblings that score well are kept with all their runs; beside a container that is no article, headings and
-paragraphs with few links are kept too.
+those of its siblings that score well are kept with all their runs; beside an article further articles with few links are kept,
+and beside a container that is no article headings and paragraphs with few links, and elements that hold a title or end a sentence.
+
+Inside an article, names tell less: headings have none, an id of a paragraph or section is an anchor, and a header is the article's own.
+
+Elements know their nearest block, open paragraph and article, and all sums go up the tree once, so a page of any length and depth takes
+time in proportion to it.
 
 Defined results: a NULL or empty page, or one without text, gives the empty text; a page cut off anywhere is read
-as far as it goes; equal pages get equal texts; repeated rows stay repeated.
+as far as it goes; equal pages get equal texts; repeated rows stay repeated; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,6 +49,10 @@ NOISE = re.compile(
 TALK = re.compile(r"(?:^|[^a-z0-9])(?:comments?|commentlist|disqus|replies|reply|respond)(?![a-z0-9])")
 #: Elements that are kept beside the best container, and the share of their characters that may be links.
 BESIDE, LINKED = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote", "pre"}, 0.25
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Names that an article's own parts may have.
+OWN = re.compile(r"(?<![a-z0-9])(?:headers?|masthead)(?![a-z0-9])")
+CITED = re.compile(r"(?<![a-z0-9])(?:ref(?:erence)?s?|bibliography|citations?|sources|footnotes|endnotes)(?![a-z0-9])")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "alertdialog"}
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -51,60 +60,91 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z:_-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for tag in RAW}
 SPACE = re.compile(r"\s+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "up", "depth", "never", "link", "points", "chars", "links", "index", "items", "noise", "talk", "muted")
+    __slots__ = (
+        "tag", "up", "depth", "never", "link", "index", "items", "noise", "talk", "muted", "cited", "block", "open_p", "inside",
+        "chars", "links", "own", "here", "once", "twice", "far", "last", "titled",
+    )
 
     def __init__(self, tag: str, up: Node | None, never: bool, link: bool, index: int, names: str = ""):
         self.tag, self.up, self.never, self.link, self.index = tag, up, never, link, index
-        self.noise, self.talk = bool(NOISE.search(names)), bool(TALK.search(names))
-        self.muted = tag in INLINE and (self.noise or bool(up and up.muted))
+        self.noise = tag not in HOLDS and bool(NOISE.search(names))
+        self.talk, self.cited = bool(TALK.search(names)), bool(CITED.search(names))
+        inline = tag in INLINE
+        self.muted = inline and (self.noise or bool(up and up.muted))
         self.depth = up.depth + 1 if up else 0
-        self.points, self.chars, self.links, self.items = 0.0, 0, 0, 0
+        # the nearest element that is a block, paragraph that a block would end, and article
+        self.block = up.block if inline else self
+        self.open_p = self if tag == "p" else up.open_p if inline else None
+        self.inside = self if tag in ("article", "main") else up.inside if up else None
+        # sums over what is below: characters, those in links, those outside links, points by distance; the last run
+        self.chars = self.links = self.own = self.items = 0
+        self.here = self.once = self.twice = self.far = 0.0
+        self.last, self.titled = -1, False
+
+    @property
+    def points(self) -> float:
+        """Points of the runs: all of the own ones and of the children's, half of the next ones, then ever less."""
+        return self.here + self.once + self.twice / 2 + self.far
 
 
 def left_out(tag: str, attributes: str, up: Node) -> tuple[bool, str]:
     """Whether an element never holds the article, and its names."""
     if tag in NEVER:
         return True, ""
-    inside = up
-    while inside and inside.tag not in ("article", "main"):
-        inside = inside.up
-    if tag == "header" and not inside:
+    if tag == "header" and not up.inside:
         return True, ""
-    if not attributes.strip() or tag in HOLDS:
+    if not attributes.strip() or tag in HOLDS - {"article"}:
         return False, ""
     found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
+    if tag == "article":
+        return False, CAMEL.sub("-", found.get("class", "")).lower()
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES:
         return True, ""
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "").lower()):
         return True, ""
-    return False, CAMEL.sub("-", f"{found.get('class', '')} {found.get('id', '')}").lower()
+    kind, ident = (CAMEL.sub("-", found.get(key, "")).lower() for key in ("class", "id"))
+    if up.inside:
+        if tag in HEADINGS:
+            return False, ""
+        if tag in ("p", "section") and not TALK.search(ident):
+            ident = ""
+        kind, ident = OWN.sub(" ", kind), OWN.sub(" ", ident)
+    return False, f"{kind} {ident}"
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     """All elements in page order, and the runs of text: nearest block element, text, characters in links."""
     nodes = [Node("html", None, False, False, 0)]
     stack = [nodes[0]]
+    places: dict[str, list[int]] = {}  # where a tag is open in the stack
     runs: list[tuple[Node, str, int]] = []
     held: list[tuple[str, bool]] = []
 
     def end_run():
         if held:
-            block = next(n for n in reversed(stack) if n.tag not in INLINE)
             text = SPACE.sub(" ", unescape("".join(t for t, _ in held))).strip()
             if text:
                 links = min(len(text), sum(len(t.strip()) for t, link in held if link))
-                runs.append((block, text, links))
+                runs.append((stack[-1].block, text, links))
             held.clear()
 
     def say(text: str):
         if text and not stack[-1].never and not stack[-1].muted:
             held.append((text, stack[-1].link))
 
+    def cut(k: int):
+        while len(stack) > k:
+            places[stack.pop().tag].pop()
+
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     at, end = 0, len(page)
     while at < end:
         found = TOKEN.search(page, at)
@@ -120,12 +160,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             if tag == "br":
                 say(" ")
             elif tag not in VOID:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
+                k = last((tag,))
                 # the end of an inline element does not end the blocks inside it
-                if k and not (tag in INLINE and any(n.tag not in INLINE for n in stack[k + 1 :])):
-                    if any(n.tag not in INLINE for n in stack[k:]):
+                if k and not (tag in INLINE and stack[-1].block.depth > k):
+                    if stack[-1].block.depth >= k:
                         end_run()
-                    del stack[k:]
+                    cut(k)
             continue
         if tag == "br":
             say(" ")
@@ -134,20 +174,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             continue
         if tag not in INLINE:
             end_run()
-            for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag not in INLINE:
-                    break
+            if stack[-1].open_p:  # a block ends an open paragraph
+                cut(stack[-1].open_p.depth)
             if tag in CLOSES:
                 ends, bounds = CLOSES[tag]
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in bounds:
-                        break
-                    if stack[k].tag in ends:
-                        del stack[k:]
-                        break
+                if last(ends) > last(bounds):
+                    cut(last(ends))
         if tag in VOID:
             continue
         up = stack[-1]
@@ -157,9 +189,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             up.items += 1
         nodes.append(node)
         if tag in RAW:
-            close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+            close = CLOSE[tag].search(page, at)
             at = close.end() if close else end
         elif not (found[3] or "").rstrip().endswith("/") or tag not in ("svg", "path"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
     end_run()
     return nodes, runs
@@ -169,11 +202,12 @@ def points(text: str) -> float:
     return (1.0 if len(text) >= 25 else 0.1) + text.count(",") + min(len(text) / 100, 3.0)
 
 
-def above(node: Node | None):
-    """The node and the elements above it."""
-    while node:
-        yield node
-        node = node.up
+def downwards(nodes: list[Node], marked) -> list[bool]:
+    """For each node whether it, or an element above it, is marked; parents come before their children."""
+    found: list[bool] = []
+    for n in nodes:
+        found.append(marked(n) or (n.up is not None and found[n.up.index]))
+    return found
 
 
 def without_noise(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
@@ -183,21 +217,50 @@ def without_noise(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> list[
     that hold most of the page's text, unless it is talk or the article is elsewhere."""
     if not any(n.noise for n in nodes):
         return runs
-    own: dict[int, int] = {}
     for block, text, links in runs:
-        for n in above(block):
-            own[n.index] = own.get(n.index, 0) + len(text) - links
-    articles = [n for n in nodes if n.tag in ("article", "main") and own.get(n.index, 0)]
-    clean = [n for n in articles if not any(a.noise for a in above(n))]
+        block.own += len(text) - links
+    for n in reversed(nodes):
+        if n.up:
+            n.up.own += n.own
+    noisy, talk = downwards(nodes, lambda n: n.noise), downwards(nodes, lambda n: n.talk)
+    articles = [n for n in nodes if n.tag in ("article", "main") and n.own]
+    clean = [n for n in articles if not noisy[n.index]]
     if articles and not clean:
-        clean = [max(articles, key=lambda n: (not any(a.talk for a in above(n)), own[n.index], n.depth, -n.index))]
-        for n in above(clean[0]):
-            n.noise = False
+        clean = [max(articles, key=lambda n: (not talk[n.index], n.own, n.depth, -n.index))]
+        n = clean[0]
+        while n:
+            n.noise, n = False, n.up
     holders = {n.index for n in clean}
+    held = downwards(nodes, lambda n: n.index in holders)
     for n in nodes:
-        if n.noise and not n.talk and 2 * own.get(n.index, 0) > own.get(0, 0):
-            n.noise = bool(clean) and not any(a.index in holders for a in above(n))
-    return [run for run in runs if not any(n.noise for n in above(run[0]))]
+        if n.noise and not n.talk and 2 * n.own > nodes[0].own:
+            n.noise = bool(clean) and not held[n.index]
+    noisy = downwards(nodes, lambda n: n.noise)
+    return [run for run in runs if not noisy[run[0].index]]
+
+
+def gather(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> None:
+    """Characters, links, points and the last run of every element, from its children up."""
+    for k, (block, text, links) in enumerate(runs):
+        block.chars += len(text)
+        block.links += links
+        block.here += points(text)
+        block.last = k
+    for n in reversed(nodes):
+        n.titled = n.titled or (n.tag in ("h1", "h2") and n.chars > 0)
+        if n.up:
+            up = n.up
+            up.chars += n.chars
+            up.links += n.links
+            up.last = max(up.last, n.last)
+            up.titled = up.titled or n.titled
+            up.once += n.here
+            up.twice += n.once
+            up.far += n.twice / 6 + n.far * 2 / 3
+
+
+#: Elements that are paragraphs or parts of one; the element around them is the candidate.
+PARTS = HEADINGS | {"p", "li", "pre", "blockquote", "td", "th", "dt", "dd", "tr", "ul", "ol"}
 
 
 def main_text(page: str | None) -> str:
@@ -205,41 +268,28 @@ def main_text(page: str | None) -> str:
     runs = without_noise(nodes, runs)
     if not runs:
         return ""
-    for block, text, links in runs:
-        value, node, level = points(text), block, 0
-        while node:
-            node.chars += len(text)
-            node.links += links
-            share = 1.0 if level == 0 else 0.5 if level == 2 else 1.0 if level == 1 else 1 / (3 * (level - 1))
-            node.points += value * share
-            node, level = node.up, level + 1
-    # a run is its paragraph; the element around paragraphs is the candidate
-    heads = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "th", "dt", "dd", "tr", "ul", "ol"}
+    gather(nodes, runs)
     scores = {n.index: n.points * (1 - n.links / n.chars) for n in nodes if n.chars}
-    choice = [n for n in nodes if n.chars and n.tag not in heads and n.tag not in INLINE] or [nodes[0]]
+    choice = [n for n in nodes if n.chars and n.tag not in PARTS and n.tag not in INLINE] or [nodes[0]]
     best = max(choice, key=lambda n: (scores.get(n.index, 0.0), n.depth, -n.index))
-    inside = best
-    while inside and inside.tag not in ("article", "main"):
-        inside = inside.up
+    inside = best.inside
     best = inside or best
     least = max(10.0, 0.2 * scores.get(best.index, 0.0))
-    kept = {best.index}
-    kept |= {n.index for n in nodes if n.up is best.up and n.up and n.tag not in INLINE and scores.get(n.index, 0.0) >= least}
-    if not inside:
-        kept |= {n.index for n in nodes if n.up is best.up and n.up and n.tag in BESIDE and n.chars and n.links <= LINKED * n.chars}
-    menus = {n.index for n in nodes if n.tag in ("ul", "ol") and n.items >= 3 and n.links > 0.8 * n.chars > 0}
-    out = []
-    for block, text, _ in runs:
-        node, good = block, False
-        while node:
-            if node.index in menus:
-                good = False
-                break
-            good = good or node.index in kept
-            node = node.up
-        if good:
-            out.append(text)
-    return "\n".join(out)
+
+    def beside(n: Node) -> bool:
+        if scores[n.index] >= least:
+            return True
+        if n.links > LINKED * n.chars:
+            return False
+        if inside:
+            return n.tag == "article" and not n.talk
+        return n.tag in BESIDE or n.tag in ("div", "section") and (n.titled or runs[n.last][1].endswith((".", "!", "?", "…")))
+
+    kept = {n.index for n in nodes if n.up is best.up and n.up and n.tag not in INLINE and n.chars and beside(n)} | {best.index}
+    good = downwards(nodes, lambda n: n.index in kept)
+    listed = lambda n: n.tag == "ul" or n.tag == "ol" and not n.inside
+    menus = downwards(nodes, lambda n: listed(n) and not n.cited and n.items >= 3 and n.links > 0.8 * n.chars > 0)
+    return "\n".join(text for block, text, _ in runs if good[block.index] and not menus[block.index])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -126,6 +126,26 @@ def test_mixture_keeps_the_budget(docs, given):
     assert Counter(r.doc_id for r in kept.collect())[7] >= 1
 
 
+def test_mixture_tells_rows_without_an_id_apart(spark):
+    rows = [(None, f"small text {i} {'w ' * i}", "en", "small") for i in range(4)] + [(7, "same id one", "en", "small"), (7, "same id two x", "en", "small")]
+    rows += [(9, "repeated row", "en", "small")] * 5 + [(i, "large words " * 40, "en", "large") for i in range(100, 160)]
+    rows += [(None, "no source", "de", None), (8, None, None, "small")]
+    frame = stored(spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long"), "alike")
+    mix = mixing.Mix(entropy=1.0, repetition=9.0, budget=1.3, block_tokens=50)
+    key = lambda r: (r.source, r.text, r.doc_id)
+    spent, tokens = Counter(), {key(r): len(words(r.text)) for r in frame.collect()}
+    for r in mixing.mixed(frame, mix).collect():
+        spent[r.source, r.n_tokens, r.doc_id] += r.copies
+    kept = mixing.mix_documents(frame, mix).collect()
+    found = Counter()
+    for r in kept:
+        found[r.source, tokens[key(r)], r.doc_id] += 1
+    assert found == Counter({k: v for k, v in spent.items() if v})
+    per_row = Counter(r.n_chars for r in kept if r.doc_id == 9)
+    assert max(per_row.values()) - min(per_row.values()) <= 1 and len(per_row) == 5
+    assert len({r.text for r in kept if r.doc_id is None and r.source == "small"}) == 4
+
+
 # --- 3 -------------------------------------------------------------------------------------------------------------
 
 
@@ -316,6 +336,76 @@ def test_headings_and_paragraphs_beside_the_best_container():
     assert (lines[0], len(lines), lines[-1]) == ("Title", 6, "A closing sentence.")
 
 
+SAY = "<p>First, a paragraph of text, long enough to score.</p><p>Then, in the end, another one that counts.</p>"
+SAID = "First, a paragraph of text, long enough to score.\nThen, in the end, another one that counts."
+
+
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        (f'<div class="entry-header"><h1>The title</h1></div>{SAY}', f"The title\n{SAID}"),
+        (f'{SAY}<section id="search"><p>How we searched.</p></section>', f"{SAID}\nHow we searched."),
+        (f'{SAY}<h2 id="related-work">Related work</h2><p>Others.</p>', f"{SAID}\nRelated work\nOthers."),
+        (f'{SAY}<p id="notice">Mind the gap.</p>', f"{SAID}\nMind the gap."),
+        (f'{SAY}<p class="notice">Page notice.</p>', SAID),
+        (f'{SAY}<div class="advert"><p>Buy this, now.</p></div>', SAID),
+        (f'{SAY}<section id="comments"><p>Says a reader.</p></section>', SAID),
+        (f"{SAY}<ol><li><a href=x>Ref one</a></li><li><a href=x>Ref two</a></li><li><a href=x>Ref three</a></li></ol>",
+         f"{SAID}\nRef one\nRef two\nRef three"),
+        (f'{SAY}<ul class="references"><li><a>One</a></li><li><a>Two</a></li><li><a>Three</a></li></ul>', f"{SAID}\nOne\nTwo\nThree"),
+        (f"{SAY}<ul><li><a>One</a></li><li><a>Two</a></li><li><a>Three</a></li></ul>", SAID),
+    ],
+)
+def test_what_an_article_holds_is_kept(inner, text):
+    assert html.main_text(f"<body><nav><a>Home</a></nav><article>{inner}</article><footer>Foot</footer></body>") == text
+
+
+def test_further_articles_and_parts_in_containers_of_their_own():
+    page = f"<body><article>{SAY}</article><article><p>A short one.</p></article><article class=comment><p>No.</p></article></body>"
+    assert html.main_text(page) == f"{SAID}\nA short one."
+    links = "<div><a href=x>One</a> <a href=x>Two</a></div>"
+    page = f"<body><div><div><h1>Title</h1></div><div>{SAY * 3}</div><div><div>And that is the end of it.</div></div>{links}</div></body>"
+    assert html.main_text(page).split("\n") == ["Title", *(SAID + "\n").splitlines() * 3, "And that is the end of it."]
+
+
+@pytest.mark.parametrize("piece", ["<font><p>word, word</p>", "<div>word, word", "<b><i>word</p>", "<li>word<ul>", "</p></td></li>x", "<p>x<b>"])
+def test_time_grows_with_the_page(piece):
+    import time
+
+    spent = []
+    for times in (4_000, 32_000):
+        started = time.process_time()
+        assert html.main_text(piece * times)
+        spent.append(time.process_time() - started)
+    assert spent[1] < 30 * max(spent[0], 0.01)
+
+
+def container_scores(page):
+    """Points of every element by the plain rule: each run's points at each element above it."""
+    nodes, runs = html.parse(page)
+    found = Counter()
+    for block, text, _ in runs:
+        node, level = block, 0
+        while node:
+            found[node.index] += html.points(text) * (1 if level < 2 else 0.5 if level == 2 else (2 / 3) ** (level - 3) / 6)
+            node, level = node.up, level + 1
+    html.gather(nodes, runs)
+    return {n.index: n.points for n in nodes if n.chars}, found
+
+
+def test_points_equal_the_plain_rule(spark):
+    pages = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").limit(20).collect()] + ["<div>" * 60 + "deep, text" + "<p>x" * 9]
+    for page in pages:
+        got, wanted = container_scores(page)
+        assert got == pytest.approx({k: v for k, v in wanted.items() if k in got})
+
+
+def test_pages_of_nothing(spark):
+    ship(spark)
+    frame = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html.extract(frame).collect() == []
+
+
 def test_pages(spark):
     ship(spark)
     rows = [(1, "u", "<p>x y</p>", "z"), (2, None, None, "z"), (2, None, None, "z")]
@@ -498,14 +588,58 @@ def test_blocks_are_stitched(spark, tmp_path, block):
     assert sorted(tuple(r) for r in rows) == [("a", 0, 0, 3), ("a", 1, 4, 0), ("a", 2, 5, 1), ("b", 0, 0, 0)]
 
 
-def test_block_scan_alone():
-    content = pa.record_batch([pa.array(["f"]), pa.array([np.array([7, 1, 7], ">u2").tobytes()])], ["file", "content"])
-    found = [b.to_pylist()[0] for b in tokencount.separators(7, 4)([content])]
-    assert found == [{"file": "f", "block": 0, "at": [0]}, {"file": "f", "block": 1, "at": [0]}]
+def test_a_file_is_counted_by_several_tasks(spark, tmp_path):
+    ship(spark)
+    rng = np.random.default_rng(9)
+    end = tokencount.SEPARATOR
+    ids = rng.integers(0, 50_256, 60_000)
+    ids[rng.random(len(ids)) < 0.01] = end
+    ids[rng.random(len(ids)) < 0.02] = 0x0A0A
+    ids[1_000:1_400] = 0xC4  # its low byte is the separator's high one
+    (tmp_path / "flat.txt").write_bytes(ids.astype(">u2").tobytes())
+    at = np.flatnonzero(ids == end)
+    starts = np.append(0, at[:-1] + 1)
+    expected = [("flat.txt", k, int(s), int(e - s)) for k, (s, e) in enumerate(zip(starts, at))]
+    for split in ("4096", "7001", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            rows = tokencount.count_tokens(spark, str(tmp_path), block=1_500).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert sorted(map(tuple, rows)) == expected
+    rows = tokencount.count_tokens(spark, str(tmp_path), separator=0x0A0A).collect()
+    assert len(rows) == (ids == 0x0A0A).sum()
+
+
+def test_ids_follow_the_tokens_whatever_the_parallelism(spark, given, tmp_path):
+    encode = tokencount.encoder(tokencount.VOCABULARY).encode_ordinary
+    path = str(tmp_path / "many")
+    given.select("doc_id", "text").repartition(13).write.parquet(path)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "4")
+        frame = spark.read.parquet(path)
+        expected = Counter((r.doc_id, len(encode(r.text or ""))) for r in frame.collect())
+        found = tokencount.document_tokens(frame)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        assert Counter((r.doc_id, r.n_tokens) for r in found.collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_very_long_and_no_documents(spark, docs):
+    encode = tokencount.encoder(tokencount.VOCABULARY).encode_ordinary
+    long = "river stone " * 300_000
+    frame = spark.createDataFrame([("a", long, 1), (None, "x\ny", 2), ("b,c", None, 3)], "doc_id string, text string, place int")
+    assert Counter((r.doc_id, r.n_tokens) for r in tokencount.document_tokens(frame).collect()) == Counter(
+        [("a", len(encode(long))), (None, len(encode("x\ny"))), ("b,c", 0)]
+    )
+    assert tokencount.document_tokens(docs.where("false")).collect() == []
 
 
 # --- all -----------------------------------------------------------------------------------------------------------
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
