@@ -83,18 +83,28 @@ def block_order(mix: Mix, source: Column, block: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(mix.seed), F.coalesce(source, F.lit("\x00")), block.cast("string")))
 
 
+def document_draw(mix: Mix) -> Column:
+    """What decides the place of a document: its id and its text, so that rows that share an id or have none are dealt apart."""
+    id_text, text = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))
+    return F.md5(F.concat_ws("|", F.lit(mix.seed), id_text, F.md5(text)))
+
+
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """doc_id, source, n_tokens, weight of the source, passes (whole ones), copies of the document in the mixture."""
-    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     counted = stored(
         docs.select(
             "doc_id",
             F.col("source").cast("string").alias("source"),
             F.size(words(F.col("text"))).cast("long").alias("n_tokens"),
-            F.md5(F.concat_ws("|", F.lit(mix.seed), id_text)).alias("draw"),
+            document_draw(mix).alias("draw"),
         ),
         "mix",
     )
+    return dealt_copies(counted, mix).drop("draw")
+
+
+def dealt_copies(counted: DataFrame, mix: Mix) -> DataFrame:
+    """The columns of `mixed`, and the draw, for rows of doc_id, source, n_tokens and draw."""
     sources = stored(counted.groupBy("source").agg(F.sum("n_tokens").alias("total")), "sources")
     whole = sources.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("all")).first()["all"]
     shares = sources.where("total > 0").withColumn("share", F.col("total") / F.lit(float(whole or 1)))
@@ -144,6 +154,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
             "doc_id",
             "source",
             "n_tokens",
+            "draw",
             "weight",
             "passes",
             (F.col("passes") + F.when((F.col("n_tokens") > 0) & (F.col("upto") <= F.col("room")), 1).otherwise(0)).alias("copies"),
@@ -152,15 +163,27 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The rows of `docs`, each as often as the mixture holds it. Rows of one doc_id count as that document's."""
+    """The rows of `docs`, each as often as the mixture holds it. Rows are told apart by id, source and text; those that
+    agree in all three share their copies evenly, and what is left over goes to the first of them in the order of their other columns."""
     mark = fresh(docs, "mixed_copies")
-    copies = mixed(docs, mix).groupBy("doc_id").agg(F.min("copies").alias(mark)).withColumnRenamed("doc_id", mark + "id")
-    return (
-        docs.join(copies, docs["doc_id"].eqNullSafe(F.col(mark + "id")))
-        .where(F.col(mark) > 0)
-        .withColumn(mark, F.explode(F.array_repeat(F.lit(0), F.col(mark).cast("int"))))
-        .select(*[docs[name] for name in docs.columns])
-    )
+    source, draw = F.col("source").cast("string"), document_draw(mix)
+    counted = docs.select("doc_id", source.alias("source"), F.size(words(F.col("text"))).cast("long").alias("n_tokens"), draw.alias("draw"))
+    copies = dealt_copies(stored(counted, "mix"), mix).groupBy("source", "draw")
+    copies = stored(copies.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")), "copies")
+    named = copies.select(*[F.col(c).alias(f"{mark}_{c}") for c in copies.columns])
+    same = docs["source"].cast("string").eqNullSafe(F.col(f"{mark}_source")) & (draw == F.col(f"{mark}_draw"))
+    met = docs.join(named, same).where(F.col(f"{mark}_copies") > 0)
+    share = F.floor(F.col(f"{mark}_copies") / F.col(f"{mark}_rows"))
+    rows = met.where(F.col(f"{mark}_rows") == 1).withColumn(mark, share).select(*docs.columns, mark)
+    if not copies.where("rows > 1").isEmpty():
+        ordered = [docs[c] for c, kind in docs.dtypes if c != "text" and "map<" not in kind and "variant" not in kind]
+        turn = F.row_number().over(Window.partitionBy(f"{mark}_source", f"{mark}_draw").orderBy(*ordered))
+        rest = F.col(f"{mark}_copies") - share * F.col(f"{mark}_rows")
+        alike = met.where(F.col(f"{mark}_rows") > 1).withColumn(f"{mark}_turn", turn)
+        alike = alike.withColumn(mark, share + F.when(F.col(f"{mark}_turn") <= rest, 1).otherwise(0))
+        rows = rows.unionByName(alike.select(*docs.columns, mark))
+    times = F.explode(F.array_repeat(F.lit(0), F.col(mark).cast("int")))
+    return rows.where(F.col(mark) > 0).withColumn(mark, times).select(*docs.columns)
 
 
 def mix_sql(mix: Mix = Mix(), table: str = "documents", prefix: str = "") -> str:
@@ -169,7 +192,7 @@ def mix_sql(mix: Mix = Mix(), table: str = "documents", prefix: str = "") -> str
 WITH RECURSIVE {prefix}
 counted AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens,
-         md5('{mix.seed}|' || coalesce(doc_id::VARCHAR, '')) AS draw
+         md5('{mix.seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS draw
   FROM {table}),
 sources AS (SELECT source, sum(n_tokens)::BIGINT AS total FROM counted GROUP BY source),
 whole AS (SELECT coalesce(sum(total), 0)::BIGINT AS total FROM sources),
