@@ -200,8 +200,10 @@ def validate(
     lost = missing_tables(spark, build)
     if lost:
         raise audit.AuditError(f"missing: {lost}")
+    scan = catalog.Scanner(spark, build)
+    raw = {name: scan("raw", name) for name in SOURCES}
+    audit.gate("raw", audit.totals(audit.raw_schema_findings(spark, raw)))
     relations = open_build(spark, build)
-    audit.gate("raw", audit.totals(audit.raw_schema_findings(spark, relations["raw"])))
     lost = absent_relations(relations)
     if lost:
         raise audit.AuditError(f"missing: {lost}")
