@@ -44,6 +44,10 @@ def _digests_of_lines():
         done = []
 
         def finish():
+            if size is None:  # lines, each with its newline
+                plain.update(b"\n")
+                done.append((path, seen + 1, plain.hexdigest()))
+                return
             # the size tells whether a mark came first and a newline last
             rest = size - seen
             digest = marked if rest >= len(mark) else plain
@@ -66,7 +70,8 @@ def _digests_of_lines():
                 else:
                     text = b"\n" + text
                 plain.update(text)
-                marked.update(text)
+                if size is not None:
+                    marked.update(text)
                 seen += len(text)
                 start += count
         if path is not None:
@@ -113,6 +118,22 @@ def file_digests(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     )
 
 
+def line_digests(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """`path, file_name, size_bytes, sha256` of the lines of every file that has one, each line with a newline after it.
+
+    For files that are kept compressed: they are unpacked as they are hashed, a stream and a task for each, and what they
+    hold is never stored.
+    """
+    split = F.raise_error(F.concat(F.col("_metadata.file_path"), F.lit(" is read in pieces")))
+    lines = spark.read.option("pathGlobFilter", pattern).text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("path"),
+        F.when(F.col("_metadata.file_block_start") > 0, split).cast("long").alias("size_bytes"),
+        F.col("value").cast("binary").alias("value"),
+    )
+    hashed = lines.mapInArrow(_digests_of_lines(), DIGEST)
+    return hashed.select("path", _name("path"), "size_bytes", "sha256")
+
+
 def line_of(value: str) -> Column:
     """A line without the carriage return before its newline."""
     text = F.col(value)

@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import BASE_URL, catalogue, manifest_frame, rows_of, write_gz, write_snapshot
 from reelstrata.session import scratch_path, size_shuffles
 from reelstrata.sources import freeze, manifest, tables
-from reelstrata.sources.inventory import file_digests, inventory, line_counts
+from reelstrata.sources.inventory import file_digests, inventory, line_counts, line_digests
 from reelstrata.sources.registry import FILE_COLUMNS, SOURCES, registry_frame
 
 ENTRY = {
@@ -310,3 +311,39 @@ def test_scratch_is_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(f"{shared}/x-") and first != second
+
+
+def test_packed_files_have_the_digests_of_their_lines(spark, tmp_path):
+    lines = [[f"{n} line", "", "é" * n] * 40 for n in range(1, 4)]
+    for n, content in enumerate(lines):
+        write_gz(tmp_path / f"f{n}.txt.gz", "\n".join(content) + ("\n" if n else ""))
+    write_gz(tmp_path / "empty.txt.gz", "")
+    whole = ["".join(f"{line}\n" for line in content).encode() for content in lines]
+    found = {r["file_name"]: (r["size_bytes"], r["sha256"]) for r in line_digests(spark, str(tmp_path), "*.txt.gz").collect()}
+    assert found == {f"f{n}.txt.gz": (len(w), hashlib.sha256(w).hexdigest()) for n, w in enumerate(whole)}
+    (tmp_path / "plain.txt").write_bytes(b"a line of a file\n" * 50_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        with pytest.raises(Exception, match="is read in pieces"):
+            line_digests(spark, str(tmp_path), "*.txt").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_the_file_inventory_stores_no_long_lines(spark, tmp_path):
+    from workload.cases import QUERIES
+
+    orders = [(n, "F" if n % 2 else "O", f"{n % 5}-HIGH") for n in range(3000)]
+    frame = spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string, o_orderpriority string")
+    frame.write.parquet(str(tmp_path / "orders.parquet"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("lines-*"))
+    found = {r["part"]: (r["size_bytes"], r["sha256"]) for r in QUERIES["file_inventory"](spark, str(tmp_path)).collect()}
+    wanted = {}
+    for status in "FO":
+        text = [f"{key} {priority}" for key, kind, priority in orders if kind == status]
+        whole = "".join(f"{t} " * 600 + "\n" if status == "F" else f"{t}\n" for t in text).encode()
+        wanted[f"status={status}"] = (len(whole), hashlib.sha256(whole).hexdigest())
+    assert found == wanted
+    stored = [f for folder in set(shared.glob("lines-*")) - before for f in folder.rglob("*.txt*")]
+    assert stored and sum(f.stat().st_size for f in stored) < sum(size for size, _ in wanted.values()) / 20
