@@ -6,6 +6,8 @@ Every function takes and returns DataFrames. Checks return one row per problem w
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from reelstrata.sources.registry import FILE_COLUMNS, FILE_SCHEMA, LOAD_ID
 # Fixed value: the manifest layout these functions understand.
 MANIFEST_VERSION = 1
 
+#: Bytes of entries in one document: a document is read as one value.
+DOCUMENT_BYTES = 2 * 1024**2
+
 REQUIRED_TEXT = [n for n, (kind, null) in FILE_COLUMNS.items() if kind == "string" and not null]
 REGISTERED = ("dataset", "file_name", "url")
 
@@ -59,14 +64,24 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(entries: DataFrame, path: str) -> None:
-    """One versioned document of the entries, one for each table."""
+    """The entries, one for each table, in versioned documents of about DOCUMENT_BYTES, a file each.
+
+    Tables are dealt to the documents by hash, so neither a task nor the reader holds more than a few of them.
+    """
     if entries.groupBy("table_name").count().where("count > 1").head(1):
         raise ValueError("a manifest holds one entry for each table")
+    written = F.octet_length(F.to_json(F.struct(*FILE_COLUMNS), {"ignoreNullFields": "false"}))
+    size = entries.agg(F.sum(written)).first()[0] or 0
+    documents = max(1, math.ceil(size / DOCUMENT_BYTES))
     rows = F.array_sort(F.collect_list(F.struct("table_name", F.struct(*FILE_COLUMNS))))
-    document = entries.agg(F.transform(rows, lambda row: row["col2"]).alias("entries")).select(
-        F.lit(MANIFEST_VERSION).alias("version"), "entries"
-    )
-    document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    listed = F.transform(rows, lambda row: row["col2"]).alias("entries")
+    if documents == 1:
+        dealt = entries.agg(listed)
+    else:
+        dealt = entries.groupBy(F.pmod(F.xxhash64("table_name"), F.lit(documents)).alias("n")).agg(listed)
+    document = dealt.select(F.lit(MANIFEST_VERSION).alias("version"), "entries")
+    options = {"ignoreNullFields": "false", "maxRecordsPerFile": 1}
+    document.write.mode("overwrite").options(**options).json(path)
 
 
 def document_violations(documents: DataFrame) -> DataFrame:

@@ -347,3 +347,18 @@ def test_the_file_inventory_stores_no_long_lines(spark, tmp_path):
     assert found == wanted
     stored = [f for folder in set(shared.glob("lines-*")) - before for f in folder.rglob("*.txt*")]
     assert stored and sum(f.stat().st_size for f in stored) < sum(size for size, _ in wanted.values()) / 20
+
+
+def test_a_large_manifest_is_written_as_several_documents(spark, tmp_path, monkeypatch):
+    rows = [{**ENTRY, "table_name": f"t{n:04d}", "file_name": f"f{n}", "size_bytes": n} for n in range(600)]
+    entries = manifest_frame(spark, [tuple(e[c] for c in FILE_COLUMNS) for e in rows])
+    monkeypatch.setattr(manifest, "DOCUMENT_BYTES", 20_000)
+    path = tmp_path / "many"
+    manifest.write_manifest(entries, str(path))
+    sizes = [f.stat().st_size for f in path.glob("*.json")]
+    assert len(sizes) > 4 and max(sizes) < 40_000
+    documents = manifest.read_documents(spark, str(path))
+    assert documents.count() == len(sizes) and problems(documents) == []
+    assert sorted(rows_of(manifest.read_manifest(spark, str(path)))) == sorted(rows_of(entries))
+    manifest.write_manifest(entries.limit(0), str(path))
+    assert manifest.read_documents(spark, str(path)).count() == 1 and manifest.read_manifest(spark, str(path)).isEmpty()
