@@ -20,9 +20,15 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Keys unpack to many times their stored size in a task's hash table or sort: what a task scans and what AQE merges for
+    # it stay small, so that its memory does not grow with the input.
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 INPUT_BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
+#: Up to FINE_PARTITIONS, a shuffle has a partition for so many bytes of input; AQE merges them.
+FINE_BYTES, FINE_PARTITIONS = 4 * 1024**2, 4096
 SCAN_BYTES = 128 * 1024**2
 MAX_SCAN_TASKS = 200_000
 
@@ -45,7 +51,8 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     Both sizes only ever grow from what the session asks for.
     """
     wanted = math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_PARTITION)
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    fine = min(math.ceil(input_bytes / FINE_BYTES), FINE_PARTITIONS)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted, fine)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     split = math.ceil(input_bytes / MAX_SCAN_TASKS)
     if split > as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):

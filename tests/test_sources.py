@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import BASE_URL, catalogue, manifest_frame, rows_of, write_gz, write_snapshot
-from reelstrata.session import scratch_path, size_shuffles
+from reelstrata.session import as_bytes, configure, scratch_path, size_shuffles
 from reelstrata.sources import freeze, manifest, tables
 from reelstrata.sources.inventory import file_digests, inventory, line_counts, line_digests
 from reelstrata.sources.registry import FILE_COLUMNS, SOURCES, registry_frame
@@ -362,3 +362,13 @@ def test_a_large_manifest_is_written_as_several_documents(spark, tmp_path, monke
     assert sorted(rows_of(manifest.read_manifest(spark, str(path)))) == sorted(rows_of(entries))
     manifest.write_manifest(entries.limit(0), str(path))
     assert manifest.read_documents(spark, str(path)).count() == 1 and manifest.read_manifest(spark, str(path)).isEmpty()
+
+
+def test_tasks_stay_small_as_the_input_grows(spark):
+    try:
+        assert size_shuffles(configure(spark), 6 * 1024**3) == 1536
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "1536"
+        assert as_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == 16 * 1024**2
+        assert as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 32 * 1024**2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
