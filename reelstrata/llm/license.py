@@ -1,15 +1,15 @@
 """License scans: a trained paragraph classifier with template comparison.
 
-The paragraphs of a text are its lines. Those with a licence word go to a multinomial logistic regression over word
-1-grams and 2-grams, whose sparse weights were trained on the templates below, thinned and mixed by a seeded rule, and on
+The paragraphs of a text are its lines, and its blocks of several lines between blank ones: a notice may be wrapped. Every
+line goes to a multinomial logistic regression over word 1-grams and 2-grams, a block of which no line is confirmed too; its sparse weights were trained on the templates below, thinned and mixed by a seeded rule, and on
 a bounded sample of paragraphs of the corpus as the unknown class; a temperature fitted on texts kept aside calibrates
 the probabilities. A predicted family counts only if enough of one of its templates' 2-grams stand in the paragraph.
 
 Training runs in numpy on the driver on bounded samples; scanning is one projection of built-in functions, without
 a shuffle.
 
-Defined results: a NULL or empty text has no paragraphs and license `none`; a text without a paragraph that has a
-licence word is `none` too; one whose best paragraph is of the unknown class or not confirmed is `unknown`; among
+Defined results: a NULL or empty text has no paragraphs and license `none`; a text in which nothing is confirmed is
+`unknown` if a line has a licence word, else `none`; among
 equally probable paragraphs the first counts; equal texts get equal results; repeated rows stay repeated.
 """
 
@@ -52,10 +52,12 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "Copyright. All rights reserved. No part of this publication may be reproduced without prior written permission."),
 )
-#: Every template has one; a paragraph without any is of the unknown class.
+#: Licence words: they tell `unknown` from `none`, and decide nothing else.
 STEMS = ("licens", "copyright", "permission", "redistribut", "rights reserved", "public domain", "warrant")
 #: Paragraphs of the corpus that the unknown class is trained on at most, and characters of each.
 SAMPLE, SAMPLE_CHARS = 2_000, 600
+#: Between blocks: one or more blank lines.
+BLANK = r"\n\s*\n"
 CLEAN = r"[^\p{L}\p{N}.+-]+"
 
 
@@ -69,7 +71,7 @@ class Model:
 
 
 def grams_of(paragraph: str) -> list[str]:
-    """Distinct words and word pairs; the same rule as `grams`."""
+    """Distinct words and word pairs; the same rule as in `findings`."""
     import regex
 
     tokens = [t.strip(".+-") for t in regex.sub(CLEAN, " ", paragraph.lower()).split(" ")]
@@ -77,10 +79,6 @@ def grams_of(paragraph: str) -> list[str]:
     return sorted({*tokens, *(f"{a} {b}" for a, b in zip(tokens, tokens[1:]))})
 
 
-def grams(tokens: Column) -> Column:
-    return F.array_distinct(F.concat(tokens, pairs(tokens)))
-
-
 def pairs(tokens: Column) -> Column:
     following = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
     held = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0)))
@@ -170,15 +168,13 @@ def quoted(texts: list[str]) -> str:
 
 
 def findings(model: Model, text: Column) -> Column:
-    """For each paragraph with a licence word: its number, family, probability and likeness to a template."""
-    lines = F.split(text, "\n")
-    numbered = F.transform(lines, lambda p, i: F.struct(i.alias("no"), p.alias("p")))
+    """For each line: its block and place, whether it has a licence word, family, probability, likeness to a template and
+    whether it is confirmed. A block of several lines, none of them confirmed, follows as one paragraph."""
 
-    def marked(row):
-        low = F.lower(row["p"])
+    def marked(p):
         test = F.lit(False)
         for stem in STEMS:
-            test = test | F.contains(low, F.lit(stem))
+            test = test | F.contains(F.lower(p), F.lit(stem))
         return test
 
     known = sorted(model.weights)
@@ -186,10 +182,10 @@ def findings(model: Model, text: Column) -> Column:
     table = F.expr(f"map_from_arrays({quoted(known)}, array({','.join(row_of(model.weights[g]) for g in known)}))")
     start = F.expr(row_of(model.bias))
 
-    def scored(row):
+    def scored(block, no, p, mark):
         # bound once as the element of a one-element array, so that nothing is computed twice
         def with_tokens(t):
-            hits = F.array_sort(F.filter(grams(t), lambda g: g.isin(*known)))
+            hits = F.array_sort(F.array_distinct(F.filter(F.concat(t, pairs(t)), lambda g: g.isin(*known))))
             logits = F.aggregate(hits, start, lambda acc, g: F.zip_with(acc, F.element_at(table, g), lambda a, b: a + b))
             return F.transform(F.array(logits), lambda z: decided(t, z))[0]
 
@@ -198,16 +194,33 @@ def findings(model: Model, text: Column) -> Column:
             total = F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - top))
             place = F.array_position(z, top).cast("int")
             family = F.element_at(F.expr(quoted(model.families)), place)
-            return F.struct(
-                row["no"].alias("no"),
+            found = F.struct(
+                block.alias("block"),
+                no.alias("no"),
+                mark.alias("marked"),
                 family.alias("family"),
                 F.round(F.lit(1.0) / total, 6).alias("probability"),
                 F.round(likeness(t, family), 6).alias("similarity"),
             )
+            return F.transform(F.array(found), confirmed)[0]
+
+        def confirmed(f):
+            sure = (f["family"] != UNKNOWN) & (f["probability"] >= model.least) & (f["similarity"] >= model.similar)
+            return f.withField("sure", sure)
+
+        return F.transform(F.array(tokens(p)), with_tokens)[0]
 
-        return F.transform(F.array(tokens(row["p"])), with_tokens)[0]
+    def of_block(p, block):
+        lines = F.transform(F.split(p, "\n"), lambda line, no: scored(block, no, line, marked(line)))
+        wrapped = F.contains(p, F.lit("\n"))
 
-    return F.transform(F.filter(numbered, marked), scored)
+        def with_whole(found):
+            whole = F.array(scored(block, F.lit(0), p, F.lit(False)))
+            return F.when(wrapped & ~F.exists(found, lambda f: f["sure"]), F.concat(found, whole)).otherwise(found)
+
+        return F.transform(F.array(lines), with_whole)[0]
+
+    return F.flatten(F.transform(F.split(text, BLANK), of_block))
 
 
 def likeness(t: Column, family: Column) -> Column:
@@ -224,26 +237,24 @@ def likeness(t: Column, family: Column) -> Column:
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_paragraphs, n_marked (those with a licence word), n_confirmed, license, probability and similarity."""
+    """doc_id, n_paragraphs, n_marked (lines with a licence word), n_confirmed, license, probability and similarity."""
     found = docs.select(
         "doc_id",
         F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda p: p != "")), F.lit(0)).cast("long").alias("n_paragraphs"),
         F.coalesce(findings(model, F.col("text")), F.array()).alias("found"),
     )
-    sure = F.filter(
-        "found",
-        lambda f: (f["family"] != UNKNOWN) & (f["probability"] >= model.least) & (f["similarity"] >= model.similar),
-    )
-    ranked = found.withColumn("sure", sure).withColumn(
-        "best", F.array_max(F.transform("sure", lambda f: F.struct(f["probability"], -f["no"], f["family"], f["similarity"])))
+    ranked = found.withColumn("sure", F.filter("found", lambda f: f["sure"])).withColumn(
+        "best",
+        F.array_max(F.transform("sure", lambda f: F.struct(f["probability"], -f["block"], -f["no"], f["family"], f["similarity"]))),
     )
+    marked = F.filter("found", lambda f: f["marked"])
     return ranked.select(
         "doc_id",
         "n_paragraphs",
-        F.size("found").cast("long").alias("n_marked"),
+        F.size(marked).cast("long").alias("n_marked"),
         F.size("sure").cast("long").alias("n_confirmed"),
         F.when(F.size("sure") > 0, F.col("best")["family"])
-        .when(F.size("found") > 0, F.lit(UNKNOWN))
+        .when(F.size(marked) > 0, F.lit(UNKNOWN))
         .otherwise(F.lit("none"))
         .alias("license"),
         F.col("best")["probability"].alias("probability"),

@@ -320,3 +320,22 @@ def test_line_dedup_of_nothing_and_without_python(lines):
     assert linededup.line_dedup(lines.where("false")).collect() == []
     plan = linededup.line_dedup(lines)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_line_is_classified_and_wrapped_notices_are_found(spark):
+    from reelstrata.llm import license
+
+    others = ["the river was wide and the boat was small", "a song about rain and wind in the hills", "numbers of the year were good"]
+    model = license.train(others * 20)
+    family, notice = next((f, t) for f, t in license.TEMPLATES if t.startswith("Redistribution and use"))
+    words = notice.split()
+    wrapped = "\n".join(" ".join(words[k : k + 4]) for k in range(0, len(words), 4))
+    # the template without its licence word keeps most of its pairs
+    plain = " ".join(w for w in words if not w.startswith("Redistribut"))
+    assert not any(stem in plain.lower() for stem in license.STEMS)
+    rows = [(1, f"title\n\n# {wrapped}\n \n{others[0]}"), (2, f"{others[0]}\n{plain}"), (3, notice), (4, "\n\n".join(others)), (5, None), (6, "")]
+    found = {r.doc_id: r for r in license.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert {i: found[i].license for i in found} == {1: family, 2: family, 3: family, 4: "none", 5: "none", 6: "none"}
+    assert [found[i].n_confirmed for i in range(1, 7)] == [1, 1, 1, 0, 0, 0]
+    assert [found[i].n_marked for i in range(1, 7)] == [1, 0, 1, 0, 0, 0]
+    assert found[1].similarity == 1.0 and found[3].n_paragraphs == 1
