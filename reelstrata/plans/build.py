@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Iterable
+from collections.abc import Callable, Collection, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import TypeVar
@@ -144,13 +144,15 @@ def open_build(spark: SparkSession, build: Build) -> Relations:
 BY_TITLE = ("dim_titles", "fct_title_ratings", *ROLLUPS)
 
 
-def bucketed_models(models: dict[str, DataFrame], build: Build, count: int) -> dict[str, DataFrame]:
+def bucketed_models(
+    models: Mapping[str, DataFrame], build: Build, count: int, names: Iterable[str] = BY_TITLE
+) -> dict[str, DataFrame]:
     """The models of one row per title, stored in buckets of the title key: marts join them without an exchange."""
 
     def bucketed(name: str) -> DataFrame:
         return buckets.write_bucketed(models[name], build.location("buckets", name), "tconst", count)
 
-    return {**models, **_each(BY_TITLE, bucketed)}
+    return {**models, **_each(names, bucketed)}
 
 
 def mart_row_counts(marts: dict[str, DataFrame]) -> dict[str, int]:

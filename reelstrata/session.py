@@ -28,7 +28,7 @@ SETTINGS = {
 
 INPUT_BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
 #: Up to FINE_PARTITIONS, a shuffle has a partition for so many bytes of input; AQE merges them.
-FINE_BYTES, FINE_PARTITIONS = 4 * 1024**2, 4096
+FINE_BYTES, FINE_PARTITIONS = 8 * 1024**2, 4096
 SCAN_BYTES = 128 * 1024**2
 MAX_SCAN_TASKS = 200_000
 

@@ -297,3 +297,38 @@ def test_contract_refuses_other_types_names_and_order(spark):
     ):
         with pytest.raises(marts.ContractError):
             marts.enforced(name, bad)
+
+
+def test_published_marts_read_titles_and_ratings_from_one_stored_copy(spark, tmp_path):
+    from datetime import datetime
+    from pathlib import Path
+
+    from reelstrata.session import configure, size_shuffles
+    from workload.cases import QUERIES, published_marts
+
+    day, folder = datetime(1997, 5, 6), str(tmp_path)
+    given = {
+        "customer": ([(c, f"C{c}", "AUTO") for c in (1, 2)], "c_custkey long, c_name string, c_mktsegment string"),
+        "orders": (
+            [(o, 1 + o % 2, "FOP"[o % 3], 60_000.0 + o, day, "2-HIGH") for o in range(1, 9)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+        ),
+        "lineitem": (
+            [(o, 1 + n % 3, 1, n, 5.0, "RNA"[n % 3], "FO"[n % 2]) for o in range(1, 9) for n in (1, 2, 3)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string",
+        ),
+        "part": (
+            [(p, f"part {p}", "Brand#1", "TIN", 20) for p in (1, 2, 3)],
+            "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+        ),
+        "supplier": ([(1, "S1", 10.0)], "s_suppkey long, s_name string, s_acctbal double"),
+    }
+    for name, (rows, schema) in given.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    size_shuffles(configure(spark), 1000)
+    build = published_marts(spark, folder)
+    stored = Path(build.location("buckets", "").removeprefix("file:"))
+    assert sorted(p.name for p in stored.iterdir()) == ["dim_titles", "fct_title_ratings"]
+    counted = {name: build.scan(spark, "marts", name).count() for name in marts.MARTS}
+    assert counted["mart_title_search"] == 10 and counted["mart_person_filmography"] == 24 and counted["mart_series_episodes"] == 8
+    assert {r[0]: r[1] for r in QUERIES["published_mart_counts"](spark, folder).collect()} == counted

@@ -366,8 +366,8 @@ def test_a_large_manifest_is_written_as_several_documents(spark, tmp_path, monke
 
 def test_tasks_stay_small_as_the_input_grows(spark):
     try:
-        assert size_shuffles(configure(spark), 6 * 1024**3) == 1536
-        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "1536"
+        assert size_shuffles(configure(spark), 6 * 1024**3) == 768
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "768"
         assert as_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == 16 * 1024**2
         assert as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 32 * 1024**2
     finally:
