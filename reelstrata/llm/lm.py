@@ -4,8 +4,8 @@ Texts are lower-cased (A-Z) and cut into words; every word is spelled in subword
 ends with an end identifier. The model reads windows of WINDOW subwords that overlap by OVERLAP; each subword is
 scored once, in the window where it has the longer context. The softmax has two levels: the most frequent subwords of
 all training documents form classes of MEMBERS, attention gives the probability of the next class and, within it, of
-the member; the rest form one more class, in which a subword has its share of the corpus. Counts come from all
-training documents, the weights from a bounded sample of them.
+the member; the rest form one more class, in which a subword has its share of the corpus. Counts and weights come from all
+training documents as a whole: tasks learn from the documents of their blocks, in rounds that end in the mean of their weights.
 
 Corpus counts are gathered by blocks. A block holds the distinct words of about BLOCK_BYTES of text with their counts
 in training documents, and the texts as numbers of those words. Only a block's words are shuffled, not all tokens: a
@@ -23,26 +23,29 @@ from math import log, log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelstrata.llm.common import crc_mod, spread_sample, stored
+from reelstrata.llm.common import crc_mod, stored
 from reelstrata.llm.tokencount import VOCABULARY, encoder
 
 WINDOW, OVERLAP, WIDTH = 16, 4, 16
 #: Members of each class, frequent subwords in small classes; what is left is one more class.
 MEMBERS = [8] * 8 + [16] * 8 + [32] * 8 + [96] * 8
 CLASSES = REST = len(MEMBERS)
-#: Training documents, and characters of each, that the weights are learned from at most.
-SAMPLE, SAMPLE_CHARS = 2_000, 4_000
+#: Rounds of learning: up to which of every 16 documents of a block, and the rate of its steps. Windows of a step at most, fewer
+#: where a block's share of a round would not make STEPS steps.
+ROUNDS, BATCH, STEPS = [(1, 1e-2), (4, 1e-2), (16, 5e-3)], 512, 128
 BLOCK_BYTES = 12 << 20
-#: Windows that go through attention, and positions that go through the softmax, at a time.
-CHUNK, POSITIONS = 256, 1 << 16
+#: Windows that go through attention, positions that go through the members' softmax, and through that of the classes, at a time.
+CHUNK, POSITIONS, STRIP = 256, 1 << 14, 1 << 12
 #: The end identifier, first free one of the vocabulary, and the number of identifiers.
 END, IDS = 50256, 50257
 BLOCK = (
-    "block string, words array<binary>, seen array<long>, doc_ids array<long>, held array<boolean>, lengths array<int>, numbers binary"
+    "block string, words array<binary>, seen array<long>, doc_ids array<long>, held array<boolean>, lengths array<int>, numbers binary, "
+    "spelled binary, sizes binary, ids array<int>, spread array<long>"
 )
 
 
@@ -50,31 +53,22 @@ def held_out(doc_id):
     return crc_mod(doc_id, 10) == 0
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
-def spell(path: str, word: bytes) -> list[int]:
-    return encoder(path).encode_ordinary(" " + word.decode("utf-8", "replace"))
-
-
-#: Spellings that a Python worker remembers for a vocabulary, as 16-bit identifiers; the first words it meets are mostly the
-#: frequent ones.
-SPELLED: dict[str, dict[bytes, bytes]] = {}
+#: Subwords that a Python worker remembers for a vocabulary; the first words it meets are mostly the frequent ones.
+SPELLED: dict[str, dict[str, bytes]] = {}
 REMEMBERED = 250_000
 
 
-def spellings(path: str, words: list[bytes]) -> list[bytes]:
-    """The identifiers of each word, two bytes each."""
-    found, known = [], SPELLED.setdefault(path, {})
+def spellings(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The identifiers of all words in a row, each word after a space, and how many each has."""
+    found, known, encode = [], SPELLED.setdefault(path, {}), encoder(path).encode_ordinary
     for word in words:
         ids = known.get(word)
         if ids is None:
-            ids = array("H", spell(path, word)).tobytes()
+            ids = array("H", encode(" " + word)).tobytes()
             if len(known) < REMEMBERED:
                 known[word] = ids
         found.append(ids)
-    return found
+    return np.frombuffer(b"".join(found), np.uint16), np.fromiter(map(len, found), np.int32, len(found)) // 2
 
 
 # --- model ---------------------------------------------------------------------------------------------------------
@@ -113,107 +107,146 @@ def initial(seed: int = 3) -> dict[str, np.ndarray]:
     }
 
 
+#: Of queries, keys and values, by which the queries are divided beforehand.
+SCALE = np.repeat(np.array([1 / np.sqrt(WIDTH), 1, 1], np.float32), WIDTH)
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
 def forward(w: dict[str, np.ndarray], ids: np.ndarray, mask: np.ndarray = CAUSAL):
     """Hidden states of a batch of windows; every position sees itself and those before it."""
-    x = w["token"][ids] + w["place"][: ids.shape[1]]
-    qkv = (x.reshape(-1, WIDTH) @ w["qkv"]).reshape(*ids.shape, 3 * WIDTH)
-    q, k, v = qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
+    d, n = WIDTH, ids.shape[1]
+    x = np.take(w["token"], ids, axis=0, mode="clip")
+    x += w["place"][:n]
+    qkv = (x.reshape(-1, d) @ (w["qkv"] * SCALE)).reshape(*ids.shape, 3 * d)
+    q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
     a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= np.float32(1 / np.sqrt(WIDTH))
-    np.minimum(a, 30, out=a)
+    if a.size and a.max() > 30:
+        np.minimum(a, 30, out=a)
     np.exp(a, out=a)
-    a *= mask[: ids.shape[1], : ids.shape[1]]
-    a /= a.sum(2, keepdims=True) + np.float32(1e-30)
+    a *= mask[:n, :n]
+    a /= row_sums(a) + np.float32(1e-30)
     c = np.matmul(a, v)
-    y = x + (c.reshape(-1, WIDTH) @ w["mix"]).reshape(x.shape)
-    u = np.maximum(y.reshape(-1, WIDTH) @ w["up"] + w["lift"], 0)
-    f = y + (u @ w["down"]).reshape(x.shape)
+    y = (c.reshape(-1, d) @ w["mix"]).reshape(x.shape)
+    y += x
+    u = y.reshape(-1, d) @ w["up"]
+    u += w["lift"]
+    np.maximum(u, 0, out=u)
+    f = (u @ w["down"]).reshape(x.shape)
+    f += y
     return f, (x, qkv, a, c, y, u)
 
 
-def runs(kind: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """The positions of each class that has members of its own."""
-    order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    return [(c, order[ends[c] : ends[c + 1]]) for c in range(CLASSES) if ends[c] < ends[c + 1]]
+def row_sums(z: np.ndarray) -> np.ndarray:
+    """Over the last axis, which is too short for sum() to be fast; kept as an axis of one."""
+    n = z.shape[-1]
+    return (z.reshape(-1, n) @ np.ones(n, z.dtype)).reshape(*z.shape[:-1], 1)
+
+
+def runs(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order by class, and where in it each class that has members of its own stands."""
+    order = np.argsort(kind.astype(np.uint8), kind="stable")
+    ends = np.append(0, np.cumsum(np.bincount(kind, minlength=CLASSES + 1)))
+    return order, [(c, slice(ends[c], ends[c + 1])) for c in range(CLASSES) if ends[c] < ends[c + 1]]
+
+
+def exponentials(f: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The scores of a softmax without its bias, and their exponentials."""
+    z = f @ weights
+    if z.size and z.max() > 60:
+        np.minimum(z, 60, out=z)
+    return z, np.exp(z)
+
+
+def log_softmax(f: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log probability of each target."""
+    z, e = exponentials(f, weights)
+    return z[np.arange(len(z)), target] + bias[target] - np.log(e @ np.exp(bias))
 
 
 def log_probabilities(w: dict[str, np.ndarray], f: np.ndarray, kind: np.ndarray, member: np.ndarray) -> np.ndarray:
     """Natural log probability of each target: of its class, and of the member of its class."""
-    z = np.minimum(f @ w["out"] + w["bias"], 60)
-    logs = z[np.arange(len(z)), kind] - np.log(np.exp(z).sum(1))
-    for c, at in runs(kind):
-        z = np.minimum(f[at] @ w[f"inner{c}"] + w[f"tilt{c}"], 60)
-        logs[at] += z[np.arange(len(at)), member[at]] - np.log(np.exp(z).sum(1))
+    strips = [slice(k, k + STRIP) for k in range(0, max(1, len(f)), STRIP)]
+    logs = np.concatenate([log_softmax(f[at], w["out"], w["bias"], kind[at]) for at in strips])
+    order, parts = runs(kind)
+    f, member = f[order], member[order]
+    for c, at in parts:
+        logs[order[at]] += log_softmax(f[at], w[f"inner{c}"], w[f"tilt{c}"], member[at])
     return logs
 
 
-def slope(z: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Of the weighted cross entropy, by the scores."""
-    p = np.exp(z - z.max(1, keepdims=True))
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(len(p)), target] -= 1
-    return p * weight[:, None]
+def slope(f: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray, weight: np.ndarray):
+    """Of the weighted cross entropy, by the weights, by the bias and by f."""
+    _, p = exponentials(f, weights)
+    odds = np.exp(bias)
+    p *= (weight / (p @ odds))[:, None]
+    p[np.arange(len(p)), target] -= weight / odds[target]
+    return (f.T @ p) * odds, (np.ones(len(p), p.dtype) @ p) * odds, p @ (weights * odds).T
 
 
 def gradients(w, ids: np.ndarray, kind: np.ndarray, member: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean cross entropy over live positions."""
     f, (x, qkv, a, seen, y, u) = forward(w, ids)
     shape, d = x.shape, WIDTH
-    f2 = f.reshape(-1, d)
-    weight, kind, member = (live.ravel() / live.sum()).astype(np.float32), kind.ravel(), member.ravel()
-    p = slope(f2 @ w["out"] + w["bias"], kind, weight)
-    g = {"out": f2.T @ p, "bias": p.sum(0)}
-    df = p @ w["out"].T
-    for c, at in runs(kind):
-        p = slope(f2[at] @ w[f"inner{c}"] + w[f"tilt{c}"], member[at], weight[at])
-        g[f"inner{c}"], g[f"tilt{c}"] = f2[at].T @ p, p.sum(0)
-        df[at] += p @ w[f"inner{c}"].T
-    du = (df @ w["down"].T) * (u > 0)
-    g["down"], g["up"], g["lift"] = u.T @ df, y.reshape(-1, d).T @ du, du.sum(0)
-    dy = df + du @ w["up"].T
+    f = f.reshape(-1, d)
+    weight, kind, member = (live.ravel() / live.sum()).astype(f.dtype), kind.ravel(), member.ravel()
+    g = {}
+    g["out"], g["bias"], df = slope(f, w["out"], w["bias"], kind, weight)
+    order, parts = runs(kind)
+    f, member, weight = f[order], member[order], weight[order]
+    inside = np.zeros_like(f)
+    for c, at in parts:
+        g[f"inner{c}"], g[f"tilt{c}"], inside[at] = slope(f[at], w[f"inner{c}"], w[f"tilt{c}"], member[at], weight[at])
+    df[order] += inside
+    du = df @ w["down"].T
+    du *= u > 0
+    g["down"], g["up"], g["lift"] = u.T @ df, y.reshape(-1, d).T @ du, np.ones(len(du), du.dtype) @ du
+    dy = df
+    dy += du @ w["up"].T
     g["mix"] = seen.reshape(-1, d).T @ dy
     dc = (dy @ w["mix"].T).reshape(shape)
     q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
-    da = np.matmul(dc, v.transpose(0, 2, 1))
-    ds = a * (da - (da * a).sum(2, keepdims=True)) / np.float32(np.sqrt(d))
-    dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dc)], 2)
+    ds = np.matmul(dc, v.transpose(0, 2, 1))
+    ds *= a
+    ds -= a * row_sums(ds)
+    dqkv = np.empty_like(qkv)
+    np.matmul(ds, k, out=dqkv[..., :d])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., d : 2 * d])
+    np.matmul(a.transpose(0, 2, 1), dc, out=dqkv[..., 2 * d :])
     flat = dqkv.reshape(-1, 3 * d)
-    g["qkv"] = x.reshape(-1, d).T @ flat
-    dx = dy + flat @ w["qkv"].T
-    g["place"] = dx.reshape(shape).sum(0)
-    g["token"] = (ids.ravel(), dx)
+    g["qkv"] = (x.reshape(-1, d).T @ flat) * SCALE
+    dy += flat @ (w["qkv"] * SCALE).T
+    g["place"] = dy.reshape(shape).sum(0)
+    g["token"] = (ids.ravel(), dy)
     return g
 
 
-def spans(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def spans(lengths: np.ndarray, step: int = WINDOW - OVERLAP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Windows over texts of the given numbers of identifiers: text, first place, places, first place that is scored."""
-    step = WINDOW - OVERLAP
     count = 1 + np.maximum(0, -(-(lengths - WINDOW) // step))
     text = np.repeat(np.arange(len(lengths)), count)
     turn = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
     size = np.minimum(WINDOW, lengths[text] - turn * step)
-    return text, turn * step, size, np.where(turn > 0, OVERLAP, 0)
+    return text, turn * step, size, np.where(turn > 0, WINDOW - step, 0)
+
+
+def shifted(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The identifier before each; before a text stands an end."""
+    before = np.concatenate([[END], ids[:-1]]).astype(ids.dtype)
+    before[starts] = END
+    return before
 
 
 def windows(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
-    """For texts laid out one after the other (each with its end): inputs, targets and scored places, in chunks."""
+    """For texts laid out one after the other (each with its end): inputs, targets, scored places and texts, in chunks."""
     text, first, size, scored = spans(lengths)
-    # short windows together, so that little is padded
-    order = np.argsort(size, kind="stable")
-    shifted = np.concatenate([[END], ids[:-1]])
-    shifted[starts] = END
-    at = starts[text] + first
+    # windows of the same shape together, so that little is padded
+    order = np.lexsort((scored, size))
+    before, at = shifted(ids, starts), starts[text] + first
     for k in range(0, len(order), CHUNK):
         pick = order[k : k + CHUNK]
-        width = int(size[pick].max())
-        place = np.arange(width)
+        place = np.arange(size[pick].max())
         where = np.minimum(at[pick][:, None] + place, len(ids) - 1)
-        live = (place >= scored[pick][:, None]) & (place < size[pick][:, None])
-        yield shifted[where], ids[where], live, text[pick]
+        yield before[where], ids[where], (place >= scored[pick][:, None]) & (place < size[pick][:, None]), text[pick]
 
 
 def scores(model: Model, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -237,135 +270,215 @@ def scores(model: Model, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out / log(10)
 
 
-def train(texts: list[list[int]], class_of: np.ndarray, member: np.ndarray, rounds: int = 1, rate: float = 1e-2, batch: int = 128) -> dict[str, np.ndarray]:
-    """Adam on windows of the texts in a seeded order. Identifiers that were not met keep a zero vector."""
-    w = initial()
-    if not texts:
-        w["token"][:] = 0
-        return w
-    lengths = np.array([len(t) for t in texts])
-    ids = np.concatenate([np.array(t, np.int64) for t in texts])
-    text, first, size, _ = spans(lengths)
-    starts = np.cumsum(lengths) - lengths
-    shifted = np.concatenate([[END], ids[:-1]])
-    shifted[starts] = END
-    met = np.zeros(IDS, bool)
-    met[shifted] = True
-    w["token"][~met] = 0
-    m = {k: np.zeros_like(v) for k, v in w.items()}
-    s = {k: np.zeros_like(v) for k, v in w.items()}
-    rng, step = np.random.default_rng(5), 0
-    place = np.arange(WINDOW)
-    for turn in range(rounds):
+class Learner:
+    """Adam from given weights, one step for each batch of windows. Vectors of identifiers move when they are met."""
+
+    def __init__(self, w: dict[str, np.ndarray], class_of: np.ndarray, member: np.ndarray):
+        self.class_of, self.member = class_of, member
+        self.names = [k for k in w if k != "token"]
+        ends = np.cumsum([w[k].size for k in self.names])
+        self.dense = np.concatenate([w[k].ravel() for k in self.names])
+        self.weights = {k: part.reshape(w[k].shape) for k, part in zip(self.names, np.split(self.dense, ends[:-1]))} | {"token": w["token"].copy()}
+        self.grad = np.zeros_like(self.dense)
+        self.parts = dict(zip(self.names, np.split(self.grad, ends[:-1])))
+        self.slow = [np.zeros_like(self.dense) for _ in range(2)], [np.zeros_like(w["token"]) for _ in range(2)]
+        #: Steps, positions learned from, and how often each identifier was an input of one.
+        self.steps, self.seen, self.met = 0, 0, np.zeros(IDS, np.int64)
+
+    def learn(self, ids: np.ndarray, lengths: np.ndarray, rate: float) -> None:
+        """From each position of the texts once, in windows that do not overlap, in a seeded order."""
+        starts = np.cumsum(lengths) - lengths
+        text, first, size, _ = spans(lengths, WINDOW)
+        before, at = shifted(ids, starts), starts[text] + first
+        rng, batch = np.random.default_rng([5, self.steps]), min(BATCH, max(32, len(text) // STEPS))
         order = rng.permutation(len(text))
-        for k in range(0, len(order), batch):
-            pick, step = order[k : k + batch], step + 1
-            where = np.minimum((starts[text[pick]] + first[pick])[:, None] + place, len(ids) - 1)
-            live = place < size[pick][:, None]
-            target = ids[where]
-            g = gradients(w, shifted[where], class_of[target], member[target], live)
-            pace = rate * (1 - (turn + k / len(order)) / rounds) * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-            rows, dx = g.pop("token")
-            used, inverse = np.unique(rows, return_inverse=True)
-            sparse = np.zeros((len(used), WIDTH), np.float32)
-            np.add.at(sparse, inverse, dx)
-            for key, grad in [*g.items(), ("token", sparse)]:
-                at = used if key == "token" else slice(None)
-                m[key][at] = 0.9 * m[key][at] + 0.1 * grad
-                s[key][at] = 0.99 * s[key][at] + 0.01 * grad * grad
-                w[key][at] -= (pace * m[key][at] / (np.sqrt(s[key][at]) + 1e-8)).astype(np.float32)
-    return w
+        order = order[np.argsort(size[order], kind="stable")]
+        batches = [order[k : k + batch] for k in range(0, len(order), batch)]
+        for turn in rng.permutation(len(batches)):
+            pick = batches[turn]
+            place = np.arange(size[pick].max())
+            where = np.minimum(at[pick][:, None] + place, len(ids) - 1)
+            live, inputs, targets = place < size[pick][:, None], before[where], ids[where]
+            self.step(gradients(self.weights, inputs, self.class_of[targets], self.member[targets], live), rate)
+            self.met += np.bincount(inputs[live], minlength=IDS)
+        self.seen += len(ids)
+
+    def step(self, g: dict, rate: float) -> None:
+        self.steps += 1
+        pace = np.float32(rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
+        rows, dx = g["token"]
+        order = np.argsort(rows.astype(np.uint16), kind="stable")
+        rows = rows[order]
+        starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        self.grad[:] = 0  # of members whose class was not met, and of places after the longest window
+        for k, part in self.parts.items():
+            if k in g:
+                part[: g[k].size] = g[k].ravel()
+        for (m, s), grad, at, target in zip(self.slow, (self.grad, np.add.reduceat(dx[order], starts)), (slice(None), rows[starts]), (self.dense, self.weights["token"])):
+            m[at] = now = m[at] * np.float32(0.9) + grad * np.float32(0.1)
+            s[at] = square = s[at] * np.float32(0.99) + grad * grad * np.float32(0.01)
+            target[at] -= pace * now / (np.sqrt(square) + np.float32(1e-8))
+
+
+def train(texts: list[list[int]], class_of: np.ndarray, member: np.ndarray, rate: float = 1e-2) -> dict[str, np.ndarray]:
+    """The weights that one pass over the texts gives."""
+    learner = Learner(initial(), class_of, member)
+    if texts:
+        learner.learn(np.concatenate([np.array(t, np.int32) for t in texts]), np.array([len(t) for t in texts]), rate)
+    return learner.weights
 
 
 # --- corpus --------------------------------------------------------------------------------------------------------
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """Rows of BLOCK: whole documents, as numbers of the block's distinct words."""
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of texts, the numbers of the words of all texts in a row, and the words of each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    found, lengths = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    full = pc.binary_length(found).to_numpy() > 0  # white space at an end leaves an empty one
+    before = np.append(0, np.cumsum(full))
+    ends = np.append(0, np.cumsum(lengths))
+    coded = found.filter(pa.array(full)).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int32), np.diff(before[ends])
+
+
+def blocks(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
+    """Rows of BLOCK: whole documents, as numbers of the block's distinct words, and these words with their spelling."""
+
+    def row(name: str, batches: list) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        ids, texts, held = (table.column(i).combine_chunks() for i in range(3))
+        words, numbers, lengths = split_words(texts)
+        trained = ~held.to_numpy(zero_copy_only=False).astype(bool)
+        seen = np.bincount(numbers[np.repeat(trained, lengths)], minlength=len(words))
+        spelled, sizes = spellings(path, words.to_pylist())
+        spread = np.bincount(spelled, np.repeat(seen, sizes), IDS)
+        spread[END] += trained.sum()
+        at = np.flatnonzero(spread)
+        one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values).cast(kind))
+        return pa.RecordBatch.from_arrays([
+            pa.array([name]), one(words, pa.binary()), one(seen, pa.int64()), one(ids, pa.int64()), one(~trained, pa.bool_()), one(lengths, pa.int32()),
+            *(pa.array([v.tobytes()], pa.binary()) for v in (numbers, spelled, sizes)), one(at, pa.int32()), one(spread[at].astype(np.int64), pa.int64()),
+        ], schema=SCHEMA)
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, turn = TaskContext.get().partitionId(), 0
-        table: dict[bytes, int] = {}
-        ids, held, numbers, size = [], [], [], 0
-
-        def row():
-            lengths = np.array([len(n) for n in numbers], np.int64)
-            every = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
-            seen = np.bincount(every[~np.repeat(np.array(held, bool), lengths)], minlength=len(table))
-            return pa.RecordBatch.from_pylist(
-                [{"block": f"{part}-{turn}", "words": list(table), "seen": seen.tolist(), "doc_ids": list(ids), "held": list(held),
-                  "lengths": lengths.tolist(), "numbers": every.astype(np.int32).tobytes()}],
-                schema=SCHEMA,
-            )
-
+        part, turn, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            for doc_id, text, out in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                ids.append(doc_id)
-                held.append(out)
-                numbers.append(np.array([table.setdefault(w, len(table)) for w in words_of(text)], np.int32))
-                size += len(text or "")
-                if size >= BLOCK_BYTES:
-                    yield row()
-                    turn, size = turn + 1, 0
-                    table, ids, held, numbers = {}, [], [], []
-        if ids:
-            yield row()
-
-    rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"))
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch.column(1))).as_py() or 0
+            if size >= BLOCK_BYTES:
+                yield row(f"{part}-{turn}", held)
+                turn, size, held = turn + 1, 0, []
+        if sum(b.num_rows for b in held):
+            yield row(f"{part}-{turn}", held)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held"))
     return rows.mapInArrow(run, BLOCK)
 
 
 SCHEMA = pa.schema([
     ("block", pa.string()), ("words", pa.list_(pa.binary())), ("seen", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
-    ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), ("numbers", pa.binary()),
+    ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), ("numbers", pa.binary()), ("spelled", pa.binary()),
+    ("sizes", pa.binary()), ("ids", pa.list_(pa.int32())), ("spread", pa.list_(pa.int64())),
 ])
 
 
+def identifiers(row: dict, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The subwords of the kept documents of a block, each document with its end, and how many each has."""
+    flat, sizes = (np.append(np.frombuffer(row[k], kind), last) for k, kind, last in (("spelled", np.uint16, END), ("sizes", np.int32, 1)))
+    flat, sizes = flat.astype(np.int32), sizes.astype(np.int32)
+    lengths = np.array(row["lengths"], np.int64)
+    numbers = np.frombuffer(row["numbers"], np.int32)[np.repeat(keep, lengths)]
+    lengths = lengths[keep]
+    ends = np.cumsum(lengths)
+    # the end is one more word, the last
+    numbers = np.insert(numbers, ends, len(sizes) - 1)
+    wide = sizes[numbers]
+    begin = (np.cumsum(sizes) - sizes)[numbers] - (np.cumsum(wide) - wide)
+    ids = flat[np.repeat(begin, wide) + np.arange(int(wide.sum()))]
+    per_word = np.append(0, np.cumsum(wide))
+    return ids, np.diff(per_word[np.append(0, ends + np.arange(1, len(ends) + 1))])
+
+
 def counted(cut: DataFrame) -> DataFrame:
-    """block, number of the word in it, its count in all training documents, and the word itself in one of its rows."""
+    """block, number of the word in it, its count in all training documents, and whether this is the first of its rows."""
     rows = cut.select("block", F.posexplode(F.arrays_zip("words", "seen")).alias("pos", "w"))
-    same = Window.partitionBy("word")
+    same = Window.partitionBy("word").orderBy("block")
     rows = rows.select("block", "pos", F.col("w")["words"].alias("word"), F.col("w")["seen"].alias("seen"))
-    rows = rows.withColumn("c", F.sum("seen").over(same)).withColumn("nth", F.row_number().over(same.orderBy("block")))
-    return rows.select("block", "pos", "c", F.when(F.col("nth") == 1, F.col("word")).alias("word"))
+    every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.select("block", "pos", F.sum("seen").over(every).alias("c"), (F.row_number().over(same) == 1).alias("first"))
 
 
-def subword_counts(words: DataFrame, path: str) -> np.ndarray:
+def subword_counts(cut: DataFrame) -> np.ndarray:
     """How often each identifier stands in the training documents; the vocabulary bounds what reaches the driver."""
-
-    def run(batches):
-        total = np.zeros(IDS, np.int64)
-        for batch in batches:
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for i in spell(path, word):
-                    total[i] += c
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
-
-    rows = words.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = cut.select(F.inline(F.arrays_zip("ids", "spread"))).groupBy("ids").agg(F.sum("spread").alias("n"))
     out = np.zeros(IDS, np.float64)
-    for r in rows:
-        out[r.id] = r.n
+    for r in rows.collect():
+        out[r.ids] = r.n
     return out
 
 
+def packed(w: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights as rows of WIDTH numbers, the vectors of the identifiers first."""
+    rest = np.concatenate([v.ravel() for k, v in w.items() if k != "token"])
+    return np.concatenate([w["token"], np.append(rest, np.zeros(-len(rest) % WIDTH, rest.dtype)).reshape(-1, WIDTH)])
+
+
+def unpacked(rows: np.ndarray) -> dict[str, np.ndarray]:
+    w, rest = initial(), rows[IDS:].ravel()
+    for k, v in w.items():
+        if k != "token":
+            w[k], rest = rest[: v.size].reshape(v.shape), rest[v.size :]
+    return w | {"token": rows[:IDS]}
+
+
+def learned(cut: DataFrame, counts: np.ndarray, class_of: np.ndarray, member: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights from all training documents, each in one of ROUNDS: every task learns from its blocks, from the same weights as
+    the others, and the weights of a round are the mean over its tasks, by the positions or inputs each has met."""
+    w = initial()
+    w["token"][counts == 0] = 0  # not met in training
+    weights, since = packed(w), 0
+    for until, rate in ROUNDS:
+        now, first = weights, since
+
+        def run(batches):
+            learner = Learner(unpacked(now), class_of, member)
+            for batch in batches:
+                for row in batch.to_pylist():
+                    turn = np.arange(len(row["held"])) % ROUNDS[-1][0]
+                    keep = (turn >= first) & (turn < until) & ~np.array(row["held"], bool)
+                    if keep.any():
+                        learner.learn(*identifiers(row, keep), rate)
+            if learner.seen:
+                rows = packed(learner.weights)
+                times = np.append(learner.met, np.full(len(rows) - IDS, learner.seen))
+                at = np.flatnonzero(times)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at, pa.int32()), pa.array(times[at], pa.int64()), *(pa.array(rows[at, i]) for i in range(WIDTH))], names=["at", "n", *places]
+                )
+
+        places = [f"w{i}" for i in range(WIDTH)]
+        parts = cut.select("held", "lengths", "numbers", "spelled", "sizes").mapInArrow(run, f"at int, n long, {', '.join(f'{p} float' for p in places)}")
+        mean = [(F.sum(F.col(p).cast("double") * F.col("n")) / F.sum("n")).alias(p) for p in places]
+        weights = weights.copy()
+        for r in parts.groupBy("at").agg(*mean).collect():
+            weights[r[0]] = r[1:]
+        since = until
+    return unpacked(weights)
+
+
 def score(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    cut = stored(blocks(docs), "blocks")
+    cut = stored(blocks(docs, path), "blocks")
     known = stored(counted(cut), "words")
     trained = cut.select(F.explode("held").alias("held")).where("not held").count()
-    facts = known.where("word is not null and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("c").alias("v")).first()
+    facts = known.where("first and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("c").alias("v")).first()
     total, distinct = facts.n + trained, facts.v + (trained > 0)
-    spread = subword_counts(known.where("word is not null and c > 0").select("word", "c"), path)
-    spread[END] = trained
+    spread = subword_counts(cut)
     class_of, member, share = classes(spread)
-    training = docs.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    ids = spread_sample(training, F.lit(1), SAMPLE)
-    rows = training.where(F.col("doc_id").isin(ids)).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    texts = sorted((r.doc_id, r.text) for r in rows.dropDuplicates(["doc_id"]).collect())
-    weights = train([[i for w in words_of(t) for i in spell(path, w)] + [END] for _, t in texts], class_of, member)
+    weights = learned(cut, spread, class_of, member)
     met = np.flatnonzero(weights["token"].any(1))
     small = {k: v for k, v in weights.items() if k != "token"} | {"met": met.astype(np.int32), "rows": weights["token"][met]}
     share32, floor = share.astype(np.float32), log10(total + 0.1 * (distinct + 1))
@@ -379,33 +492,22 @@ def score(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
         logs = np.log10(c + 0.1)
         tables = []
         for row in left.to_pylist():
-            spelled = spellings(path, row["words"])
-            sizes = np.array([len(s) for s in spelled], np.int64) // 2
-            flat = np.frombuffer(b"".join(spelled), np.uint16).astype(np.int32)
-            begin = np.cumsum(sizes) - sizes
             numbers = np.frombuffer(row["numbers"], np.int32)
             lengths = np.array(row["lengths"], np.int64)
             owner = np.repeat(np.arange(len(lengths)), lengths)
             n = len(lengths)
             base = np.bincount(owner, logs[numbers], n) + log10(trained + 0.1) - (lengths + 1) * floor
             hits = np.bincount(owner, c[numbers] > 0, n).astype(np.int64) + (trained > 0)
-            # the subwords of each text, its end after them
-            wide = sizes[numbers]
-            per_text = np.bincount(owner, wide, n).astype(np.int64) + 1
-            ids = np.full(int(per_text.sum()), END, np.int32)
-            mine = np.ones(len(ids), bool)
-            mine[np.cumsum(per_text) - 1] = False
-            inner = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide)
-            ids[mine] = flat[np.repeat(begin[numbers], wide) + inner]
             tables.append(pa.table({
                 "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
                 "n_tokens": pa.array(lengths + 1), "n_known": pa.array(hits), "train_tokens": pa.array(np.full(n, total)),
-                "base_score": pa.array(base), "score": pa.array(scores(model, ids, per_text)),
+                "base_score": pa.array(base), "score": pa.array(scores(model, *identifiers(row, np.ones(n, bool)))),
             }))
         return pa.concat_tables(tables) if tables else OUT.empty_table()
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return cut.groupBy("block").cogroup(known.select("block", "pos", "c").groupBy("block")).applyInArrow(run, schema)
+    texts = cut.select("block", "doc_ids", "held", "lengths", "numbers", "spelled", "sizes")
+    return texts.groupBy("block").cogroup(known.select("block", "pos", "c").groupBy("block")).applyInArrow(run, schema)
 
 
 OUT = pa.schema([
