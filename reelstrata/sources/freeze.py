@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstrata.operators.checks import violation
+from reelstrata.sources.catalog import Scanner
 from reelstrata.sources.registry import FILE_SCHEMA, LOAD_ID, SOURCES
 from reelstrata.sources.tables import Build, write_table
 
@@ -79,7 +80,8 @@ def stored_schemas(spark: SparkSession, build: Build | None) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    raw = {name: build.scan(spark, "raw", name).schema for name in registered_schemas()}
+    scan = Scanner(spark, build)
+    raw = {name: scan("raw", name).schema for name in registered_schemas()}
     return schema_rows(spark, raw).withColumn("schema_version", F.lit(1).cast("long"))
 
 

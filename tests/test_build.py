@@ -372,6 +372,19 @@ def test_changed_columns_stop_a_load_before_a_row_lands(spark, lake, tmp_path):
     assert freeze.stored_schemas(spark, packed).where("schema_version = 1").count() == stored.count()
 
 
+def test_schemas_of_a_build_are_found_where_compaction_left_its_files(spark, lake, tmp_path):
+    _, _, result = lake
+    source = result.build
+    for name in ("once", "twice"):  # of a table in one file the second has no folder
+        target = Build(str(tmp_path / "lake"), name)
+        builds.compact_build(spark, source, target)
+        source = target
+    assert not Path(source.location("raw", "title_crew")).exists()
+    shutil.rmtree(source.location(*freeze.STORED))
+    wanted = freeze.stored_schemas(spark, result.build)
+    assert sorted(rows_of(freeze.stored_schemas(spark, source))) == sorted(rows_of(wanted))
+
+
 def test_bucketed_models_meet_without_an_exchange(spark, lake, tmp_path):
     _, _, result = lake
     models = builds.open_build(spark, result.build)["intermediate"]
