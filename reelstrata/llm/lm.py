@@ -17,13 +17,14 @@ classes are uniform; a NULL doc_id counts as the empty text for the hold-out; re
 
 from __future__ import annotations
 
-from array import array
 from dataclasses import dataclass
+from functools import cache
 from math import log, log10
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,7 +41,7 @@ CLASSES = REST = len(MEMBERS)
 ROUNDS, BATCH, STEPS = [(1, 1e-2), (4, 1e-2), (16, 5e-3)], 512, 128
 BLOCK_BYTES = 12 << 20
 #: Windows that go through attention, positions that go through the members' softmax, and through that of the classes, at a time.
-CHUNK, POSITIONS, STRIP = 256, 1 << 14, 1 << 12
+CHUNK, POSITIONS, STRIP = 256, 1 << 14, 1 << 11
 #: The end identifier, first free one of the vocabulary, and the number of identifiers.
 END, IDS = 50256, 50257
 BLOCK = (
@@ -53,22 +54,27 @@ def held_out(doc_id):
     return crc_mod(doc_id, 10) == 0
 
 
-#: Subwords that a Python worker remembers for a vocabulary; the first words it meets are mostly the frequent ones.
-SPELLED: dict[str, dict[str, bytes]] = {}
-REMEMBERED = 250_000
+@cache
+def leading(path: str) -> np.ndarray:
+    """Of every identifier, whether it begins with a space."""
+    spell = encoder(path).decode_single_token_bytes
+    return np.array([spell(i)[:1] == b" " for i in range(END)])
 
 
 def spellings(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The identifiers of all words in a row, each word after a space, and how many each has."""
-    found, known, encode = [], SPELLED.setdefault(path, {}), encoder(path).encode_ordinary
-    for word in words:
-        ids = known.get(word)
-        if ids is None:
-            ids = array("H", encode(" " + word)).tobytes()
-            if len(known) < REMEMBERED:
-                known[word] = ids
-        found.append(ids)
-    return np.frombuffer(b"".join(found), np.uint16), np.fromiter(map(len, found), np.int32, len(found)) // 2
+    """The identifiers of all words in a row, each word after a space, and how many each has.
+
+    Words of printable characters hold no white space, so the vocabulary's rule cuts a row of them at each space and nowhere
+    across one: they are spelled in one go. The others are spelled one by one."""
+    encode = encoder(path).encode_ordinary
+    plain = np.fromiter(map(str.isprintable, words), bool, len(words))
+    row = np.array(encode("".join(" " + w for w, p in zip(words, plain) if p)), np.uint16)
+    if plain.all():
+        return row, np.diff(np.append(np.flatnonzero(leading(path)[row]), len(row))).astype(np.int32)
+    ends = np.append(np.flatnonzero(leading(path)[row]), len(row))
+    parts = iter(np.split(row, ends[1:-1]) if plain.any() else [])
+    found = [next(parts) if p else np.array(encode(" " + w), np.uint16) for w, p in zip(words, plain)]
+    return np.concatenate(found), np.fromiter(map(len, found), np.int32, len(found))
 
 
 # --- model ---------------------------------------------------------------------------------------------------------
@@ -112,26 +118,26 @@ SCALE = np.repeat(np.array([1 / np.sqrt(WIDTH), 1, 1], np.float32), WIDTH)
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
-def forward(w: dict[str, np.ndarray], ids: np.ndarray, mask: np.ndarray = CAUSAL):
-    """Hidden states of a batch of windows; every position sees itself and those before it."""
+def forward(w: dict[str, np.ndarray], ids: np.ndarray, skip: int = 0):
+    """Hidden states of a batch of windows; every position sees itself and those before it. The first skip are only seen."""
     d, n = WIDTH, ids.shape[1]
     x = np.take(w["token"], ids, axis=0, mode="clip")
     x += w["place"][:n]
     qkv = (x.reshape(-1, d) @ (w["qkv"] * SCALE)).reshape(*ids.shape, 3 * d)
-    q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
+    q, k, v = qkv[:, skip:, :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
     a = np.matmul(q, k.transpose(0, 2, 1))
     if a.size and a.max() > 30:
         np.minimum(a, 30, out=a)
     np.exp(a, out=a)
-    a *= mask[:n, :n]
+    a *= CAUSAL[skip:n, :n]
     a /= row_sums(a) + np.float32(1e-30)
     c = np.matmul(a, v)
-    y = (c.reshape(-1, d) @ w["mix"]).reshape(x.shape)
-    y += x
+    y = (c.reshape(-1, d) @ w["mix"]).reshape(c.shape)
+    y += x[:, skip:]
     u = y.reshape(-1, d) @ w["up"]
     u += w["lift"]
     np.maximum(u, 0, out=u)
-    f = (u @ w["down"]).reshape(x.shape)
+    f = (u @ w["down"]).reshape(c.shape)
     f += y
     return f, (x, qkv, a, c, y, u)
 
@@ -142,64 +148,107 @@ def row_sums(z: np.ndarray) -> np.ndarray:
     return (z.reshape(-1, n) @ np.ones(n, z.dtype)).reshape(*z.shape[:-1], 1)
 
 
-def runs(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """An order by class, and where in it each class that has members of its own stands."""
+def strips(n: int) -> list[slice]:
+    return [slice(k, min(k + STRIP, n)) for k in range(0, n, STRIP)]
+
+
+def by_class(f: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions in the order of their classes: the order, hidden states with a last column of ones for the bias, and classes."""
     order = np.argsort(kind.astype(np.uint8), kind="stable")
-    ends = np.append(0, np.cumsum(np.bincount(kind, minlength=CLASSES + 1)))
-    return order, [(c, slice(ends[c], ends[c + 1])) for c in range(CLASSES) if ends[c] < ends[c + 1]]
+    wide = np.empty((len(f), WIDTH + 1), f.dtype)
+    wide[:, :WIDTH] = f
+    wide[:, WIDTH] = 1
+    return order, np.take(wide, order, axis=0, mode="clip"), np.take(kind, order)
+
+
+def alike(kind: np.ndarray) -> list[tuple[int, slice, list[tuple[int, slice]]]]:
+    """Of ordered classes, runs of those with equally many members: members, where it stands, and where in it each class does."""
+    ends = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    out = []
+    for c in range(CLASSES):
+        if ends[c] < ends[c + 1]:
+            if not out or out[-1][0] != MEMBERS[c]:
+                out.append((MEMBERS[c], ends[c], []))
+            out[-1][2].append((c, slice(ends[c] - out[-1][1], ends[c + 1] - out[-1][1])))
+    return [(n, slice(start, start + parts[-1][1].stop), parts) for n, start, parts in out]
 
 
-def exponentials(f: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The scores of a softmax without its bias, and their exponentials."""
-    z = f @ weights
+def capped(z: np.ndarray) -> np.ndarray:
     if z.size and z.max() > 60:
         np.minimum(z, 60, out=z)
-    return z, np.exp(z)
+    return z
 
 
-def log_softmax(f: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log probability of each target."""
-    z, e = exponentials(f, weights)
-    return z[np.arange(len(z)), target] + bias[target] - np.log(e @ np.exp(bias))
+def flat(z: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Where the targets stand in all scores, row after row."""
+    return np.arange(0, z.size, z.shape[1]) + target
+
+
+def log_softmax(z: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log probability of each target, from scores that are not kept."""
+    found = np.take(capped(z), flat(z, target))
+    return found - np.log(row_sums(np.exp(z, out=z))[:, 0])
 
 
 def log_probabilities(w: dict[str, np.ndarray], f: np.ndarray, kind: np.ndarray, member: np.ndarray) -> np.ndarray:
     """Natural log probability of each target: of its class, and of the member of its class."""
-    strips = [slice(k, k + STRIP) for k in range(0, max(1, len(f)), STRIP)]
-    logs = np.concatenate([log_softmax(f[at], w["out"], w["bias"], kind[at]) for at in strips])
-    order, parts = runs(kind)
-    f, member = f[order], member[order]
-    for c, at in parts:
-        logs[order[at]] += log_softmax(f[at], w[f"inner{c}"], w[f"tilt{c}"], member[at])
-    return logs
+    order, wide, kind = by_class(f, kind)
+    member, heads, logs = np.take(member, order), np.vstack([w["out"], w["bias"]]), np.empty(len(f), f.dtype)
+    for at in strips(len(f)):
+        logs[at] = log_softmax(wide[at] @ heads, kind[at])
+    for n, at, parts in alike(kind):
+        z, rows = np.empty((at.stop - at.start, n), f.dtype), wide[at]
+        for c, part in parts:
+            np.matmul(rows[part], np.vstack([w[f"inner{c}"], w[f"tilt{c}"]]), out=z[part])
+        logs[at] += log_softmax(z, member[at])
+    out = np.empty_like(logs)
+    out[order] = logs
+    return out
 
 
-def slope(f: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray, weight: np.ndarray):
-    """Of the weighted cross entropy, by the weights, by the bias and by f."""
-    _, p = exponentials(f, weights)
-    odds = np.exp(bias)
-    p *= (weight / (p @ odds))[:, None]
-    p[np.arange(len(p)), target] -= weight / odds[target]
-    return (f.T @ p) * odds, (np.ones(len(p), p.dtype) @ p) * odds, p @ (weights * odds).T
+def odds(z: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The slope of the weighted cross entropy by the scores of a softmax, in their place."""
+    np.exp(capped(z), out=z)
+    z *= weight[:, None] / row_sums(z)
+    z.reshape(-1)[flat(z, target)] -= weight
+    return z
+
+
+def softmax_gradients(w, f: np.ndarray, kind: np.ndarray, member: np.ndarray, weight: np.ndarray) -> tuple[dict, np.ndarray]:
+    """Of the weighted cross entropy, by the weights of both levels, and by the hidden states."""
+    order, wide, kind = by_class(f, kind)
+    member, weight, heads = np.take(member, order), np.take(weight, order), np.vstack([w["out"], w["bias"]])
+    g, df, total = {}, np.empty(f.shape, f.dtype), np.zeros(heads.shape, f.dtype)
+    for at in strips(len(f)):
+        p = odds(wide[at] @ heads, kind[at], weight[at])
+        total += (p.T @ wide[at]).T
+        np.matmul(p, w["out"].T, out=df[at])
+    g["out"], g["bias"] = total[:WIDTH], total[WIDTH]
+    for n, at, parts in alike(kind):
+        z, rows = np.empty((at.stop - at.start, n), f.dtype), wide[at]
+        for c, part in parts:
+            np.matmul(rows[part], np.vstack([w[f"inner{c}"], w[f"tilt{c}"]]), out=z[part])
+        odds(z, member[at], weight[at])
+        inside = np.empty((len(z), WIDTH), f.dtype)
+        for c, part in parts:
+            both = rows[part].T @ z[part]
+            g[f"inner{c}"], g[f"tilt{c}"] = both[:WIDTH], both[WIDTH]
+            np.matmul(z[part], w[f"inner{c}"].T, out=inside[part])
+        df[at] += inside
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    return g, np.take(df, back, axis=0, mode="clip")
 
 
 def gradients(w, ids: np.ndarray, kind: np.ndarray, member: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean cross entropy over live positions."""
     f, (x, qkv, a, seen, y, u) = forward(w, ids)
     shape, d = x.shape, WIDTH
-    f = f.reshape(-1, d)
-    weight, kind, member = (live.ravel() / live.sum()).astype(f.dtype), kind.ravel(), member.ravel()
-    g = {}
-    g["out"], g["bias"], df = slope(f, w["out"], w["bias"], kind, weight)
-    order, parts = runs(kind)
-    f, member, weight = f[order], member[order], weight[order]
-    inside = np.zeros_like(f)
-    for c, at in parts:
-        g[f"inner{c}"], g[f"tilt{c}"], inside[at] = slope(f[at], w[f"inner{c}"], w[f"tilt{c}"], member[at], weight[at])
-    df[order] += inside
+    weight = (live.ravel() / live.sum()).astype(f.dtype)
+    g, df = softmax_gradients(w, f.reshape(-1, d), kind.ravel(), member.ravel(), weight)
     du = df @ w["down"].T
     du *= u > 0
-    g["down"], g["up"], g["lift"] = u.T @ df, y.reshape(-1, d).T @ du, np.ones(len(du), du.dtype) @ du
+    g["down"], g["up"], g["lift"] = u.T @ df, (du.T @ y.reshape(-1, d)).T, np.ones(len(du), du.dtype) @ du
     dy = df
     dy += du @ w["up"].T
     g["mix"] = seen.reshape(-1, d).T @ dy
@@ -213,7 +262,7 @@ def gradients(w, ids: np.ndarray, kind: np.ndarray, member: np.ndarray, live: np
     np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., d : 2 * d])
     np.matmul(a.transpose(0, 2, 1), dc, out=dqkv[..., 2 * d :])
     flat = dqkv.reshape(-1, 3 * d)
-    g["qkv"] = (x.reshape(-1, d).T @ flat) * SCALE
+    g["qkv"] = (flat.T @ x.reshape(-1, d)).T * SCALE
     dy += flat @ (w["qkv"] * SCALE).T
     g["place"] = dy.reshape(shape).sum(0)
     g["token"] = (ids.ravel(), dy)
@@ -236,33 +285,44 @@ def shifted(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return before
 
 
+def laid(values: np.ndarray, width: int) -> np.ndarray:
+    """From each place on, as many values as a window is wide; ends stand after the last."""
+    return sliding_window_view(np.append(values, np.full(width - 1, END, values.dtype)), width)
+
+
 def windows(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
-    """For texts laid out one after the other (each with its end): inputs, targets, scored places and texts, in chunks."""
+    """For texts laid out one after the other (each with its end), in chunks of windows of one shape: inputs, targets of
+    the scored places, how many places before are not scored, and texts."""
     text, first, size, scored = spans(lengths)
-    # windows of the same shape together, so that little is padded
-    order = np.lexsort((scored, size))
-    before, at = shifted(ids, starts), starts[text] + first
-    for k in range(0, len(order), CHUNK):
-        pick = order[k : k + CHUNK]
-        place = np.arange(size[pick].max())
-        where = np.minimum(at[pick][:, None] + place, len(ids) - 1)
-        yield before[where], ids[where], (place >= scored[pick][:, None]) & (place < size[pick][:, None]), text[pick]
+    before, at, shape = shifted(ids, starts), starts[text] + first, size * WINDOW + scored
+    order = np.argsort(shape, kind="stable")
+    for same in np.split(order, np.flatnonzero(np.diff(shape[order])) + 1):
+        n, skip = int(size[same[0]]), int(scored[same[0]])
+        inputs, targets = laid(before, n), laid(ids, n)
+        for k in range(0, len(same), CHUNK):
+            pick = same[k : k + CHUNK]
+            yield inputs[at[pick]], targets[at[pick], skip:], skip, text[pick]
 
 
 def scores(model: Model, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log10 probability of each text."""
+    if not len(lengths):
+        return np.zeros(0)
     starts = np.cumsum(lengths) - lengths
-    out = np.bincount(np.repeat(np.arange(len(lengths)), lengths), model.share[ids], len(lengths))
+    out = np.add.reduceat(model.share[ids], starts, dtype=np.float64)
     held: list[tuple[np.ndarray, ...]] = []
 
     def flush():
-        f, target, text = (np.concatenate(part) for part in zip(*held))
-        logs = log_probabilities(model.weights, f, model.class_of[target], model.member[target])
-        out[:] += np.bincount(text, logs, len(lengths))
+        f, target = (np.concatenate(part) for part in list(zip(*held))[:2])
+        logs, done = log_probabilities(model.weights, f, model.class_of[target], model.member[target]), 0
+        for part, _, text in held:
+            sums = logs[done : done + len(part)].reshape(len(text), -1).sum(1)
+            out[:] += np.bincount(text, sums, len(out))
+            done += len(part)
         held.clear()
 
-    for inputs, targets, live, text in windows(ids, starts, lengths):
-        held.append((forward(model.weights, inputs)[0][live], targets[live], np.repeat(text, live.sum(1))))
+    for inputs, targets, skip, text in windows(ids, starts, lengths):
+        held.append((forward(model.weights, inputs, skip)[0].reshape(-1, WIDTH), targets.ravel(), text))
         if sum(len(part[1]) for part in held) >= POSITIONS:
             flush()
     if held:
@@ -294,14 +354,15 @@ class Learner:
         order = rng.permutation(len(text))
         order = order[np.argsort(size[order], kind="stable")]
         batches = [order[k : k + batch] for k in range(0, len(order), batch)]
+        laid_before, laid_ids = laid(before, WINDOW), laid(ids, WINDOW)
         for turn in rng.permutation(len(batches)):
             pick = batches[turn]
-            place = np.arange(size[pick].max())
-            where = np.minimum(at[pick][:, None] + place, len(ids) - 1)
-            live, inputs, targets = place < size[pick][:, None], before[where], ids[where]
+            n = size[pick[-1]]  # the longest of the batch
+            inputs, targets = laid_before[at[pick], :n], laid_ids[at[pick], :n]
+            live = np.arange(n) < size[pick][:, None]
             self.step(gradients(self.weights, inputs, self.class_of[targets], self.member[targets], live), rate)
-            self.met += np.bincount(inputs[live], minlength=IDS)
         self.seen += len(ids)
+        self.met += np.bincount(before, minlength=IDS)
 
     def step(self, g: dict, rate: float) -> None:
         self.steps += 1
@@ -395,11 +456,12 @@ def identifiers(row: dict, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(lengths)
     # the end is one more word, the last
     numbers = np.insert(numbers, ends, len(sizes) - 1)
-    wide = sizes[numbers]
-    begin = (np.cumsum(sizes) - sizes)[numbers] - (np.cumsum(wide) - wide)
-    ids = flat[np.repeat(begin, wide) + np.arange(int(wide.sum()))]
+    wide = np.take(sizes, numbers)
     per_word = np.append(0, np.cumsum(wide))
-    return ids, np.diff(per_word[np.append(0, ends + np.arange(1, len(ends) + 1))])
+    begin = np.take(np.cumsum(sizes, dtype=np.int32) - sizes, numbers) - per_word[:-1].astype(np.int32)
+    where = np.repeat(begin, wide)
+    where += np.arange(len(where), dtype=np.int32)
+    return np.take(flat, where), np.diff(per_word[np.append(0, ends + np.arange(1, len(ends) + 1))])
 
 
 def counted(cut: DataFrame) -> DataFrame:

@@ -45,6 +45,37 @@ def test_subwords_of_a_block_are_those_of_its_texts(spark):
         assert [len(t) for t in wanted] == lengths.tolist() and sum(wanted, []) == ids.tolist()
 
 
+def test_words_are_spelled_in_one_go_as_one_by_one():
+    odd = ["a\x1cb", "\x85", "abc", "don't", "　　x", "y　", "\x1c", "12ab", "x\u200b", "\xa0y", "'s", "'", "\ufeffa", "東京"]
+    for words in (odd, odd[::-1], ["\x85"], ["abc", "'s"], []):
+        ids, sizes = lm.spellings(VOCABULARY, words)
+        wanted = [encoder(VOCABULARY).encode_ordinary(" " + w) for w in words]
+        assert ids.tolist() == sum(wanted, []) and sizes.tolist() == [len(w) for w in wanted]
+
+
+def test_scores_are_those_of_a_plain_forward_pass_and_no_place_is_computed_twice():
+    rng = np.random.default_rng(1)
+    lengths = np.array([1, 15, 16, 17, 28, 29, 100])
+    ids = rng.integers(0, 2000, lengths.sum()).astype(np.int32)
+    class_of, member, share = lm.classes(np.arange(lm.IDS)[::-1].astype(float))
+    model, starts = lm.Model(lm.initial(), class_of, member, share), np.cumsum(lengths) - lengths
+    wanted = []
+    for start, n in zip(starts, lengths):
+        text, total = ids[start : start + n], 0.0
+        inputs = np.append(lm.END, text[:-1])
+        for at, size, scored in zip(*lm.spans(np.array([n]))[1:]):
+            f = lm.forward(model.weights, inputs[None, at : at + size])[0][0]
+            targets = text[at : at + size]
+            logs = lm.log_probabilities(model.weights, f, class_of[targets], member[targets]) + share[targets]
+            total += logs[scored:].sum()
+        wanted.append(total / np.log(10))
+    assert lm.scores(model, ids, lengths) == pytest.approx(np.array(wanted), rel=1e-4)
+    # windows of one shape go together: of each, only places that are scored reach the softmax
+    chunks = list(lm.windows(ids, starts, lengths))
+    assert sum(targets.size for _, targets, *_ in chunks) == lengths.sum()
+    assert all(inputs.shape[1] == targets.shape[1] + skip for inputs, targets, skip, _ in chunks)
+
+
 def test_each_training_document_is_learned_once_and_weights_are_the_mean_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(lm, "ROUNDS", [(16, 1e-2)])
     texts = [f"w{i % 7} v{i % 11} " * (i % 13) for i in range(60)]
